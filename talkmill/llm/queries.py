@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm import line_dedup, url_filter
+from talkmill.llm import line_dedup, packing, token_store, url_filter
+from talkmill.llm.shared import new_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +23,27 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.rules_table(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file on this machine; executors have it at the same place."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "token-store")
+    token_store.build_store(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"), end_id=0)
+    return token_store.read_documents(spark, path)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op4_token_store": op4_token_store,
     "op6_url_filter": op6_url_filter,
+    "op8_packing": op8_packing,
 }
