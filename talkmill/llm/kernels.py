@@ -30,8 +30,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base modulo 2^64, and of its inverse."""
     base = _STEP
     with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate(([1], np.full(n, base, _U))).astype(_U), dtype=_U)
-        down = np.cumprod(np.concatenate(([1], np.full(n, pow(base, -1, 1 << 64), _U))).astype(_U), dtype=_U)
+        up = np.cumprod(np.concatenate((np.ones(1, _U), np.full(n, base, _U))), dtype=_U)
+        down = np.cumprod(np.concatenate((np.ones(1, _U), np.full(n, pow(base, -1, 1 << 64), _U))), dtype=_U)
     return up, down
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm import line_dedup, packing, token_store, url_filter
+from talkmill.llm import line_dedup, near_dup, packing, token_store, url_filter
 from talkmill.llm.shared import new_path
 
 
@@ -30,6 +30,10 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.components(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-store")
     token_store.build_store(table(spark, sf_dir, "documents"), path, vocabulary("byte_bpe_50k.json"), end_id=0)
@@ -43,6 +47,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
+    "op3_near_dup": op3_near_dup,
     "op4_token_store": op4_token_store,
     "op6_url_filter": op6_url_filter,
     "op8_packing": op8_packing,
