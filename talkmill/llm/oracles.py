@@ -23,4 +23,19 @@ hits AS (SELECT p.page_id, r.host || r.path AS rule, r.verdict, row_number() OVE
 SELECT p.page_id, p.host, p.path, h.rule, coalesce(h.verdict, 'allow') AS verdict FROM parts p LEFT JOIN hits h ON p.page_id = h.page_id AND h.k = 1
 """
 
-ORACLES = {"op2_line_dedup": LINES, "op6_url_filter": URLS}
+_WORDS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+PASSAGES = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents), b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+lengths AS (SELECT DISTINCT least(len(w), 10) AS k FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS g
+            FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)),
+places AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, lengths WHERE len(w) >= k)),
+found AS (SELECT p.doc_id, p.i, p.k, w.item_id FROM places p JOIN windows w ON p.k = w.k AND p.g = w.g),
+hits AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(joined, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+ORACLES = {"op10_decontam": PASSAGES, "op2_line_dedup": LINES, "op6_url_filter": URLS}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm import line_dedup, near_dup, packing, token_store, url_filter
+from talkmill.llm import decontam, line_dedup, near_dup, packing, token_store, url_filter
 from talkmill.llm.shared import new_path
 
 
@@ -45,10 +45,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_items, joined = F.size("items").cast("long"), F.array_join("items", ",").cast("binary")
+    return found.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), F.sha2(joined, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_near_dup": op3_near_dup,
     "op4_token_store": op4_token_store,
     "op6_url_filter": op6_url_filter,
     "op8_packing": op8_packing,
+    "op10_decontam": op10_decontam,
 }
