@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm import decontam, line_dedup, near_dup, packing, token_store, url_filter
+from talkmill.llm import decontam, line_dedup, near_dup, packing, token_store, toxicity, url_filter
 from talkmill.llm.shared import new_path
 
 
@@ -45,6 +45,17 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def toxicity_scores(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs with a score learnt from labelled rows that aren't held out."""
+    every, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.fit(every, labels.where(~toxicity.held_out())))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity_scores(spark, table(spark, sf_dir, "documents").select("doc_id", "text"), sf_dir)
+    return scored.select("doc_id", F.coalesce(toxicity.held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_items, joined = F.size("items").cast("long"), F.array_join("items", ",").cast("binary")
@@ -57,5 +68,6 @@ QUERIES = {
     "op4_token_store": op4_token_store,
     "op6_url_filter": op6_url_filter,
     "op8_packing": op8_packing,
+    "op9_toxicity": op9_toxicity,
     "op10_decontam": op10_decontam,
 }
