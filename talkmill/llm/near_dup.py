@@ -200,7 +200,7 @@ def joined_classes(classes: DataFrame, docs: DataFrame, percent: int, k: int = W
     tested = links = roots = None
     for pivot in ("lo", "hi", "other", None):
         now = _with_roots(members, roots)
-        if roots is not None:
+        if pivot != "lo":
             now = materialise(now, "now")
             split = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min_by("doc", F.xxhash64("doc", "key")).alias("other")).where("c0 < c1").drop("c0", "c1")
             now = now.join(materialise(split, "split"), "key")
