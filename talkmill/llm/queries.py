@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm import decontam, line_dedup, near_dup, packing, token_store, toxicity, url_filter
+from talkmill.llm import decontam, fertility, line_dedup, near_dup, packing, token_store, toxicity, url_filter
 from talkmill.llm.shared import new_path
 
 
@@ -13,6 +13,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file on this machine; executors have it at the same place."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def op1_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.drop_shared_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -23,13 +34,6 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(pages, url_filter.rules_table(spark)).select("page_id", "host", "path", "rule", "verdict")
 
 
-def vocabulary(name: str) -> str:
-    """Path of a public tokenizer's file on this machine; executors have it at the same place."""
-    import public_tokenizers
-
-    return str(public_tokenizers.path(name))
-
-
 def op3_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.components(table(spark, sf_dir, "documents"), percent=85)
 
@@ -63,6 +67,7 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fertility": op1_fertility,
     "op2_line_dedup": op2_line_dedup,
     "op3_near_dup": op3_near_dup,
     "op4_token_store": op4_token_store,
