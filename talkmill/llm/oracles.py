@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express."""
 
+from talkmill.llm.license_scan import TEMPLATES
+
 _KEY = r"translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 LINES = f"""
@@ -38,4 +40,23 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hi
 FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES = {"op10_decontam": PASSAGES, "op2_line_dedup": LINES, "op6_url_filter": URLS}
+_UNIT_WORDS = _WORDS.replace("coalesce(text, '')", "text")
+_TEMPLATES = ", ".join("({}, '{}', '{}')".format(i, name, text.replace("'", "''")) for i, (name, text) in enumerate(TEMPLATES))
+
+LICENSES = f"""
+WITH lines AS (SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+u AS (SELECT doc_id, 0 AS unit, text FROM lines UNION ALL SELECT doc_id, unnest(range(1, len(l) + 1)) AS unit, unnest(l) AS text FROM lines WHERE len(l) > 1),
+w AS (SELECT doc_id, unit, {_UNIT_WORDS} AS w FROM u),
+b AS (SELECT DISTINCT doc_id, unit, w[i] || ' ' || w[i + 1] AS g FROM (SELECT doc_id, unit, w, unnest(range(1, len(w))) AS i FROM w WHERE len(w) >= 2)),
+n AS (SELECT doc_id, unit, count(*) AS n FROM b GROUP BY ALL),
+t AS (SELECT template, license, {_UNIT_WORDS} AS w FROM (VALUES {_TEMPLATES}) AS x(template, license, text)),
+tb AS (SELECT DISTINCT template, license, w[i] || ' ' || w[i + 1] AS g FROM (SELECT template, license, w, unnest(range(1, len(w))) AS i FROM t)),
+m AS (SELECT template, count(*) AS m FROM tb GROUP BY ALL),
+c AS (SELECT doc_id, unit, template, license, count(*) AS c FROM b JOIN tb USING (g) GROUP BY ALL),
+s AS (SELECT doc_id, unit, license, 2 * c / (n + m) AS dice FROM c JOIN n USING (doc_id, unit) JOIN m USING (template) WHERE 200 * c >= 80 * (n + m)),
+best AS (SELECT doc_id, unit, license, dice, row_number() OVER (PARTITION BY doc_id, unit ORDER BY dice DESC, license) AS k FROM s),
+by_doc AS (SELECT doc_id, count(*) AS n_matches, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, arg_min(license, (-dice, license)) AS license, max(dice) AS dice FROM best WHERE k = 1 GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses, license, round(dice, 6) AS dice FROM documents d LEFT JOIN by_doc USING (doc_id)
+"""
+
+ORACLES = {"op7_license_scan": LICENSES, "op10_decontam": PASSAGES, "op2_line_dedup": LINES, "op6_url_filter": URLS}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm import decontam, fertility, line_dedup, near_dup, packing, token_store, toxicity, url_filter
+from talkmill.llm import decontam, fertility, license_scan, line_dedup, near_dup, packing, token_store, toxicity, url_filter
 from talkmill.llm.shared import new_path
 
 
@@ -44,6 +44,11 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_documents(spark, path)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(table(spark, sf_dir, "documents"), license_scan.template_table(spark))
+    return found.select("doc_id", "n_matches", F.array_join("licenses", ",").alias("licenses"), "license", F.round("dice", 6).alias("dice"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -72,6 +77,7 @@ QUERIES = {
     "op3_near_dup": op3_near_dup,
     "op4_token_store": op4_token_store,
     "op6_url_filter": op6_url_filter,
+    "op7_license_scan": op7_license_scan,
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_decontam": op10_decontam,
