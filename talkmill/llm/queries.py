@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm import decontam, fertility, license_scan, line_dedup, near_dup, packing, token_store, toxicity, url_filter
+from talkmill.llm import decontam, fertility, license_scan, line_dedup, near_dup, packing, pii, token_store, toxicity, url_filter
 from talkmill.llm.shared import new_path
 
 
@@ -29,6 +29,12 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.drop_shared_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_private(table(spark, sf_dir, "documents"))
+    counts = [pii.count_of(F.col("base"), k).alias(f"n_{k}") for k in pii.BASE]
+    return found.select("doc_id", *counts, F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.judge_urls(pages, url_filter.rules_table(spark)).select("page_id", "host", "path", "rule", "verdict")
@@ -76,6 +82,7 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_near_dup": op3_near_dup,
     "op4_token_store": op4_token_store,
+    "op5_pii": op5_pii,
     "op6_url_filter": op6_url_filter,
     "op7_license_scan": op7_license_scan,
     "op8_packing": op8_packing,
