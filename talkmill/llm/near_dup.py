@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmill.llm.kernels import NOT_BLANK, Block, blocks, mix, ngram_hashes, span_hashes, spans
@@ -28,6 +28,8 @@ from talkmill.llm.shared import arrow_rows, materialise
 WORDS = 5
 #: A pair of similarity 0.85 misses all bands with probability 3e-7, one of 0.8 with 6e-5.
 BANDS, ROWS = 32, 6
+#: Members of a bucket up to which pairs across components are listed; larger buckets go by differences from a pivot.
+SMALL_BUCKET = 32
 #: Most candidate ids (8 bytes each) to broadcast when texts are fetched; more are joined by shuffle.
 BROADCAST_IDS = 1_000_000
 #: Standard deviations below the wanted similarity at which a sketch rules out a pair.
@@ -179,40 +181,88 @@ def _with_roots(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     return members.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("root", "doc")).drop("root")
 
 
+def _pairs(a, b, na, nb) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.col(na).alias("na"), F.col(nb).alias("nb")]
+
+
+def differences(pairs: DataFrame, texts: DataFrame, k: int = WORDS) -> DataFrame:
+    """Of pairs (p, doc) the symmetric difference of their shingle sets, as delta, with the sets' sizes pn and n."""
+    left, right = texts.select(F.col("doc").alias("p"), F.col("text").alias("tp")), texts.select("doc", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = [[x[lo:hi] for blk in blocks(batch, c, 1 << 19) for x, bounds in [shingle_sets(blk, k)] for lo, hi in zip(bounds, bounds[1:], strict=False)] for c in ("tp", "text")]
+            delta = [np.setxor1d(x, y, assume_unique=True).view(np.int64) for x, y in zip(*sides, strict=True)]
+            sizes = [pa.array([len(x) for x in side], pa.int64()) for side in sides]
+            yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("doc"), *sizes, pa.array(delta, pa.list_(pa.int64()))], names=["p", "doc", "pn", "n", "delta"])
+
+    joined = pairs.select("p", "doc").join(left, "p").join(right, "doc").select("p", "doc", "tp", "text")
+    return arrow_rows(joined, 256).mapInArrow(run, "p long, doc long, pn long, n long, delta array<long>")
+
+
+def pairs_by_difference(members: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
+    """Pairs across components that may be links, among members (p: a pivot, doc, comp, pc: the pivot's component).
+
+    Let x be in another component than the pivot, so not its link: |x ^ p| > r (|x| + |p|), with r = (1 - t) / (1 + t).
+    A link of x and y has |x ^ y| <= r (|x| + |y|), so the differences from p share more than (|y ^ p| - r (|y| - |p|)) / 2
+    shingles. Then x's difference holds one of the rarest of y's, of which as many are looked up as can be missing, and one.
+    """
+    r = (100 - percent) / (100 + percent)
+    known = members.select("p", "doc", "comp", "pc").distinct()
+    delta = materialise(differences(known, texts, k), "differences")
+    each = delta.select("p", "doc", "n", "pn", F.size("delta").alias("size"), F.explode("delta").alias("e"))
+    often = materialise(each.groupBy("p", "e").agg(F.count("*").alias("often")).where("often > 1"), "often")
+    ranked = each.join(often, ["p", "e"], "left").withColumn("often", F.coalesce("often", F.lit(1)))
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("p", "doc").orderBy("often", "e")))
+    least = F.ceil((F.col("size") - r * F.greatest(F.col("n") - F.col("pn"), F.lit(0))) / 2 - 1e-9)
+    first = ranked.where((F.col("rank") <= F.col("size") - least + 1) & (F.col("often") > 1)).select("p", "e", "doc", "n")
+    shared = each.join(often, ["p", "e"], "left_semi").select("p", "e", "doc", "n")
+    comps = materialise(known, "known")
+    y = materialise(first.join(comps, ["p", "doc"]).select("p", "e", "doc", F.col("n").alias("na"), "comp"), "first")
+    x = materialise(shared.join(comps.where("comp <> pc"), ["p", "doc"]).select("p", "e", F.col("doc").alias("x"), F.col("n").alias("nb"), F.col("comp").alias("xc")), "shared")
+    return y.join(x, ["p", "e"]).where("comp <> xc").select(*_pairs("doc", "x", "na", "nb"))
+
+
 def joined_classes(classes: DataFrame, docs: DataFrame, percent: int, k: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame | None:
     """node and root for each of classes (doc, n, keys, sketch) that verified links join to another; None without links.
 
-    Buckets are compared with their smallest and largest member, then with one chosen by hash, and at last all pairs
-    across components that have met in no round are, from all but the bucket's largest component.
+    Buckets are compared with their smallest and largest member, and with the one that meets most others. Of pairs
+    across components that have met in no round, those of small buckets are listed, and of large ones those that can
+    be links by their differences from the bucket's last pivot.
     """
     keyed = classes.select("doc", "n", F.explode("keys").alias("key"))
-    buckets = materialise(keyed.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo < hi"), "buckets")
-    members = materialise(keyed.join(buckets, "key"), "members")
-    ids = materialise(members.select("doc").distinct(), "candidates")
-    n_ids = ids.count()
+    buckets = materialise(keyed.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("size")).where("lo < hi"), "buckets")
+    met = materialise(keyed.join(buckets, "key"), "met")
+    weights = materialise(met.groupBy("doc").agg(F.sum("size").alias("weight")), "candidates")
+    n_ids = weights.count()
     if not n_ids:
         return None
-    few = F.broadcast(ids) if n_ids <= BROADCAST_IDS else ids
+    few = F.broadcast(weights.select("doc")) if n_ids <= BROADCAST_IDS else weights.select("doc")
+    members = materialise(met.join(weights, "doc"), "members")
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(few, "doc", "left_semi")
     texts = materialise(texts.dropDuplicates(["doc"]), "texts")
     sketches = materialise(classes.select("doc", "sketch").join(few, "doc", "left_semi"), "sketches")
     alike = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
     tested = links = roots = None
-    for pivot in ("lo", "hi", "other", None):
+    for pivot in ("lo", "hi", "main", None):
         now = _with_roots(members, roots)
         if pivot != "lo":
             now = materialise(now, "now")
-            split = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.min_by("doc", F.xxhash64("doc", "key")).alias("other")).where("c0 < c1").drop("c0", "c1")
+            split = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max_by("doc", F.struct("weight", "doc")).alias("main")).where("c0 < c1").drop("c0", "c1")
             now = now.join(materialise(split, "split"), "key")
         if pivot:
             head = now.where(F.col("doc") == F.col(pivot)).select("key", F.col("doc").alias("p"), F.col("n").alias("pn"), F.col("comp").alias("pc"))
-            pairs = now.join(head, "key").where("doc <> p and comp <> pc").select(F.least("doc", "p").alias("a"), F.greatest("doc", "p").alias("b"), F.col("n").alias("na"), F.col("pn").alias("nb"))
+            pairs = now.join(head, "key").where("doc <> p and comp <> pc").select(*_pairs("doc", "p", "n", "pn"))
         else:
-            sizes = now.groupBy("key", "comp").agg(F.count("*").alias("size"))
-            main = materialise(sizes.groupBy("key").agg(F.max_by("comp", F.struct("size", "comp")).alias("main")), "main")
-            now = materialise(now.join(main, "key"), "now")
-            minor = now.where("comp <> main").select("key", F.col("doc").alias("p"), F.col("n").alias("pn"), F.col("comp").alias("pc"))
-            pairs = now.join(minor, "key").where("comp <> pc and (comp = main or doc < p)").select(F.least("doc", "p").alias("a"), F.greatest("doc", "p").alias("b"), F.col("n").alias("na"), F.col("pn").alias("nb"))
+            now = materialise(now, "now")
+            few_of = now.where(F.col("size") <= SMALL_BUCKET)
+            other = few_of.select("key", F.col("doc").alias("p"), F.col("n").alias("pn"), F.col("comp").alias("pc"))
+            pairs = few_of.join(other, "key").where("doc < p and comp <> pc").select(*_pairs("doc", "p", "n", "pn"))
+            large = now.where(F.col("size") > SMALL_BUCKET)
+            if not large.isEmpty():
+                heads = large.where("doc = main").select("key", F.col("comp").alias("pc"))
+                by_main = large.join(heads, "key").select(F.col("main").alias("p"), "doc", "comp", "pc")
+                pairs = pairs.union(pairs_by_difference(by_main, texts, percent, k))
         pairs = pairs.where(alike).select("a", "b").distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
