@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from functools import lru_cache
 
 #: Pieces a worker remembers at most; then it forgets all and starts again.
@@ -16,7 +18,7 @@ MEMO_PIECES = 1_500_000
 #: A line end, or the text's start, before a piece. Texts that hold these characters are encoded whole.
 AFTER_LINE, AT_START = "\x00", "\x01"
 #: Punctuation that is always a pre-token of its own behind letters (the apostrophe is not).
-_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!#$%&()*+,\-./:;<=>?@\[\\\]^`{|}~]*)")
+_WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+([!#$%&()*+,\-./:;<=>?@\[\\\]^`{|}~]+)?")
 _RUNS = ("  ", "\n\n", "\n ", " \n")
 
 
@@ -54,9 +56,10 @@ class Encoder:
         self.memo = Memo(self.piece)
 
     def pack(self, ids) -> bytes:
-        import numpy as np
-
-        return np.asarray(ids, self.dtype).tobytes()
+        out = array("H" if self.dtype == "<u2" else "I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
 
     def encode(self, text: str) -> bytes:
         if AFTER_LINE in text or AT_START in text or any(x in text for x in _RUNS):
@@ -88,6 +91,7 @@ class HuggingFace(Encoder):
         self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
         self.spaced = self.tokenizer.encode(" a", add_special_tokens=False).ids != self.tokenizer.encode("a", add_special_tokens=False).ids
         self.folds = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
+        self.blank = self.letters[32] if self.spaced else ""
         self.line_end = self.whole("\n")
         super().__init__()
 
@@ -96,23 +100,21 @@ class HuggingFace(Encoder):
 
     def piece(self, piece: str) -> bytes:
         """Letters and the punctuation behind them are pre-tokens: the model alone encodes the letters."""
-        mark = piece[:1] if piece[:1] in (AFTER_LINE, AT_START) else ""
-        before = self.line_end if mark == AFTER_LINE else b""
-        if found := _WORD.fullmatch(piece, len(mark)):
-            word, tail = found.groups()
-            if word != piece:
-                head = self.memo[mark + word] if tail else b""
-                if not tail:
-                    return before + self.letters_only(word, "")
-                return head + self.memo[AT_START + tail]
-            return self.letters_only(word, " ")
-        if mark == AFTER_LINE:
-            return before + (self.memo[AT_START + piece[1:]] if piece[1:] and not piece[1].isspace() else self.whole("\n" + piece[1:])[len(before) :])
-        return super().piece(piece)
-
-    def letters_only(self, word: str, blank: str) -> bytes:
-        text = (blank if self.spaced else "") + (word.lower() if self.folds else word)
-        return self.pack([t.id for t in self.model.tokenize(text.encode().decode("latin-1").translate(self.letters))])
+        mark = piece[0] if piece and piece[0] in (AFTER_LINE, AT_START) else ""
+        word = piece[1:] if mark else piece
+        plain = _WORD.fullmatch(word)
+        if not plain:
+            if mark == AFTER_LINE and word and not word[0].isspace():
+                return self.line_end + self.memo[AT_START + word]
+            return super().piece(piece)
+        if at := plain.start(1) + 1:  # where the punctuation begins
+            return self.memo[mark + word[: at - 1]] + self.memo[AT_START + word[at - 1 :]]
+        if not word.isascii():
+            word = (word.lower() if self.folds else word).encode().decode("latin-1").translate(self.letters)
+        elif self.folds:
+            word = word.lower()
+        ids = self.pack([t.id for t in self.model.tokenize(word if mark else self.blank + word)])
+        return self.line_end + ids if mark == AFTER_LINE else ids
 
 
 class SentencePiece(Encoder):

@@ -7,7 +7,7 @@ file, in ascending document order, and one over all.
 
     {path}/staged    what tokenising gives, one row for each document (can be deleted after the build)
     {path}/chunks    address, ids
-    {path}/recipes   part, document, n_tokens, addresses, root; ascending ids within and over the parts
+    {path}/recipes   part, row, document, n_tokens, addresses, root; ascending ids within and over the parts
     {path}/manifest  part, n_docs, n_tokens, root
 
 Reading computes every stored chunk's address again, recomputes roots from recipes, and gives each document's CRC-32
@@ -126,7 +126,8 @@ def build_store(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id
     chunks = staged.select(F.explode(F.arrays_zip(F.col("addresses").alias("address"), F.col("ids").alias("ids"))).alias("c")).select("c.address", "c.ids")
     chunks.dropDuplicates(["address"]).write.options(**zstd).parquet(f"{path}/chunks")
     recipes = staged.select("doc", "n_tokens", "root", "addresses").repartitionByRange("doc", "root").sortWithinPartitions("doc", "root")
-    recipes.select(F.spark_partition_id().alias("part"), "*").write.options(**zstd).parquet(f"{path}/recipes")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # counts within the part
+    recipes.select(F.spark_partition_id().alias("part"), row.alias("row"), "*").write.options(**zstd).parquet(f"{path}/recipes")
     _with_roots(spark.read.parquet(f"{path}/recipes"), "root").write.parquet(f"{path}/manifest")
 
 
@@ -154,24 +155,24 @@ def read_documents(spark: SparkSession, path: str, dtype: str = "<u2", id_col: s
     recipes = spark.read.parquet(f"{path}/recipes")
     totals = recipes.groupBy("part").agg(F.sum("n_tokens").alias("in_part"))
     before = totals.select("part", (F.sum("in_part").over(Window.orderBy("part")) - F.col("in_part")).alias("before"))  # a row for each file
-    inside = Window.partitionBy("part").orderBy("doc", "root")
-    placed = recipes.select("part", "doc", "n_tokens", "root", F.row_number().over(inside).alias("row"), (F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_tokens")).alias("within"))
-    listed = recipes.select("part", F.row_number().over(inside).alias("row"), "addresses").select("part", "row", F.posexplode("addresses").alias("seq", "address"))
-    found = listed.join(read_chunks(spark, path, dtype), "address").groupBy("part", "row").agg(F.array_sort(F.collect_list(F.struct("seq", "address", "n", "crc", "intact"))).alias("got"))
+    inside = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
+    placed = recipes.select("part", "row", "doc", "n_tokens", "root", "addresses", (F.sum("n_tokens").over(inside) - F.col("n_tokens")).alias("within"))
+    listed = recipes.select("part", "row", F.posexplode("addresses").alias("seq", "address"))
+    found = listed.join(read_chunks(spark, path, dtype), "address").groupBy("part", "row").agg(F.array_sort(F.collect_list(F.struct("seq", "n", "crc", "intact"))).alias("got"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = batch.column("got")
             flat, bounds = got.flatten(), np.concatenate(([0], np.cumsum([len(x) for x in got]))).astype(np.int64)
             n, crc = flat.field("n").to_numpy(), flat.field("crc").to_numpy()
-            addresses, intact = flat.field("address").to_pylist(), flat.field("intact").to_numpy(zero_copy_only=False)
+            intact = flat.field("intact").to_numpy(zero_copy_only=False)
             sums = np.add.reduceat(n, bounds[:-1]) if len(n) else n
             whole = np.logical_and.reduceat(intact, bounds[:-1]) if len(n) else intact
-            good = [bool(w) and merkle_root(addresses[a:b]) == r for w, a, b, r in zip(whole, bounds, bounds[1:], batch.column("root").to_pylist(), strict=False)]
+            good = [bool(w) and len(a) == n_got and merkle_root(a) == r for w, n_got, a, r in zip(whole, np.diff(bounds), batch.column("addresses").to_pylist(), batch.column("root").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("start"), batch.column("n_tokens"), pa.array(combine_crcs(crc, 4 * n, bounds).astype(np.int64)), pa.array([g and s == t for g, s, t in zip(good, sums, batch.column("n_tokens").to_numpy(), strict=True)], pa.bool_())], names=[id_col, "start", "n_tokens", "ids_crc32", "verified"])
 
     both = placed.join(found, ["part", "row"]).join(F.broadcast(before), "part")  # before: a row for each recipe file
-    slim = both.select("doc", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "root", "got")
+    slim = both.select("doc", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "root", "addresses", "got")
     schema = T.StructType([T.StructField(id_col, slim.schema[0].dataType), *(T.StructField(c, T.LongType()) for c in ("start", "n_tokens", "ids_crc32")), T.StructField("verified", T.BooleanType())])
     return arrow_rows(slim, 2048).mapInArrow(run, schema)
 
