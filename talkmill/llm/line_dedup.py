@@ -42,7 +42,9 @@ def shared_keys(occurrences: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 def drop_shared_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with text_col replaced by the lines that stay, and n_lines (before) and n_dropped."""
     seen = materialise(line_occurrences(docs, min_chars, id_col, text_col), "lines")
-    gone = seen.join(shared_keys(seen, min_docs), ["h1", "h2"]).where(F.col("doc") != F.col("first_doc"))
+    # The keys are written first: both sides of the join are then plain, and Spark can split a very common line's rows.
+    keys = materialise(shared_keys(seen, min_docs), "shared-lines")
+    gone = seen.join(keys, ["h1", "h2"]).where(F.col("doc") != F.col("first_doc"))
     gone = gone.groupBy("doc", "th").agg(F.collect_set("pos").alias("__gone")).withColumnsRenamed({"doc": "__doc", "th": "__th"})
     text = F.coalesce(F.col(text_col), F.lit(""))
     both = docs.withColumn("__hash", F.xxhash64(text)).join(gone, (F.col(id_col) == F.col("__doc")) & (F.col("__hash") == F.col("__th")), "left")
