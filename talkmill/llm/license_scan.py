@@ -2,7 +2,9 @@
 
 Units are the lines of a text and the text as a whole. A unit's words are lower-cased (A-Z) and stripped of
 punctuation; its distinct bigrams meet those of the templates in an equi-join, and only pairs of fitting sizes are
-scored: a Dice coefficient of t needs a size ratio of at least t / (2 - t). DataFrame functions only.
+scored: a Dice coefficient of t needs a size ratio of at least t / (2 - t), and as large a share of a template's
+bigrams. So a match must hold one of any bigrams that make up more than the rest; texts and lines without a word of
+such a set of each template are left out before their words are cut. DataFrame functions only.
 
 Defined results: null and empty texts match nothing, nor do units and templates of fewer than two words. Of several
 templates for a unit, the highest coefficient wins, then the smallest name. Rows equal in id and text are reported
@@ -11,7 +13,9 @@ alike. An empty table gives an empty result; input columns other than id and tex
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmill.llm.shared import ascii_lower
@@ -45,8 +49,47 @@ TEMPLATES = [
 ]
 
 
-def template_table(spark: SparkSession, templates=TEMPLATES) -> DataFrame:
-    return spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(templates)], "template int, license string, text string")
+#: Most bigrams of templates to broadcast (under 100 bytes each); more are joined by shuffle.
+BROADCAST_BIGRAMS = 200_000
+
+
+def template_bigrams(templates=TEMPLATES) -> list[set[tuple[str, str]]]:
+    words = [re.findall(WORD, text.translate({c: c + 32 for c in range(65, 91)})) for _, text in templates]
+    return [set(zip(w, w[1:], strict=False)) for w in words]
+
+
+def anchors(grams: list[set[tuple[str, str]]], percent: int) -> list[str]:
+    """Words of which every match holds at least one: in each template they touch more bigrams than a match may miss."""
+    need = [len(g) - -(-len(g) * percent // (200 - percent)) + 1 if g else 0 for g in grams]
+    open_grams, chosen = [set(g) for g in grams], []
+    while any(n > 0 for n in need):
+        gain: dict[str, int] = {}
+        for g, n in zip(open_grams, need, strict=True):
+            touched: dict[str, int] = {}
+            for pair in g if n > 0 else ():
+                for w in set(pair):
+                    touched[w] = touched.get(w, 0) + 1
+            for w, k in touched.items():
+                gain[w] = gain.get(w, 0) + min(k, n)
+        word = max(gain, key=lambda w: (gain[w] * len(w) ** 5, w))  # long words are rare elsewhere
+        chosen.append(word)
+        for i, g in enumerate(open_grams):
+            left = {p for p in g if word not in p}
+            need[i] -= len(g) - len(left)
+            open_grams[i] = left
+    return chosen
+
+
+def holds_any(text: Column, words: list[str]) -> Column:
+    """Whether text holds one of the words; null for a null text. exists() over an array of one computes the text once."""
+
+    def one_of(t: Column) -> Column:
+        found = F.lit(False)
+        for w in words:  # short words are parts of many others, so they must stand alone
+            found = found | (F.contains(t, F.lit(w)) if len(w) > 3 else F.contains(t, F.lit(w)) & t.rlike(rf"(?<![a-z0-9]){w}(?![a-z0-9])"))
+        return found
+
+    return F.exists(F.array(text), one_of)
 
 
 def bigrams(text):
@@ -58,26 +101,34 @@ def bigrams(text):
 
 def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, hash of the text, unit (0: all of it, else the line's number) and the unit's text; a single line is the text itself."""
-    some = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    some = docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     lines = F.split("text", "\n", -1)
     parts = F.when(F.size(lines) == 1, F.array("text")).otherwise(F.concat(F.array("text"), lines))
     return some.select("doc", "th", F.posexplode(parts).alias("unit", "text"))
 
 
-def matches(docs: DataFrame, templates: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, th (hash of its text), unit, license and dice of each unit's best template with 100 * dice >= percent."""
-    known = templates.select("template", "license", bigrams(F.col("text")).alias("b")).where(F.size("b") > 0).select("template", "license", F.size("b").alias("m"), F.explode("b").alias("bigram"))
-    sizes = known.agg(F.min("m").alias("lo"), F.max("m").alias("hi")).first()  # of the templates, one row
-    low, high = (sizes["lo"] or 0) * percent / (200 - percent), (sizes["hi"] or 0) * (200 - percent) / percent
-    own = units(docs, id_col, text_col).where(F.length("text") >= 2 * low).select("doc", "th", "unit", bigrams(F.col("text")).alias("b"))
-    own = own.select("doc", "th", "unit", F.size("b").alias("n"), "b").where(F.col("n").between(low, high))
-    met = own.select("doc", "th", "unit", "n", F.explode("b").alias("bigram")).join(known, "bigram").where(f"{percent} * (n + m) <= 200 * least(n, m)")
+def matches(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc, th (hash of its text), unit, license and dice of each unit's best template with 100 * dice >= percent.
+
+    templates: (name, text) of each. percent: from 1 to 100.
+    """
+    grams = template_bigrams(templates)
+    rows = [(i, templates[i][0], len(g), " ".join(pair)) for i, g in enumerate(grams) for pair in sorted(g)]
+    known = docs.sparkSession.createDataFrame(rows, "template int, license string, m int, bigram string")
+    known = F.broadcast(known) if len(rows) <= BROADCAST_BIGRAMS else known
+    words = anchors(grams, percent)
+    some = docs.where(holds_any(ascii_lower(F.col(text_col)), words))
+    own = units(some, id_col, text_col).where(holds_any(ascii_lower(F.col("text")), words)).select("doc", "th", "unit", bigrams(F.col("text")).alias("b"))
+    sizes = [len(g) for g in grams if g] or [0]
+    fits = F.col("n").between(min(sizes) * percent / (200 - percent), max(sizes) * (200 - percent) / percent)
+    met = own.select("doc", "th", "unit", F.size("b").alias("n"), F.explode("b").alias("bigram")).where(fits).join(known, "bigram").where(f"{percent} * (n + m) <= 200 * least(n, m)")
+    # Rows equal in id and text have every bigram several times.
     scored = met.groupBy("doc", "th", "unit", "template", "license", "n", "m").agg(F.count_distinct("bigram").alias("common")).where(f"200 * common >= {percent} * (n + m)")
     dice = (2 * F.col("common") / (F.col("n") + F.col("m"))).alias("dice")
     return scored.select("doc", "th", "unit", "license", dice).groupBy("doc", "th", "unit").agg(F.max("dice").alias("dice"), F.min(F.struct((-F.col("dice")).alias("minus"), "license")).alias("best")).select("doc", "th", "unit", "best.license", "dice")
 
 
-def scan(docs: DataFrame, templates: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, n_matches (units with a licence), licenses (their names, sorted), license and dice of the best unit (null: none)."""
     found = matches(docs, templates, percent, id_col, text_col)
     best = F.min(F.struct((-F.col("dice")).alias("minus"), "license")).alias("best")

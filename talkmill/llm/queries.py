@@ -51,7 +51,7 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = license_scan.scan(table(spark, sf_dir, "documents"), license_scan.template_table(spark))
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_matches", F.array_join("licenses", ",").alias("licenses"), "license", F.round("dice", 6).alias("dice"))
 
 
