@@ -87,7 +87,7 @@ def _each(files: DataFrame, handle: Callable[[bytes], dict], schema: str) -> Dat
                     rows.append({"path": path, "error": None} | handle(content))
                 except Exception as e:  # noqa: BLE001  any unreadable file is a row with an error
                     rows.append({"path": path, "error": f"{type(e).__name__}: {e}"})
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype=object) for n in names})
 
     return files.select("path", "content").mapInPandas(run, schema)
 
