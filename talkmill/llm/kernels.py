@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at once; a single longer text is a block of its own.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _U = np.uint64
 _STEP = 0x9E3779B97F4A7C15
@@ -25,14 +25,19 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base modulo 2^64, and of its inverse."""
-    base = _STEP
+_kept_powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """At least n powers of an odd base modulo 2^64, and of its inverse. A worker keeps those of ordinary blocks."""
+    if len(_kept_powers[0]) >= n:
+        return _kept_powers
+    size = max(BLOCK_BYTES, 1 << (n - 1).bit_length())
     with np.errstate(over="ignore"):
-        up = np.cumprod(np.concatenate((np.ones(1, _U), np.full(n, base, _U))), dtype=_U)
-        down = np.cumprod(np.concatenate((np.ones(1, _U), np.full(n, pow(base, -1, 1 << 64), _U))), dtype=_U)
-    return up, down
+        found = [np.cumprod(np.concatenate((np.ones(1, _U), np.full(size - 1, base, _U))), dtype=_U) for base in (_STEP, pow(_STEP, -1, 1 << 64))]
+    if size <= 4 * BLOCK_BYTES:
+        _kept_powers[:] = found
+    return found
 
 
 @lru_cache(maxsize=4)
@@ -113,7 +118,7 @@ def spans(block: Block, is_word: np.ndarray) -> Spans:
 
 def span_hashes(block: Block, start: np.ndarray, end: np.ndarray, fold: bool = False) -> np.ndarray:
     """A 64-bit hash of the bytes of each span, from prefix sums; fold: A-Z count as a-z."""
-    up, down = _powers(1 << max(16, len(block.data).bit_length()))
+    up, down = _powers(len(block.data))
     sums = np.zeros(len(block.data) + 1, _U)
     with np.errstate(over="ignore"):
         np.cumsum(_letters(fold)[block.data] * up[: len(block.data)], out=sums[1:])
