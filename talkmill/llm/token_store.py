@@ -6,6 +6,7 @@ address once. A document's recipe lists its addresses and their Merkle root; the
 file, in ascending document order, and one over all.
 
     {path}/staged    what tokenising gives, one row for each document (can be deleted after the build)
+    {path}/repeated  addresses that occur more than once, and which occurrence is stored (likewise)
     {path}/chunks    address, ids
     {path}/recipes   part, row, document, n_tokens, addresses, root; ascending ids within and over the parts
     {path}/manifest  part, n_docs, n_tokens, root
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,7 +35,9 @@ from talkmill.llm.memo_tokens import encoder
 from talkmill.llm.shared import arrow_rows
 
 #: Ids in a chunk: at least, on the average beyond that (a power of two), at most. Ids that the rolling hash sees.
-LEAST, MEAN, MOST, WINDOW = 64, 256, 2048, 8
+LEAST, MEAN, MOST, WINDOW = 128, 512, 4096, 8
+#: Most addresses of repeated chunks to broadcast (about 60 bytes each); with more, all chunks are shuffled instead.
+BROADCAST_REPEATED = 500_000
 
 _U = np.uint64
 
@@ -96,11 +100,12 @@ def combine_crcs(crcs: np.ndarray, sizes: np.ndarray, bounds: np.ndarray) -> np.
 
 def _staged(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
     slim = arrow_rows(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), 256)
-    schema = T.StructType([T.StructField("doc", slim.schema[0].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("root", T.BinaryType()), T.StructField("addresses", T.ArrayType(T.BinaryType())), T.StructField("ids", T.ArrayType(T.BinaryType()))])
+    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("doc", slim.schema[0].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("root", T.BinaryType()), T.StructField("addresses", T.ArrayType(T.BinaryType())), T.StructField("ids", T.ArrayType(T.BinaryType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         end, width = enc.pack([end_id]), np.dtype(enc.dtype).itemsize
+        uid = TaskContext.get().partitionId() << 33
         for batch in batches:
             n, roots, addresses, parts = [], [], [], []
             for text in batch.column(1):
@@ -112,19 +117,31 @@ def _staged(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col
                 roots.append(merkle_root(names))
                 addresses.append(names)
                 parts.append(own)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.array(addresses, pa.list_(pa.binary())), pa.array(parts, pa.list_(pa.binary()))], names=["doc", "n_tokens", "root", "addresses", "ids"])
+            uids, uid = pa.array(range(uid, uid + len(n)), pa.int64()), uid + len(n)
+            yield pa.RecordBatch.from_arrays([uids, batch.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.array(addresses, pa.list_(pa.binary())), pa.array(parts, pa.list_(pa.binary()))], names=["uid", "doc", "n_tokens", "root", "addresses", "ids"])
 
     return slim.mapInArrow(run, schema)
 
 
+def _unique_chunks(staged: DataFrame, path: str) -> DataFrame:
+    """address and ids, each address once. Only addresses are shuffled, to find the repeated ones and who keeps each."""
+    seen = staged.select("uid", F.posexplode("addresses").alias("seq", "address"))
+    counted = seen.groupBy("address").agg(F.count("*").alias("n"), F.min(F.struct("uid", "seq")).alias("keeper"))
+    counted.where("n > 1").select("address", "keeper").write.parquet(path)
+    repeated = staged.sparkSession.read.parquet(path)
+    chunks = staged.select("uid", F.posexplode(F.arrays_zip(F.col("addresses").alias("address"), F.col("ids").alias("ids"))).alias("seq", "c")).select("uid", "seq", "c.address", "c.ids")
+    if repeated.count() > BROADCAST_REPEATED:
+        return chunks.select("address", "ids").dropDuplicates(["address"])
+    return chunks.join(F.broadcast(repeated), "address", "left").where(F.col("keeper").isNull() | (F.col("keeper") == F.struct("uid", "seq"))).select("address", "ids")
+
+
 def build_store(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode all texts, an end_id behind each, and write the store. Texts are tokenised once."""
     spark = docs.sparkSession
     zstd = {"compression": "zstd"}
     _staged(docs, vocabulary, end_id, id_col, text_col).write.options(**zstd).parquet(f"{path}/staged")
     staged = spark.read.parquet(f"{path}/staged")
-    chunks = staged.select(F.explode(F.arrays_zip(F.col("addresses").alias("address"), F.col("ids").alias("ids"))).alias("c")).select("c.address", "c.ids")
-    chunks.dropDuplicates(["address"]).write.options(**zstd).parquet(f"{path}/chunks")
+    _unique_chunks(staged, f"{path}/repeated").write.options(**zstd).parquet(f"{path}/chunks")
     recipes = staged.select("doc", "n_tokens", "root", "addresses").repartitionByRange("doc", "root").sortWithinPartitions("doc", "root")
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # counts within the part
     recipes.select(F.spark_partition_id().alias("part"), row.alias("row"), "*").write.options(**zstd).parquet(f"{path}/recipes")
