@@ -9,7 +9,8 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 RATE = 16_000
 FRAME_SECONDS, TRIGGER = 0.02, 0.5
@@ -121,3 +122,44 @@ def preprocess(files: DataFrame, rate: int = RATE) -> DataFrame:
 def split_valid(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows with a duration, and rows without."""
     return decoded.where("duration is not null"), decoded.where("duration is null")
+
+
+def encode_wav(samples: np.ndarray, rate: int = RATE) -> bytes:
+    """Samples from -1 to 1 as a mono WAV file of 16 bits."""
+    out = io.BytesIO()
+    with wave.open(out, "wb") as f:
+        f.setnchannels(1)
+        f.setsampwidth(2)
+        f.setframerate(rate)
+        f.writeframes((np.clip(samples, -1, 1) * 32767).astype("<i2").tobytes())
+    return out.getvalue()
+
+
+def wav_files(rows: DataFrame, path: Column, samples: Column, rate: int = RATE) -> DataFrame:
+    """path and content: arrays of samples as WAV files."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"path": batch["path"], "content": [encode_wav(np.asarray(x, np.float32), rate) for x in batch["samples"]]})
+
+    return rows.select(path.alias("path"), samples.alias("samples")).mapInPandas(run, "path string, content binary")
+
+
+def resampled(samples: Column, rate: int, target: int = RATE) -> Column:
+    """Arrays of samples at another rate."""
+
+    @F.pandas_udf("array<float>")
+    def convert(chunk: pd.Series) -> pd.Series:
+        return chunk.map(lambda x: resample(np.asarray(x, np.float32), rate, target))
+
+    return convert(samples)
+
+
+def trimmed(samples: Column, rate: int = RATE, trigger: float = TRIGGER) -> Column:
+    """Arrays of samples without the silence before them."""
+
+    @F.pandas_udf("array<float>")
+    def convert(chunk: pd.Series) -> pd.Series:
+        return chunk.map(lambda x: trim_silence(np.asarray(x, np.float32), rate, trigger))
+
+    return convert(samples)

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talkmill.functions import arrays, documents, paths, text
-from talkmill.operators import batching, catalog, inference, metrics, reconcile
+from talkmill.operators import audio, batching, catalog, inference, metrics, reconcile
 from talkmill.plans.views import oracle, view
-from talkmill.sources import files
+from talkmill.sources import files, store
+from talkmill.sources.scratch import scratch_path
+from talkmill.streaming import live_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -703,3 +705,176 @@ def x9(rows):
 @register("I2", f"select doc_id, {_CODE} as lang from v_predictions", "v_predictions")
 def i2(pred):
     return pred.select("doc_id", _code().alias("lang"))
+
+
+# Documents as JSON, read back and changed
+
+
+def raw_documents(cat: DataFrame) -> DataFrame:
+    """The catalog as JSON texts: a claim that isn't there is missing, one that is null is null."""
+    dialog = F.when(F.col("doc_id") % 7 != 0, F.array(F.struct(F.lit("recording").alias("type"), F.concat(F.lit("d-"), "basename").alias("basename"), F.col("filename").alias("filename"), F.col("duration").cast("string").alias("duration"), F.col("size_bytes").alias("size_bytes"), F.lit(16000).alias("sample_rate"))))
+    text_of = F.array(F.struct(F.lit("transcript").alias("type"), F.struct(F.concat(F.lit("text of "), "basename").alias("text")).alias("body")))
+    body = F.to_json(F.struct("uuid", "basename", "filename", "done", "corrupt", F.when(F.col("claim_present"), F.col("processed_by")).alias("processed_by"), dialog.alias("dialog"), text_of.alias("analysis")))
+    null_claim = F.col("claim_present") & F.col("processed_by").isNull()
+    return cat.select(F.when(null_claim, F.regexp_replace(body, r"\}$", ',"processed_by":null}')).otherwise(body).alias("value"))
+
+
+def typed(cat: DataFrame) -> DataFrame:
+    return documents.parse_documents(raw_documents(cat))
+
+
+@register("P2", "select uuid, '0.0.2' as vcon, basename, filename, done, corrupt, case when claim_present then processed_by end as processed_by, claim_present, case when doc_id % 7 <> 0 then 1 else 0 end as n_dialog from v_catalog", "v_catalog")
+def p2(cat):
+    return typed(cat).select("uuid", "vcon", "basename", "filename", "done", "corrupt", "processed_by", "claim_present", F.size("dialog").alias("n_dialog"))
+
+
+@register("P4", "select uuid, concat('new-', basename) as filename, case when doc_id % 7 <> 0 then concat('d-', basename) end as basename, case when doc_id % 7 <> 0 then duration else 0 end as duration from v_catalog", "v_catalog")
+def p4(cat):
+    out = typed(cat).withColumn("dialog", documents.with_first_dialog("filename", F.concat(F.lit("new-"), "basename")))
+    return out.select("uuid", *(documents.first_dialog(f).alias(f) for f in ("filename", "basename", "duration")))
+
+
+@register("P9", "select uuid, concat('text of ', basename) as first, concat('more of ', basename) as last from v_catalog", "v_catalog")
+def p9(cat):
+    out = typed(cat).withColumn("analysis", documents.append_transcript(F.col("analysis"), F.concat(F.lit("more of "), "basename"), "backend"))
+    return out.select("uuid", documents.transcript(F.col("analysis")).alias("first"), documents.transcript(F.col("analysis"), "last").alias("last"))
+
+
+@register("P10", "select uuid, 'en,es' as languages, 2 as n from v_catalog", "v_catalog")
+def p10(cat):
+    out = typed(cat).withColumn("analysis", documents.append_languages(F.col("analysis"), F.array(F.lit("en"), F.lit("es")), "backend"))
+    return out.select("uuid", F.array_join(documents.languages(F.col("analysis")), ",").alias("languages"), F.size("analysis").alias("n"))
+
+
+@register("F23", "select uuid, basename as party, case when doc_id % 7 <> 0 then 2 else 1 end as n_dialog from v_catalog", "v_catalog")
+def f23(cat):
+    party = F.struct(F.col("basename").alias("name"), F.lit("agent").alias("role"))
+    dialog = F.struct(*(F.lit(None).cast(t).alias(f) for f, t in documents.DIALOG_FIELDS.items()))
+    out = typed(cat).withColumns({"parties": documents.append_to("parties", party), "dialog": documents.append_to("dialog", dialog)})
+    return out.select("uuid", F.get("parties", F.lit(0))["name"].alias("party"), F.size("dialog").alias("n_dialog"))
+
+
+@register("S10", "select uuid, false as has_claim, cast(null as bigint) as size_bytes, case when doc_id % 7 <> 0 then filename end as filename from v_catalog", "v_catalog")
+def s10(cat):
+    lines = documents.export_form(typed(cat)).select(F.to_json(F.struct("*")).alias("value"))
+    has_claim = F.array_contains(F.json_object_keys("value"), "processed_by").alias("has_claim")
+    return lines.select(documents.item(F.col("value"), "uuid").alias("uuid"), has_claim, F.get_json_object("value", "$.dialog[0].size_bytes").cast("bigint").alias("size_bytes"), F.get_json_object("value", "$.dialog[0].filename").alias("filename"))
+
+
+@register("S17", "select * from (" + ORACLES["A8"] + ")", "v_measurements")
+def s17(rows):
+    spark = rows.sparkSession
+    path = scratch_path(spark, "report")
+    store.save_report(a8(rows), path, "1", "2024-01-01T00:00:00Z")
+    columns = {c: "string" if c in ("program", "state") else "double" for c in a8(rows).columns}
+    return spark.read.schema(", ".join(f"`{c}` {t}" for c, t in columns.items())).json(path)
+
+
+# Sound made of the embeddings, and backends that tell what they were given
+
+
+def wavs(rows: DataFrame) -> DataFrame:
+    return audio.wav_files(rows, F.concat(F.lit("v"), F.col("vec_id").cast("string"), F.lit(".wav")), F.col("embedding"))
+
+
+@register("S18", "select concat('v', vec_id, '.wav') as path, 16000 as sample_rate, len(embedding) / 16000 as duration, 1 as channels, len(embedding) as samples from embeddings", "embeddings")
+def s18(rows):
+    loaded = audio.load(wavs(rows))
+    return loaded.select("path", "sample_rate", "duration", F.size("channels").alias("channels"), F.size(F.get("channels", F.lit(0))).alias("samples"))
+
+
+@register("P16", "select concat('v', vec_id, '.wav') as path, vec_id % 10 <> 0 as valid from embeddings", "embeddings")
+def p16(rows):
+    damaged = wavs(rows).withColumn("content", F.when(F.col("path").rlike(r"0\.wav$"), F.substring("content", 1, 20)).otherwise(F.col("content")))
+    good, bad = audio.split_valid(audio.probe(damaged))
+    return good.select("path", F.lit(True).alias("valid")).unionAll(bad.select("path", F.lit(False).alias("valid")))
+
+
+@register("X4", "select vec_id, 2 * len(embedding) as length from embeddings", "embeddings")
+def x4(rows):
+    return rows.select("vec_id", F.size(audio.resampled(F.col("embedding"), 8000)).alias("length"))
+
+
+@register("X5", "select vec_id, 320 + len(embedding) as length from embeddings", "embeddings")
+def x5(rows):
+    quiet = F.concat(F.array_repeat(F.lit(0.0).cast("float"), 640), F.array_repeat(F.lit(0.5).cast("float"), 320), F.col("embedding"))
+    return rows.select("vec_id", F.size(audio.trimmed(quiet)).alias("length"))
+
+
+@register("X8", "select concat('v', vec_id, '.wav') as path, len(embedding) / 16000 as duration, len(embedding) as samples, cast(null as varchar) as error from embeddings", "embeddings")
+def x8(rows):
+    return audio.preprocess(wavs(rows)).select("path", "duration", F.size("samples").alias("samples"), "error")
+
+
+def sign_backend():
+    return lambda batch: [int(x[0] > 0) for x in batch]
+
+
+def length_backend(name: str):
+    return lambda: lambda batch: [[f"{name} {len(x)}"] for x in batch]
+
+
+@register("I1", "select vec_id, case when embedding[1] > 0 then 1 else 0 end as label_idx from embeddings", "embeddings")
+def i1(rows):
+    return rows.select("vec_id", inference.label_indexes(F.col("embedding"), sign_backend).alias("label_idx"))
+
+
+_HEARD = "select vec_id, concat('{}', ' ', len(embedding)) as transcript from embeddings"
+
+
+@register("I3", _HEARD.format("any"), "embeddings")
+def i3(rows):
+    return rows.select("vec_id", inference.transcripts(F.col("embedding"), length_backend("any")).alias("transcript"))
+
+
+@register("I4", "select vec_id, case when vec_id % 2 = 0 then 'x' else '' end as transcript from embeddings", "embeddings")
+def i4(rows):
+    backend = lambda: lambda batch: ["x" if int(a[0]) % 2 == 0 else None for a in batch]
+    return rows.select("vec_id", inference.transcripts(F.array("vec_id"), backend).alias("transcript"))
+
+
+@register("J11", "select vec_id, 'heard' as transcript from embeddings", "embeddings")
+def j11(rows):
+    return rows.select("vec_id", inference.transcripts(F.col("embedding"), lambda: lambda batch: ["heard"] * len(batch)).alias("transcript"))
+
+
+@register("I6", "select vec_id, concat(case when label % 2 = 0 then 'en' else 'other' end, ' ', len(embedding)) as transcript from embeddings", "embeddings")
+def i6(rows):
+    routed = rows.select("vec_id", "embedding", F.when(F.col("label") % 2 == 0, F.lit("en")).otherwise(F.lit("other")).alias("route"))
+    return inference.transcribe_routes(routed, {"en": length_backend("en"), "other": length_backend("other")}, "embedding").select("vec_id", "transcript")
+
+
+# Streams over the tables, run until their input is used up
+
+
+@register("R4", _MERGED, "v_catalog", "v_incoming")
+def r4(cat, incoming):
+    """New documents stream into the catalog's log; its last versions are the merged catalog."""
+    spark = cat.sparkSession
+    log, source, checkpoint = (scratch_path(spark, n) for n in ("log", "incoming", "checkpoint"))
+    columns = ["uuid", "basename", "filename", "size_bytes"]
+    store.append(cat.select(columns), log, -1)
+    incoming.select(columns).write.parquet(source)
+    stream = spark.readStream.schema("uuid string, basename string, filename string, size_bytes long").parquet(source)
+    query = stream.writeStream.foreachBatch(lambda batch, i: store.append(batch, log, i)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return store.load_all(spark, log)
+
+
+@register("R6", f"select program, round(count, 3) as count, round(bytes, 3) as bytes, round(duration, 3) as duration, round(blocked, 2) as blocked from ({_SUMS}) join ({_WAITS}) using (program)", "v_measurements")
+def r6(rows):
+    """The measurements as a stream, folded program by program; the last status of each."""
+    spark = rows.sparkSession
+    source, out, checkpoint = (scratch_path(spark, n) for n in ("measurements", "status", "checkpoint"))
+    rows.select("program", "name", F.col("value").cast("double").alias("value"), "seq", "ts").write.parquet(source)
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    live_metrics.use_rocksdb(spark)
+    try:
+        stream = live_metrics.program_status(spark.readStream.schema(live_metrics.MEASUREMENT).parquet(source))
+        query = stream.writeStream.outputMode("update").foreachBatch(lambda batch, i: batch.withColumn("batch", F.lit(i)).write.mode("append").parquet(out)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    last = catalog.latest(spark.read.parquet(out), "program", "batch")
+    return rounded(last.select("program", *metrics.MEASURES, F.round("blocked", 2).alias("blocked")), *metrics.MEASURES, places=3)
