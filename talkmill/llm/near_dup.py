@@ -186,7 +186,7 @@ def _pairs(a, b, na, nb) -> list:
 
 
 def differences(pairs: DataFrame, texts: DataFrame, k: int = WORDS) -> DataFrame:
-    """Of pairs (p, doc) the symmetric difference of their shingle sets, as delta, with the sets' sizes pn and n."""
+    """Of pairs (p, doc) doc's shingle set (own), its symmetric difference from p's (delta), and the sets' sizes pn and n."""
     left, right = texts.select(F.col("doc").alias("p"), F.col("text").alias("tp")), texts.select("doc", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,10 +194,11 @@ def differences(pairs: DataFrame, texts: DataFrame, k: int = WORDS) -> DataFrame
             sides = [[x[lo:hi] for blk in blocks(batch, c, 1 << 19) for x, bounds in [shingle_sets(blk, k)] for lo, hi in zip(bounds, bounds[1:], strict=False)] for c in ("tp", "text")]
             delta = [np.setxor1d(x, y, assume_unique=True).view(np.int64) for x, y in zip(*sides, strict=True)]
             sizes = [pa.array([len(x) for x in side], pa.int64()) for side in sides]
-            yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("doc"), *sizes, pa.array(delta, pa.list_(pa.int64()))], names=["p", "doc", "pn", "n", "delta"])
+            own = [y.view(np.int64) for y in sides[1]]
+            yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("doc"), *sizes, *(pa.array(x, pa.list_(pa.int64())) for x in (delta, own))], names=["p", "doc", "pn", "n", "delta", "own"])
 
     joined = pairs.select("p", "doc").join(left, "p").join(right, "doc").select("p", "doc", "tp", "text")
-    return arrow_rows(joined, 256).mapInArrow(run, "p long, doc long, pn long, n long, delta array<long>")
+    return arrow_rows(joined, 256).mapInArrow(run, "p long, doc long, pn long, n long, delta array<long>, own array<long>")
 
 
 def pairs_by_difference(members: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
@@ -205,33 +206,36 @@ def pairs_by_difference(members: DataFrame, texts: DataFrame, percent: int, k: i
 
     Let x be in another component than the pivot, so not its link: |x ^ p| > r (|x| + |p|), with r = (1 - t) / (1 + t).
     A link of x and y has |x ^ y| <= r (|x| + |y|), so the differences from p share more than (|y ^ p| - r (|y| - |p|)) / 2
-    shingles. Then x's difference holds one of the rarest of y's, of which as many are looked up as can be missing, and one.
+    shingles. Then x's difference holds one of the rarest of y's, of which as many are looked up as can be missing, and
+    one. Likewise x itself holds one of the rarest of y's own shingles, as it shares t |y| of them at least. Each y is
+    looked up the way that meets fewer: by differences if it is near the pivot, by its own shingles if it is far.
     """
     r = (100 - percent) / (100 + percent)
-    known = members.select("p", "doc", "comp", "pc").distinct()
-    delta = materialise(differences(known, texts, k), "differences")
-    each = delta.select("p", "doc", "n", "pn", F.size("delta").alias("size"), F.explode("delta").alias("e"))
-    often = materialise(each.groupBy("p", "e").agg(F.count("*").alias("often")).where("often > 1"), "often")
-    ranked = each.join(often, ["p", "e"], "left").withColumn("often", F.coalesce("often", F.lit(1)))
-    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("p", "doc").orderBy("often", "e")))
-    least = F.ceil((F.col("size") - r * F.greatest(F.col("n") - F.col("pn"), F.lit(0))) / 2 - 1e-9)
-    first = ranked.where((F.col("rank") <= F.col("size") - least + 1) & (F.col("often") > 1)).select("p", "e", "doc", "n")
-    shared = each.join(often, ["p", "e"], "left_semi").select("p", "e", "doc", "n")
-    comps = materialise(known, "known")
-    y = materialise(first.join(comps, ["p", "doc"]).select("p", "e", "doc", F.col("n").alias("na"), "comp"), "first")
-    x = materialise(shared.join(comps.where("comp <> pc"), ["p", "doc"]).select("p", "e", F.col("doc").alias("x"), F.col("n").alias("nb"), F.col("comp").alias("xc")), "shared")
-    return y.join(x, ["p", "e"]).where("comp <> xc").select(*_pairs("doc", "x", "na", "nb"))
+    known = materialise(members.select("p", "doc", "comp", "pc").distinct(), "known")
+    sets = materialise(differences(known, texts, k), "differences")
+    least = F.ceil((F.size("delta") - r * F.greatest(F.col("n") - F.col("pn"), F.lit(0))) / 2 - 1e-9)
+    ways = F.array(F.struct(F.lit(0).alias("way"), F.col("delta").alias("of"), (F.size("delta") - least + 1).alias("first")), F.struct(F.lit(1).alias("way"), F.col("own").alias("of"), (F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-9) + 1).alias("first")))
+    each = sets.select("p", "doc", "n", F.explode(ways).alias("w")).select("p", "doc", "n", "w.way", "w.first", F.explode("w.of").alias("e"))
+    often = materialise(each.groupBy("p", "way", "e").agg(F.count("*").alias("often")).where("often > 1"), "often")
+    ranked = each.join(often, ["p", "way", "e"], "left").withColumn("often", F.coalesce("often", F.lit(1)))
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("p", "doc", "way").orderBy("often", "e")))
+    looked_up = materialise(ranked.where("rank <= first"), "looked-up")
+    cost = looked_up.groupBy("p", "doc", "way").agg(F.sum(F.col("often") - 1).alias("cost")).groupBy("p", "doc").agg(F.min_by("way", F.struct("cost", "way")).alias("way"))
+    y = looked_up.where("often > 1").join(cost, ["p", "doc", "way"]).join(known, ["p", "doc"]).select("p", "way", "e", "doc", F.col("n").alias("na"), "comp")
+    shared = each.join(often, ["p", "way", "e"], "left_semi")
+    x = shared.join(known.where("comp <> pc"), ["p", "doc"]).select("p", "way", "e", F.col("doc").alias("x"), F.col("n").alias("nb"), F.col("comp").alias("xc"))
+    return materialise(y, "rare").join(materialise(x, "shared"), ["p", "way", "e"]).where("comp <> xc").select(*_pairs("doc", "x", "na", "nb"))
 
 
 def joined_classes(classes: DataFrame, docs: DataFrame, percent: int, k: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame | None:
     """node and root for each of classes (doc, n, keys, sketch) that verified links join to another; None without links.
 
-    Buckets are compared with their smallest and largest member, and with the one that meets most others. Of pairs
+    Buckets are compared with their smallest member, and with the one that meets most others. Of pairs
     across components that have met in no round, those of small buckets are listed, and of large ones those that can
     be links by their differences from the bucket's last pivot.
     """
     keyed = classes.select("doc", "n", F.explode("keys").alias("key"))
-    buckets = materialise(keyed.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"), F.count("*").alias("size")).where("lo < hi"), "buckets")
+    buckets = materialise(keyed.groupBy("key").agg(F.min("doc").alias("lo"), F.count("*").alias("size")).where("size > 1"), "buckets")
     met = materialise(keyed.join(buckets, "key"), "met")
     weights = materialise(met.groupBy("doc").agg(F.sum("size").alias("weight")), "candidates")
     n_ids = weights.count()
@@ -244,7 +248,7 @@ def joined_classes(classes: DataFrame, docs: DataFrame, percent: int, k: int = W
     sketches = materialise(classes.select("doc", "sketch").join(few, "doc", "left_semi"), "sketches")
     alike = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
     tested = links = roots = None
-    for pivot in ("lo", "hi", "main", None):
+    for pivot in ("lo", "main", None):
         now = _with_roots(members, roots)
         if pivot != "lo":
             now = materialise(now, "now")
