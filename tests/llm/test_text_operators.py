@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -53,6 +54,35 @@ def test_bands(spark):
     assert fertility.judge(empty(spark), vocabulary("piece_bpe_32k.model")).count() == 0
 
 
+def test_fitted_bands(spark):
+    """Words with symbols are within the wide bands, but far from most texts of their language and size."""
+    prose = {
+        "en": "the river carries sand from many hills to sea and each flood lays down another layer over older ones farmers know this well they plant early grain on high ground keep cattle near water during dry months mend walls before autumn storms arrive",
+        "de": "der fluss trägt sand von vielen hügeln zum meer und jede flut legt eine neue schicht über die alten bauern wissen das gut sie säen frühes korn auf hohem boden halten vieh nahe am wasser während trockener monate und bessern mauern aus",
+        "fr": "la rivière porte le sable des collines vers la mer et chaque crue dépose une autre couche sur les anciennes les paysans savent cela ils sèment tôt sur les hauteurs gardent le bétail près de leau pendant les mois secs réparent murs avant orages",
+        "es": "el río lleva arena desde muchas colinas hasta el mar y cada crecida deja otra capa sobre las antiguas los campesinos lo saben bien siembran temprano en tierra alta guardan ganado cerca del agua durante meses secos reparan muros antes tormentas",
+    }
+    rng, rows = random.Random(3), []
+    for lang, words in prose.items():
+        for i in range(80):
+            rows.append((len(rows), " ".join(rng.choice(words.split()) for _ in range(120)) + ".", lang, "clean"))
+        for i in range(6):
+            rows.append((len(rows), " ".join(rng.choice(words.split()[:30]) + rng.choice(("$$$", "%%%", "&&&", "###")) for _ in range(90)), lang, "junk"))
+    kinds = {r[0]: r[2:] for r in rows}
+    out = collected(fertility.judge(spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string"), vocabulary("piece_bpe_32k.model")))
+    assert len(out) == len(rows) and not any(r["base_failed"] for r in out)
+    assert not [r for r in out if kinds[r["doc_id"]][1] == "junk" and r["kept"]]
+    for lang in prose:
+        assert sum(r["kept"] for r in out if kinds[r["doc_id"]] == (lang, "clean")) >= 78
+
+
+def test_limits_of_sizes():
+    """Sizes without enough texts take lower limits from below and upper ones from above, within the wide band."""
+    wide, fitted = fertility.Band(1, 6, 0.05, 3, 14), fertility.Band(2, 4, 0.02, 5, 8)
+    by = {r[1]: r[2:] for r in fertility.limits({("en", 7): fitted}, {"en": wide})}
+    assert by[7] == (2, 4, 0.02, 5, 8) and by[6] == (1, 4, 0.02, 3, 8) and by[9] == (2, 6, 0.05, 5, 14)
+
+
 def test_script():
     assert [fertility.script(t) for t in ("abc", "привет", "漢字かな", "नमस्ते", "123", "")] == ["latin", "cyrillic", "cjk", "other", "latin", "latin"]
 
