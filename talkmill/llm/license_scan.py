@@ -1,11 +1,17 @@
 """Find licence notices and texts in documents by Dice coefficients over word bigrams.
 
-Units are the lines of a text and the text as a whole. A unit's words are lower-cased (A-Z) and stripped of
+Units are the lines of a text, the text as a whole, and windows of two or more consecutive lines. A unit's words are lower-cased (A-Z) and stripped of
 punctuation; its distinct bigrams meet those of the templates in an equi-join, and only pairs of fitting sizes are
 scored: a Dice coefficient of t needs a size ratio of at least t / (2 - t), and as large a share of a template's
 bigrams. So a match must hold one of any bigrams that make up more than the rest; texts and lines without a word of
 such a set of each template are left out before their words are cut. DataFrame functions only.
 
+Windows find notices that are wrapped over lines within longer texts. For each template they begin and end with lines
+that hold its bigrams (other lines at the ends only lower the coefficient), and end where a bigram is met that the
+window had not yet; bigrams may cross line ends. Of windows that overlap, the one with the highest coefficient counts,
+then the smallest name, then the first and shortest. A window doesn't count, and only keeps others of its licence from
+counting, if the whole text or one of its lines matches with at least its coefficient.
+
 Defined results: null and empty texts match nothing, nor do units and templates of fewer than two words. Of several
 templates for a unit, the highest coefficient wins, then the smallest name. Rows equal in id and text are reported
 alike. An empty table gives an empty result; input columns other than id and text are not carried.
@@ -18,7 +24,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.llm.shared import ascii_lower
+from talkmill.llm.shared import ascii_lower, materialise
 
 PERCENT = 80
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -107,29 +113,78 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return some.select("doc", "th", F.posexplode(parts).alias("unit", "text"))
 
 
+def line_pairs(text: Column) -> Column:
+    """Bigrams of a text over its line ends: an array of first (line of the first word), last (line of the second) and bigram."""
+    words = F.flatten(F.transform(F.split(ascii_lower(text), "\n", -1), lambda x, i: F.transform(F.regexp_extract_all(x, F.lit(WORD), F.lit(0)), lambda w: F.struct((i + 1).alias("line"), w.alias("word")))))
+
+    def pairs(w: Column) -> Column:
+        n = F.greatest(F.size(w) - 1, F.lit(0))
+        return F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.struct(a["line"].alias("first"), b["line"].alias("last"), F.concat_ws(" ", a["word"], b["word"]).alias("bigram")))
+
+    return F.transform(F.array(words), pairs)[0]  # an array of one computes the words once
+
+
+def windows(some: DataFrame, own: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Matches of windows, as matches() has them; unit is the first line. some: doc, th, text; own: matches of lines and whole texts."""
+    wrapped = some.where(F.contains("text", F.lit("\n")))
+    met = wrapped.select("doc", "th", F.inline(line_pairs(F.col("text")))).join(known, "bigram")
+    hits = met.groupBy("doc", "th", "template", "license", "m").agg(F.array_sort(F.collect_set(F.struct("last", "first", "gram"))).alias("hits"))
+    hits = hits.where(F.size(F.array_distinct(F.col("hits")["gram"])) * (200 - percent) >= percent * F.col("m"))
+
+    def ends(later: Column) -> Column:  # the line where each bigram is first met, in their order
+        return F.transform(F.array_distinct(later["gram"]), lambda g: F.element_at(later["last"], F.array_position(later["gram"], g).cast("int")))
+
+    starts = hits.select("doc", "th", "template", "license", "m", "hits", F.explode(F.array_distinct(F.col("hits")["first"])).alias("start"))
+    later = F.filter("hits", lambda h: h["first"] >= F.col("start"))
+    found = starts.select("doc", "th", "template", "license", "m", "start", F.posexplode(F.transform(F.array(later), ends)[0]).alias("k", "end")).where("start < end")
+    found = found.groupBy("doc", "th", "template", "license", "m", "start", "end").agg((F.max("k") + 1).alias("common")).where(f"common * {200 - percent} >= {percent} * m").alias("f")
+    by_doc = found.groupBy("doc", "th").agg(F.collect_set(F.struct("license", "m", "start", "end", "common")).alias("found")).alias("f")
+    units_of = own.groupBy("doc", "th").agg(F.collect_list(F.struct("unit", "license", "dice")).alias("own")).alias("o")
+    by_doc = by_doc.join(units_of, F.expr("f.doc <=> o.doc and f.th = o.th"), "left").select("f.doc", "f.th", "found", F.coalesce("own", F.filter(F.array(F.struct(F.lit(0).alias("unit"), F.lit("").alias("license"), F.lit(0.0).alias("dice"))), lambda o: F.lit(False))).alias("own"))
+    # Where all windows hold lines that match fully, none can count, and texts aren't needed.
+    by_doc = by_doc.where("exists(found, f -> not exists(own, o -> o.dice >= 1 and (o.unit = 0 or o.unit between f.start and f.end)))").alias("f")
+    texts = wrapped.alias("t").join(by_doc, F.expr("t.doc <=> f.doc and t.th = f.th")).select("t.doc", "t.th", line_pairs(F.col("text")).alias("pairs"), "found", "own")
+    each = texts.select("doc", "th", "pairs", "own", F.inline("found"))
+    within = F.filter("pairs", lambda p: (p["first"] >= F.col("start")) & (p["last"] <= F.col("end")))
+    each = each.select("doc", "th", "own", "license", "start", "end", "m", "common", F.size(F.array_distinct(within["bigram"])).alias("n")).where(f"200 * common >= {percent} * (n + m)")
+    each = each.withColumn("dice", 2 * F.col("common") / (F.col("n") + F.col("m"))).withColumn("told", F.expr("exists(own, o -> o.dice >= dice and (o.unit = 0 or o.unit between start and end))"))
+    best = each.groupBy("doc", "th").agg(F.array_sort(F.collect_set(F.struct((-F.col("dice")).alias("minus"), "license", "start", "end", "told"))).alias("all"))
+
+    def add(kept: Column, w: Column) -> Column:
+        over = F.exists(kept, lambda k: (k["start"] <= w["end"]) & (k["end"] >= w["start"]) & (~k["told"] | (k["license"] == w["license"])))
+        return F.when(over, kept).otherwise(F.concat(kept, F.array(w)))
+
+    kept = best.select("doc", "th", F.inline(F.aggregate("all", F.filter("all", lambda w: F.lit(False)), add))).where("not told")
+    return kept.select("doc", "th", F.col("start").alias("unit"), "license", (-F.col("minus")).alias("dice"))
+
+
 def matches(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, th (hash of its text), unit, license and dice of each unit's best template with 100 * dice >= percent.
 
-    templates: (name, text) of each. percent: from 1 to 100.
+    templates: (name, text) of each. percent: from 1 to 100. Texts with anchor words and the matches of lines and whole
+    texts are written to the shared folder first, as windows need both.
     """
     grams = template_bigrams(templates)
-    rows = [(i, templates[i][0], len(g), " ".join(pair)) for i, g in enumerate(grams) for pair in sorted(g)]
-    known = docs.sparkSession.createDataFrame(rows, "template int, license string, m int, bigram string")
+    rows = [(i, templates[i][0], len(g), k, " ".join(pair)) for i, g in enumerate(grams) for k, pair in enumerate(sorted(g))]
+    known = docs.sparkSession.createDataFrame(rows, "template int, license string, m int, gram int, bigram string")
     known = F.broadcast(known) if len(rows) <= BROADCAST_BIGRAMS else known
     words = anchors(grams, percent)
     some = docs.where(holds_any(ascii_lower(F.col(text_col)), words))
-    own = units(some, id_col, text_col).where(holds_any(ascii_lower(F.col("text")), words)).select("doc", "th", "unit", bigrams(F.col("text")).alias("b"))
+    some = materialise(some.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")), "license-texts")
+    own = units(some, "doc", "text").where(holds_any(ascii_lower(F.col("text")), words)).select("doc", "th", "unit", bigrams(F.col("text")).alias("b"))
     sizes = [len(g) for g in grams if g] or [0]
     fits = F.col("n").between(min(sizes) * percent / (200 - percent), max(sizes) * (200 - percent) / percent)
     met = own.select("doc", "th", "unit", F.size("b").alias("n"), F.explode("b").alias("bigram")).where(fits).join(known, "bigram").where(f"{percent} * (n + m) <= 200 * least(n, m)")
     # Rows equal in id and text have every bigram several times.
     scored = met.groupBy("doc", "th", "unit", "template", "license", "n", "m").agg(F.count_distinct("bigram").alias("common")).where(f"200 * common >= {percent} * (n + m)")
     dice = (2 * F.col("common") / (F.col("n") + F.col("m"))).alias("dice")
-    return scored.select("doc", "th", "unit", "license", dice).groupBy("doc", "th", "unit").agg(F.max("dice").alias("dice"), F.min(F.struct((-F.col("dice")).alias("minus"), "license")).alias("best")).select("doc", "th", "unit", "best.license", "dice")
+    best = scored.select("doc", "th", "unit", "license", dice).groupBy("doc", "th", "unit").agg(F.max("dice").alias("dice"), F.min(F.struct((-F.col("dice")).alias("minus"), "license")).alias("best"))
+    found = materialise(best.select("doc", "th", "unit", "best.license", "dice"), "license-units")
+    return found.unionByName(windows(some, found, known, percent))
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id_col, n_matches (units with a licence), licenses (their names, sorted), license and dice of the best unit (null: none)."""
+    """id_col, n_matches (units with a licence, windows among them), licenses (their names, sorted), license and dice of the best unit (null: none)."""
     found = matches(docs, templates, percent, id_col, text_col)
     best = F.min(F.struct((-F.col("dice")).alias("minus"), "license")).alias("best")
     by = found.groupBy("doc", "th").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("license")).alias("names"), best).withColumnRenamed("th", "hit")

@@ -291,6 +291,36 @@ def test_licences(spark):
     assert license_scan.scan(empty(spark)).count() == 0
 
 
+def test_wrapped_licenses(spark):
+    """Notices over several lines of longer texts are found once each, beside lines as before."""
+    import textwrap
+
+    full = {n: t for n, t in license_scan.TEMPLATES if len(t) > 150}
+    wrapped = {n: "\n".join(f" * {x}" for x in textwrap.wrap(t, 60)) for n, t in full.items()}
+    rng = random.Random(9)
+    prose = ["\n".join(" ".join(rng.choice("stone river of the cloud and house in tree any walk".split()) for _ in range(8)) for _ in range(60)) for _ in range(3)]
+    # The first lines of the Apache header also match its short notice.
+    rows = [(i, f"{prose[0]}\n{wrapped[n]}\n\n{prose[1]}", {n}, 2 if n == "Apache-2.0" else 1) for i, n in enumerate(sorted(wrapped))]
+    cc = "This work is licensed under a Creative Commons\nAttribution 4.0 International License."
+    rows += [
+        (20, f"{prose[0]}\n{wrapped['MIT']}\n{wrapped['MIT']}\n{prose[1]}\n\n{wrapped['ISC']}", {"MIT", "ISC"}, 3),
+        (21, f"{prose[0]}\n{cc}\n{prose[2]}", {"CC-BY-4.0"}, 1),
+        (22, f"{prose[0]}\nReleased under the MIT License.\n{prose[2]}", {"MIT"}, 1),
+        (23, f"{prose[0]}\nAll rights reserved.\n{wrapped['MIT']}\n{prose[2]}", {"MIT", "proprietary"}, 2),
+        (24, "\n".join(f"{x}\n{y}" for x, y in zip(wrapped["MIT"].split("\n"), prose[0].split("\n"), strict=False)), set(), 0),
+        (25, prose[0], set(), 0),
+        (26, full["MIT"].replace(" ", "\n"), {"MIT"}, 1),
+        (None, f"{prose[0]}\n{wrapped['MIT']}\n{prose[1]}", {"MIT"}, 1),
+    ]
+    want = {i: (sorted(names), n) for i, _, names, n in rows}
+    rows.append(rows[0])
+    out = collected(license_scan.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")))
+    assert len(out) == len(rows)
+    for r in out:
+        assert (r["licenses"], r["n_matches"]) == want[r["doc_id"]], r
+        assert r["doc_id"] in (24, 25) or r["dice"] > 0.95
+
+
 # Kernels
 
 
