@@ -863,18 +863,18 @@ def r4(cat, incoming):
 
 @register("R6", f"select program, round(count, 3) as count, round(bytes, 3) as bytes, round(duration, 3) as duration, round(blocked, 2) as blocked from ({_SUMS}) join ({_WAITS}) using (program)", "v_measurements")
 def r6(rows):
-    """The measurements as a stream, folded program by program; the last status of each."""
+    """The measurements as a stream, folded by program and range of seq; the status of each program from its ranges."""
     spark = rows.sparkSession
     source, out, checkpoint = (scratch_path(spark, n) for n in ("measurements", "status", "checkpoint"))
-    rows.select("program", "name", F.col("value").cast("double").alias("value"), "seq", "ts").write.parquet(source)
+    live_metrics.write_ranges(rows.select("program", "name", F.col("value").cast("double").alias("value"), "seq", "ts"), source)
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
     live_metrics.use_rocksdb(spark)
     try:
-        stream = live_metrics.program_status(spark.readStream.schema(live_metrics.MEASUREMENT).parquet(source))
+        stream = live_metrics.program_status(spark.readStream.schema(f"{live_metrics.MEASUREMENT}, range int").option("maxFilesPerTrigger", live_metrics.RANGE_FILES).parquet(source), ranged=True)
         query = stream.writeStream.outputMode("update").foreachBatch(lambda batch, i: batch.withColumn("batch", F.lit(i)).write.mode("append").parquet(out)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
     finally:
         spark.conf.set(key, before)
-    last = catalog.latest(spark.read.parquet(out), "program", "batch")
+    last = live_metrics.merged(spark.read.parquet(out).dropDuplicates(["program", "range"]))
     return rounded(last.select("program", *metrics.MEASURES, F.round("blocked", 2).alias("blocked")), *metrics.MEASURES, places=3)

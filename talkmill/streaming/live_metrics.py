@@ -5,22 +5,33 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 MEASUREMENT = "program string, name string, value double, seq long, ts double"
-STATUS = "program string, start double, stop double, count double, bytes double, duration double, blocked double, open_start double, last_ts double, expired boolean"
-_STATE = "start double, stop double, count double, bytes double, duration double, blocked double, open_start double, last_ts double"
+STATUS = "program string, start double, stop double, count double, bytes double, duration double, blocked double, open_start double, last_ts double, first_stop double, marked double, expired boolean"
+_STATE = "start double, stop double, count double, bytes double, duration double, blocked double, open_start double, last_ts double, first_stop double, marked double"
+
+#: Rows of a range, and ranges in a micro-batch.
+RANGE_ROWS, RANGE_FILES = 200_000, 32
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def new_state() -> dict:
-    return {"start": None, "stop": None, "count": 0.0, "bytes": 0.0, "duration": 0.0, "blocked": 0.0, "open_start": None, "last_ts": None}
+    return {"start": None, "stop": None, "count": 0.0, "bytes": 0.0, "duration": 0.0, "blocked": 0.0, "open_start": None, "last_ts": None, "first_stop": None, "marked": 0.0}
 
 
 def fold(state: dict, name: str, value: float | None, ts: float) -> dict:
-    """One measurement more. A stop of waiting closes the interval that is open; without one it counts for nothing."""
+    """One measurement more. A stop of waiting closes the interval that is open; without one it counts for nothing.
+
+    first_stop: the time of the first mark of waiting, if that is a stop, which may close an interval of an earlier range.
+    """
+    if name in ("start_blocking", "stop_blocking"):
+        if not state["marked"] and name == "stop_blocking":
+            state["first_stop"] = ts
+        state["marked"] = 1.0
     if name in ("start", "stop"):
         state[name] = value
     elif name in ("count", "bytes", "duration"):
@@ -35,18 +46,18 @@ def fold(state: dict, name: str, value: float | None, ts: float) -> dict:
 
 
 class ProgramStatus(StatefulProcessor):
-    """State of one program. idle_seconds: how long without a measurement before its status is given as expired."""
+    """State of one program, or of one range of it where keys name a range too. idle_seconds: how long without a measurement before its status is given as expired."""
 
-    def __init__(self, idle_seconds: float | None = None):
-        self.idle_seconds = idle_seconds
+    def __init__(self, idle_seconds: float | None = None, keys: tuple[str, ...] = ("program",)):
+        self.idle_seconds, self.keys = idle_seconds, keys
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.state = handle.getValueState("status", _STATE)
 
     def row(self, key, state: dict, expired: bool) -> pd.DataFrame:
-        out = pd.DataFrame([{"program": key[0], **state, "expired": expired}])
-        floats = [c for c in out.columns if c not in ("program", "expired")]
+        out = pd.DataFrame([{**dict(zip(self.keys, key, strict=True)), **state, "expired": expired}])
+        floats = [c for c in out.columns if c not in (*self.keys, "expired")]
         return out.astype(dict.fromkeys(floats, "float64"))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
@@ -73,9 +84,36 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
-def program_status(measurements: DataFrame, idle_seconds: float | None = None) -> DataFrame:
-    """A stream of measurements to a stream of statuses, a row for each program that changed."""
-    return measurements.groupBy("program").transformWithStateInPandas(ProgramStatus(idle_seconds), STATUS, "Update", "ProcessingTime" if idle_seconds is not None else "None")
+def program_status(measurements: DataFrame, idle_seconds: float | None = None, ranged: bool = False) -> DataFrame:
+    """A stream of measurements to a stream of statuses, a row for each program that changed.
+
+    ranged: a row for each program and value of the column range; each range is folded on its own, see merged().
+    """
+    keys, schema = ("program",), STATUS
+    if ranged:
+        keys, schema = ("program", "range"), STATUS.replace(",", ", range int,", 1)
+    return measurements.groupBy(*keys).transformWithStateInPandas(ProgramStatus(idle_seconds, keys), schema, "Update", "ProcessingTime" if idle_seconds is not None else "None")
+
+
+def write_ranges(measurements: DataFrame, path: str) -> None:
+    """Measurements as files of about RANGE_ROWS rows, each a range of seq, with the range's number.
+
+    A program's rows of one range are all that a task holds at once, however many a program has.
+    """
+    n = max(1, -(-measurements.count() // RANGE_ROWS))
+    measurements.repartitionByRange(n, "seq").withColumn("range", F.spark_partition_id()).write.parquet(path)
+
+
+def merged(statuses: DataFrame) -> DataFrame:
+    """Statuses of programs from those of their ranges, one of each. A range's first stop closes what the marks before left open."""
+    floats = [c for c in new_state() if c != "marked"]
+    rows = statuses.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats})
+    w = Window.partitionBy("program", F.col("marked") > 0).orderBy("range")
+    rows = rows.withColumn("before", F.when(F.col("marked") > 0, F.lag("open_start").over(w)))
+    last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("range"))).alias(c) for c in ("start", "stop", "last_ts")]
+    sums = [F.sum(c).alias(c) for c in ("count", "bytes", "duration")]
+    blocked = F.sum(F.col("blocked") + F.coalesce(F.col("first_stop") - F.col("before"), F.lit(0.0))).alias("blocked")
+    return rows.groupBy("program").agg(*last, *sums, blocked, F.max_by("open_start", F.when(F.col("marked") > 0, F.col("range"))).alias("open_start"))
 
 
 def start_reports(status: DataFrame, sink, checkpoint: str, every: str = "20 seconds") -> StreamingQuery:

@@ -138,6 +138,18 @@ def test_live_metrics_equal_the_batch(spark, tmp_path):
         assert own.open_start == pytest.approx(r.open_start) if r.open_start else own.open_start is None or math.isnan(own.open_start)
 
 
+def test_ranges_of_a_program_are_folded_apart(spark, same, monkeypatch):
+    from talkmill.plans import queries
+
+    folders = []
+    write = live_metrics.write_ranges
+    monkeypatch.setattr(live_metrics, "RANGE_ROWS", 150)
+    monkeypatch.setattr(live_metrics, "write_ranges", lambda rows, path: (folders.append(path), write(rows, path)))
+    same(queries.QUERIES["R6"](spark, DATA), queries.ORACLES["R6"])
+    sizes = spark.read.parquet(folders[0]).groupBy("range").count().collect()
+    assert len(sizes) > 3 and max(r["count"] for r in sizes) < 450
+
+
 def test_idle_timer_state():
     state = live_metrics.new_state()
     for name, value, ts in [("stop_blocking", 0, 1), ("start_blocking", 0, 2), ("start_blocking", 0, 3), ("stop_blocking", 0, 5), ("count", 4, 6), ("count", None, 7), ("start", 1, 8)]:
