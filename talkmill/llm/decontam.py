@@ -7,7 +7,8 @@ spans that they cover are merged. Documents are not shuffled; the items' windows
 rounds as their bound asks for.
 
 Defined results: null and empty texts have no words. An item with fewer words than a window is one window; one without
-words never occurs. Items with equal ids are one item. Repeated document rows are judged one by one. Empty tables give
+words never occurs. Items with equal ids are one item; windows of
+items without an id are hit like others, and only items leaves them out. Repeated document rows are judged one by one. Empty tables give
 no hits, or no rows.
 """
 
@@ -153,7 +154,7 @@ class Windows:
     items: list[list[str]]
 
 
-def item_windows(items: list[tuple[str, str]], window: int) -> Windows:
+def item_windows(items: list[tuple[str | None, str]], window: int) -> Windows:
     batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in items], pa.string())], names=["text"])
     seqs = []
     for block in blocks(batch, "text"):
@@ -165,7 +166,7 @@ def item_windows(items: list[tuple[str, str]], window: int) -> Windows:
     for (item, _), seq in zip(items, seqs, strict=True):
         symbols = (np.searchsorted(vocabulary, seq) + _FIRST).tolist()
         for i in range(max(1, len(symbols) - window + 1) if symbols else 0):
-            by.setdefault(tuple(symbols[i : i + window]), set()).add(item)
+            by.setdefault(tuple(symbols[i : i + window]), set()).update(() if item is None else (item,))
     patterns = np.zeros((len(by), max(map(len, by), default=0)), np.int64)
     for row, p in zip(patterns, by, strict=True):
         row[len(row) - len(p) :] = p
@@ -215,12 +216,12 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
 
     cut: also clean_text, the text without the bytes from each span's first word to its last.
     """
-    slim = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text")).where("item is not null")
+    slim = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rounds = size // ROUND_BYTES + 1  # a round's items are collected and sent to every task; each round reads the documents once more
     out = arrow_rows(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items")), 2048)
     for r in range(rounds):
-        some = slim if rounds == 1 else slim.where(F.pmod(F.xxhash64("item"), F.lit(rounds)) == r)
+        some = slim if rounds == 1 else slim.where(F.pmod(F.xxhash64("item", "text"), F.lit(rounds)) == r)
         out = _round(out, item_windows([(x["item"], x["text"]) for x in some.collect()], window), cut and r == rounds - 1)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
     return out.select(F.col("doc").alias(id_col), "n_words", n_hit.alias("n_hit"), "spans", "items", *([F.col("text").alias("clean_text")] if cut else []))

@@ -321,6 +321,16 @@ def test_wrapped_licenses(spark):
         assert r["doc_id"] in (24, 25) or r["dice"] > 0.95
 
 
+def test_items_without_an_id_are_hit(spark, monkeypatch):
+    passages = [" ".join(f"{x}{i}" for i in range(30)) for x in "abc"]
+    docs = spark.createDataFrame([(1, f"first {passages[0]} last"), (2, f"first {passages[1]} last"), (3, f"first {passages[2]} last")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, passages[0]), (None, passages[1]), (7, passages[1])], "item_id long, text string")
+    for most in (decontam.ROUND_BYTES, 50):  # one round, and several
+        monkeypatch.setattr(decontam, "ROUND_BYTES", most)
+        out = {r["doc_id"]: (r["n_hit"], r["items"]) for r in collected(decontam.find_passages(docs, bench))}
+        assert out == {1: (30, []), 2: (30, ["7"]), 3: (0, [])}
+
+
 # Kernels
 
 
