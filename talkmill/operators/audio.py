@@ -46,21 +46,25 @@ def to_mono(channels: np.ndarray) -> np.ndarray:
 
 
 def resample(samples: np.ndarray, rate: int, target: int = RATE, taps: int = 16) -> np.ndarray:
-    """Windowed-sinc interpolation, low-pass at the lower of both rates. Numerically close to other resamplers, not equal."""
-    if rate == target or not len(samples):
+    """Windowed-sinc interpolation of one recording, or of several of a length (rows), low-pass at the lower of both rates.
+
+    Numerically close to other resamplers, not equal.
+    """
+    length = samples.shape[-1]
+    if rate == target or not length:
         return samples.astype(np.float32)
     ratio = Fraction(target, rate)
-    n = -(-len(samples) * ratio.numerator // ratio.denominator)
+    n = -(-length * ratio.numerator // ratio.denominator)
     cut = min(1.0, target / rate)
     at = np.arange(n) * (rate / target)
     half = int(np.ceil(taps / cut))
     base = np.floor(at).astype(np.int64)
-    out = np.zeros(n)
+    out = np.zeros((*samples.shape[:-1], n))
     for k in range(-half + 1, half + 1):
         x = at - (base + k)
         weight = cut * np.sinc(cut * x) * np.where(np.abs(x) < half, 0.5 + 0.5 * np.cos(np.pi * x / half), 0)
         i = base + k
-        out += np.where((i >= 0) & (i < len(samples)), samples[np.clip(i, 0, len(samples) - 1)], 0) * weight
+        out += samples[..., np.clip(i, 0, length - 1)] * np.where((i >= 0) & (i < length), weight, 0)
     return out.astype(np.float32)
 
 
@@ -98,7 +102,7 @@ def load(files: DataFrame) -> DataFrame:
 
     def handle(content: bytes) -> dict:
         rate, channels = decode_wav(content)
-        return {"sample_rate": rate, "duration": channels.shape[1] / rate, "channels": [c.tolist() for c in channels]}
+        return {"sample_rate": rate, "duration": channels.shape[1] / rate, "channels": list(channels)}
 
     return _each(files, handle, DECODED)
 
@@ -114,7 +118,7 @@ def preprocess(files: DataFrame, rate: int = RATE) -> DataFrame:
     def handle(content: bytes) -> dict:
         own, channels = decode_wav(content)
         mono = to_mono(channels)
-        return {"duration": len(mono) / own, "samples": trim_silence(resample(mono, own, rate), rate).tolist()}
+        return {"duration": len(mono) / own, "samples": trim_silence(resample(mono, own, rate), rate)}
 
     return _each(files, handle, PREPARED)
 
@@ -150,7 +154,11 @@ def resampled(samples: Column, rate: int, target: int = RATE) -> Column:
 
     @F.pandas_udf("array<float>")
     def convert(chunk: pd.Series) -> pd.Series:
-        return chunk.map(lambda x: resample(np.asarray(x, np.float32), rate, target))
+        out = pd.Series([None] * len(chunk), index=chunk.index, dtype="object")
+        for _, same in chunk.dropna().groupby(chunk.map(len, na_action="ignore")):  # recordings of a length in one call
+            for i, x in zip(same.index, resample(np.stack([np.asarray(x, np.float32) for x in same]), rate, target), strict=True):
+                out[i] = x
+        return out
 
     return convert(samples)
 

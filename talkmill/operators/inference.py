@@ -86,10 +86,30 @@ def transcripts(samples: Column, backend: Backend, batch: int = BATCH) -> Column
     return transcribe(samples)
 
 
+def routed_transcripts(samples: Column, route: Column, backends: dict[str, Backend], batch: int = BATCH) -> Column:
+    """Like transcripts(), each array by the backend of its route; null where no backend is given for the route."""
+
+    @F.pandas_udf("string")
+    def transcribe(chunks: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        loaded: dict[str, Callable[[list], Sequence]] = {}
+        for arrays, routes in chunks:
+            out = pd.Series([None] * len(arrays), dtype="object")
+            for name, backend in backends.items():
+                at = (routes == name).to_numpy().nonzero()[0]
+                if not len(at):
+                    continue
+                if name not in loaded:
+                    loaded[name] = backend()
+                found: list[str] = []
+                for group in _in_batches(arrays.iloc[at], batch):
+                    got = [normalised(x) for x in loaded[name](group)]
+                    found += (got + [""] * len(group))[: len(group)]
+                out.iloc[at] = found
+            yield out
+
+    return transcribe(samples, route)
+
+
 def transcribe_routes(rows: DataFrame, backends: dict[str, Backend], samples: str = "samples", batch: int = BATCH) -> DataFrame:
-    """rows with route get transcript from their route's backend, lose their samples, and come together again."""
-    parts = [rows.where(F.col("route") == r).withColumn("transcript", transcripts(F.col(samples), b, batch)) for r, b in backends.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.drop(samples)
+    """All rows with transcript from their route's backend (null: none is given for it), without their samples, in one pass."""
+    return rows.withColumn("transcript", routed_transcripts(F.col(samples), F.col("route"), backends, batch)).drop(samples)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from talkmill.operators import audio, batching, catalog, inference, metrics, rec
 from talkmill.plans.views import oracle, view
 from talkmill.sources import files, store
 from talkmill.sources.scratch import scratch_path
-from talkmill.streaming import live_metrics
+from talkmill.streaming import live_metrics, process
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -125,7 +126,12 @@ def s15(cat, incoming):
 
 @register("S16", "select count(*) as remaining, (select count(*) from v_catalog) as deleted from v_catalog where false", "v_catalog")
 def s16(cat):
-    return cat.agg(F.count_if(F.lit(False)).alias("remaining"), F.count("*").alias("deleted"))
+    """A catalog on disk, cleared: what the new one holds, and how many documents were left behind."""
+    spark = cat.sparkSession
+    full, empty = scratch_path(spark, "catalog"), scratch_path(spark, "cleared")
+    cat.select(*STATE, "basename", "filename").write.parquet(full)
+    deleted = store.clear(spark, full, empty)
+    return spark.read.parquet(empty).agg(F.count("*").alias("remaining")).withColumn("deleted", F.lit(deleted).cast("long"))
 
 
 # Projections and predicates
@@ -427,7 +433,7 @@ _RUNNING = "select basename, count(*) over w as files, cast(sum(size_bytes) over
 
 
 def running(listing: DataFrame) -> DataFrame:
-    parts = listing.withColumn("part", F.floor(F.col("doc_id") / 1000))
+    parts = listing.withColumn("part", metrics.equal_parts(listing, "doc_id"))
     return metrics.running_totals(parts, "doc_id", "size_bytes", "part")
 
 
@@ -844,9 +850,102 @@ def i6(rows):
     return inference.transcribe_routes(routed, {"en": length_backend("en"), "other": length_backend("other")}, "embedding").select("vec_id", "transcript")
 
 
+# Recordings made of the embeddings, as files. Every tenth name is damaged, every seventh has a note beside it.
+
+LABELS = ["en", "es"]
+FILES_AT_ONCE = 4096
+
+
+def write_recordings(rows: DataFrame, name: str = "recordings") -> str:
+    """A new folder with a recording for each row; the bytes of damaged ones are no sound."""
+    root = scratch_path(rows.sparkSession, name)
+    sound = wavs(rows).withColumn("content", F.when(F.col("path").rlike(r"0\.wav$"), F.lit(b"RIFF")).otherwise(F.col("content")))
+    notes = rows.where("vec_id % 7 = 0").select(F.concat(F.lit("notes/v"), F.col("vec_id").cast("string"), F.lit(".txt")).alias("path"), F.lit(b"note").alias("content"))
+    files.write_contents(sound.unionByName(notes), root)
+    return root
+
+
+def length_routes() -> dict:
+    return {route: length_backend(route) for route in ("en", "other")}
+
+
+_NAMES = "concat('v', vec_id) as basename"
+_SIZE = "case when vec_id % 10 = 0 then 4 else 44 + 2 * len(embedding) end"
+_SPANISH = "trunc(greatest(-1, least(1, embedding[1])) * 32767) > 0"
+
+
+@register("S1", f"select {_NAMES}, {_SIZE} as length from embeddings", "embeddings")
+def s1(rows):
+    return files.inventory(rows.sparkSession, write_recordings(rows)).select("basename", "length")
+
+
+@register("S2", f"select concat('v', vec_id, '.wav') as name, {_SIZE} as length from embeddings union all select concat('v', vec_id, '.txt'), 4 from embeddings where vec_id % 7 = 0", "embeddings")
+def s2(rows):
+    found = files.inventory(rows.sparkSession, write_recordings(rows), audio_only=False)
+    return found.select(F.substring_index("path", "/", -1).alias("name"), "length")
+
+
 # Streams over the tables, run until their input is used up
 
 
+def run_out(query) -> None:
+    query.awaitTermination()
+
+
+@register("R1", f"select {_NAMES}, {_SIZE} as size_bytes, false as done from embeddings", "embeddings")
+def r1(rows):
+    """New recordings stream into the catalog's log as documents."""
+    spark, root = rows.sparkSession, write_recordings(rows)
+    log = scratch_path(spark, "log")
+    run_out(process.start_discovery(process.file_stream(spark, root, max_files=FILES_AT_ONCE), log, scratch_path(spark, "checkpoint"), availableNow=True))
+    return store.load_all(spark, log).select("basename", F.get("dialog", F.lit(0))["size_bytes"].alias("size_bytes"), "done")
+
+
+@register("R2", f"select {_NAMES}, true as done, vec_id % 10 = 0 or vec_id % 4 = 1 as corrupt, case when vec_id % 10 <> 0 and vec_id % 4 <> 1 then concat(case when {_SPANISH} then 'other' else 'en' end, ' ', len(embedding)) end as transcript from embeddings", "embeddings")
+def r2(rows):
+    """Documents wait in a log of states, those of a quarter without their file; claims go on until none is pending."""
+    spark, root = rows.sparkSession, write_recordings(rows.where("vec_id % 4 <> 1"))
+    log = scratch_path(spark, "states")
+    lost = rows.where("vec_id % 4 = 1").select(F.concat(F.lit(f"{root}/lost/v"), F.col("vec_id").cast("string"), F.lit(".wav")).alias("filename"), F.lit(0).cast("long").alias("size_bytes"))
+    store.append(process.enlisted(documents.new_documents(lost)), log, -1)
+    stream = process.file_stream(spark, root, max_files=FILES_AT_ONCE)
+    run_out(process.start_claims(stream, log, root, "host", scratch_path(spark, "checkpoint"), sign_backend, LABELS, length_routes(), availableNow=True))
+    return store.load_all(spark, log).select("basename", "done", "corrupt", "transcript")
+
+
+@register("R3", "select count(*) as files, cast(ceil(count(*) / 4096) as bigint) as batches from embeddings", "embeddings")
+def r3(rows):
+    """Micro-batches of a bounded number of files."""
+    spark, root = rows.sparkSession, write_recordings(rows)
+    log = scratch_path(spark, "log")
+    run_out(process.start_discovery(process.file_stream(spark, root, max_files=FILES_AT_ONCE), log, scratch_path(spark, "checkpoint"), availableNow=True))
+    return spark.read.parquet(log).agg(F.count("*").alias("files"), F.count_distinct("seq").alias("batches"))
+
+
+def processing(rows: DataFrame, **options) -> DataFrame:
+    """The catalog's state after the stream of recordings has been processed."""
+    spark, root = rows.sparkSession, write_recordings(rows)
+    log = scratch_path(spark, "log")
+    run_out(process.start_processing(process.file_stream(spark, root, max_files=FILES_AT_ONCE), log, scratch_path(spark, "checkpoint"), sign_backend, LABELS, length_routes(), options, availableNow=True))
+    return store.load_all(spark, log, "basename")
+
+
+@register("R11", f"select {_NAMES}, true as done, vec_id % 10 = 0 as corrupt, case when vec_id % 10 <> 0 then len(embedding) / 16000 end as duration from embeddings", "embeddings")
+def r11(rows):
+    return processing(rows).select("basename", "done", "corrupt", "duration")
+
+
+@register("R12", f"select {_NAMES}, case when vec_id % 10 <> 0 then case when {_SPANISH} then 'es' else 'en' end end as language, vec_id % 10 = 0 or {_SPANISH} as corrupt, case when vec_id % 10 <> 0 and not {_SPANISH} then concat('en ', len(embedding)) end as transcript from embeddings", "embeddings")
+def r12(rows):
+    """What isn't English is marked corrupt and isn't transcribed."""
+    return processing(rows, drop_others=True).select("basename", "language", "corrupt", "transcript")
+
+
+@register("R13", f"select {_NAMES}, case when vec_id % 10 <> 0 then concat(case when {_SPANISH} then 'other' else 'en' end, ' ', len(embedding)) end as transcript from embeddings", "embeddings")
+def r13(rows):
+    return processing(rows).select("basename", "transcript")
+
+
 @register("R4", _MERGED, "v_catalog", "v_incoming")
 def r4(cat, incoming):
     """New documents stream into the catalog's log; its last versions are the merged catalog."""
@@ -861,20 +960,58 @@ def r4(cat, incoming):
     return store.load_all(spark, log)
 
 
+@contextmanager
+def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    live_metrics.use_rocksdb(spark)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 @register("R6", f"select program, round(count, 3) as count, round(bytes, 3) as bytes, round(duration, 3) as duration, round(blocked, 2) as blocked from ({_SUMS}) join ({_WAITS}) using (program)", "v_measurements")
 def r6(rows):
     """The measurements as a stream, folded by program and range of seq; the status of each program from its ranges."""
     spark = rows.sparkSession
     source, out, checkpoint = (scratch_path(spark, n) for n in ("measurements", "status", "checkpoint"))
     live_metrics.write_ranges(rows.select("program", "name", F.col("value").cast("double").alias("value"), "seq", "ts"), source)
-    key = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(key)
-    live_metrics.use_rocksdb(spark)
-    try:
+    with state_in_rocksdb(spark):
         stream = live_metrics.program_status(spark.readStream.schema(f"{live_metrics.MEASUREMENT}, range int").option("maxFilesPerTrigger", live_metrics.RANGE_FILES).parquet(source), ranged=True)
         query = stream.writeStream.outputMode("update").foreachBatch(lambda batch, i: batch.withColumn("batch", F.lit(i)).write.mode("append").parquet(out)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
-    finally:
-        spark.conf.set(key, before)
     last = live_metrics.merged(spark.read.parquet(out).dropDuplicates(["program", "range"]))
     return rounded(last.select("program", *metrics.MEASURES, F.round("blocked", 2).alias("blocked")), *metrics.MEASURES, places=3)
+
+
+_TOTALS = f"select program, round(count, 3) as count, round(bytes, 3) as bytes, round(duration, 3) as duration from ({_SUMS})"
+
+
+def emitted(rows: DataFrame) -> tuple[SparkSession, DataFrame]:
+    """Measurements as a stream of files, each a range of seq."""
+    spark, source = rows.sparkSession, scratch_path(rows.sparkSession, "measurements")
+    live_metrics.write_ranges(rows.select("program", "name", F.col("value").cast("double").alias("value"), "seq", "ts"), source)
+    return spark, spark.readStream.schema(live_metrics.MEASUREMENT).option("maxFilesPerTrigger", 1).parquet(source)
+
+
+@register("R7", _TOTALS, "v_measurements")
+def r7(rows):
+    """Reports at intervals: each holds the statuses so far of the programs that changed."""
+    spark, stream = emitted(rows)
+    log = scratch_path(spark, "reports")
+    with state_in_rocksdb(spark):
+        sink = lambda batch, i: batch.withColumn("batch", F.lit(i).cast("long")).write.mode("append").parquet(log)
+        live_metrics.start_reports(live_metrics.program_status(stream), sink, scratch_path(spark, "checkpoint"), availableNow=True).awaitTermination()
+    return rounded(live_metrics.last_statuses(spark, log).select("program", *metrics.MEASURES), *metrics.MEASURES, places=3)
+
+
+@register("R8", _TOTALS, "v_measurements")
+def r8(rows):
+    """A stream that falls silent: it is stopped, and the last statuses are saved as a report."""
+    spark, stream = emitted(rows)
+    log, report = scratch_path(spark, "reports"), scratch_path(spark, "report")
+    with state_in_rocksdb(spark):
+        live_metrics.report_until_idle(stream, 2.0, log, report, scratch_path(spark, "checkpoint"), "1", "2024-01-01T00:00:00Z", timeout=600)
+    saved = spark.read.schema("program string, count double, bytes double, duration double, expired boolean").json(report)
+    return rounded(saved.where("expired").select("program", *metrics.MEASURES), *metrics.MEASURES, places=3)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,6 +24,28 @@ def contents(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.wav").load(root).select("path", "length", "content")
 
 
+def contents_of(spark: SparkSession, names: list[str]) -> DataFrame:
+    """path, length and content of the files of a bounded list, all of which are there."""
+    if not names:
+        return spark.createDataFrame([], "path string, length long, content binary")
+    return spark.read.format("binaryFile").load(names).select("path", "length", "content")
+
+
+def write_contents(rows: DataFrame, root: str) -> None:
+    """Rows (path, content) as files below root, which all tasks can reach; the tasks write them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to, base = fs.FileSystem.from_uri(root if "://" in root else f"file://{root.removeprefix('file:')}")
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                to.create_dir(f"{base}/{path}".rpartition("/")[0], recursive=True)
+                with to.open_output_stream(f"{base}/{path}") as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    rows.select("path", "content").mapInArrow(run, "n long").agg(F.sum("n")).first()
+
+
 def relative_table(files: DataFrame, root: str, path_col: str = "path") -> DataFrame:
     """relative_path and path of each file."""
     return files.select(paths.relative_path(F.col(path_col), root).alias("relative_path"), F.col(path_col).alias("path"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -9,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from talkmill.operators import catalog
+from talkmill.sources import store
+
 MEASUREMENT = "program string, name string, value double, seq long, ts double"
 STATUS = "program string, start double, stop double, count double, bytes double, duration double, blocked double, open_start double, last_ts double, first_stop double, marked double, expired boolean"
 _STATE = "start double, stop double, count double, bytes double, duration double, blocked double, open_start double, last_ts double, first_stop double, marked double"
@@ -116,6 +121,36 @@ def merged(statuses: DataFrame) -> DataFrame:
     return rows.groupBy("program").agg(*last, *sums, blocked, F.max_by("open_start", F.when(F.col("marked") > 0, F.col("range"))).alias("open_start"))
 
 
-def start_reports(status: DataFrame, sink, checkpoint: str, every: str = "20 seconds") -> StreamingQuery:
+def start_reports(status: DataFrame, sink, checkpoint: str, every: str = "20 seconds", **trigger) -> StreamingQuery:
     """Hand the changed statuses to sink(batch, batch_id) at intervals."""
-    return status.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()
+    return status.writeStream.outputMode("update").foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": every})).start()
+
+
+def report_until_idle(measurements: DataFrame, idle_seconds: float, log: str, report: str, checkpoint: str, version: str, timestamp: str, every: str = "1 second", timeout: float | None = None) -> bool:
+    """Log the statuses of a stream of measurements until no program has sent any for idle_seconds; then stop, and save the last of each as a report.
+
+    False if that doesn't happen within timeout seconds; the report is saved all the same.
+    """
+    idle = threading.Event()
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("append").parquet(log)
+        if not batch.where("expired").isEmpty() and last_statuses(batch.sparkSession, log).where("not expired").isEmpty():
+            idle.set()
+
+    query = start_reports(program_status(measurements, idle_seconds), sink, checkpoint, every)
+    try:
+        began = time.monotonic()
+        while query.isActive and not idle.wait(0.2) and (timeout is None or time.monotonic() - began < timeout):
+            pass
+        if query.exception() is not None:
+            raise query.exception()
+    finally:
+        query.stop()
+    store.save_report(last_statuses(measurements.sparkSession, log), report, version, timestamp)
+    return idle.is_set()
+
+
+def last_statuses(spark: SparkSession, log: str) -> DataFrame:
+    """The last status of each program of a log."""
+    return catalog.latest(spark.read.parquet(log), "program", "batch", "expired").drop("batch")

@@ -5,14 +5,19 @@ Checkpoints take the place of leases and queues; source limits and triggers that
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from talkmill.functions import arrays, documents, paths
-from talkmill.operators import audio, inference
-from talkmill.sources import store
+from talkmill.operators import audio, catalog, inference
+from talkmill.sources import files, store
 
+STATE = "uuid string, basename string, filename string, created_at timestamp, done boolean, corrupt boolean, processed_by string, claim_present boolean, duration double, language string, transcript string"
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -21,20 +26,20 @@ def file_stream(spark: SparkSession, root: str, pattern: str = "*.wav", max_file
     return spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files).load(root)
 
 
-def discovered(files: DataFrame) -> DataFrame:
+def discovered(found: DataFrame) -> DataFrame:
     """A document for each new recording. Contents are not read."""
-    return documents.new_documents(files.where(paths.is_audio(F.col("path"))).select(F.col("path").alias("filename"), F.col("length").alias("size_bytes")))
+    return documents.new_documents(found.where(paths.is_audio(F.col("path"))).select(F.col("path").alias("filename"), F.col("length").alias("size_bytes")))
 
 
-def prepared(files: DataFrame, rate: int = audio.RATE) -> DataFrame:
+def prepared(recordings: DataFrame, rate: int = audio.RATE) -> DataFrame:
     """path, duration, samples (mono, trimmed) and error of each recording."""
-    return audio.preprocess(files, rate)
+    return audio.preprocess(recordings, rate)
 
 
 def padded(batch: DataFrame, rate: int = audio.RATE) -> DataFrame:
-    """A micro-batch's samples padded to its longest recording (as long as it was before trimming): one number is joined."""
-    most = batch.agg(F.max("duration").alias("__most"))
-    return batch.crossJoin(F.broadcast(most)).withColumn("samples", arrays.pad_right(F.col("samples"), arrays.target_samples(F.col("__most"), F.lit(rate)))).drop("__most")
+    """A micro-batch's samples padded to its longest recording (as long as it was before trimming)."""
+    most = batch.agg(F.max("duration")).first()[0]
+    return batch.withColumn("samples", arrays.pad_right(F.col("samples"), arrays.target_samples(F.lit(most or 0.0), F.lit(rate))))
 
 
 def identified(rows: DataFrame, backend: inference.Backend, labels: list[str], all_english: bool = False, drop_others: bool = False) -> DataFrame:
@@ -45,32 +50,97 @@ def identified(rows: DataFrame, backend: inference.Backend, labels: list[str], a
 
 def results(rows: DataFrame) -> DataFrame:
     """What the catalog keeps of a processed recording: language, transcript and flags, no samples."""
-    bad = F.col("error").isNotNull() | (F.col("route") == "corrupt")
+    bad = F.col("error").isNotNull() | F.col("route").eqNullSafe("corrupt")
     return rows.select(paths.basename(F.col("path")).alias("basename"), F.col("path").alias("filename"), "duration", "language", "transcript", F.lit(True).alias("done"), bad.alias("corrupt"), F.lit(None).cast("string").alias("processed_by"))
 
 
-def process_batch(files: DataFrame, identify: inference.Backend, labels: list[str], transcribe: dict[str, inference.Backend], rate: int = audio.RATE) -> DataFrame:
-    """Files (path, content) to results, in a batch or in a micro-batch. Unreadable files end as corrupt and done."""
-    rows = prepared(files, rate)
-    good = identified(padded(rows.where("error is null"), rate), identify, labels)
-    spoken = inference.transcribe_routes(good, transcribe)
-    bad = rows.where("error is not null").drop("samples")
-    return results(spoken.unionByName(bad, allowMissingColumns=True))
+@contextmanager
+def processed(recordings: DataFrame, identify: inference.Backend, labels: list[str], transcribe: dict[str, inference.Backend], rate: int = audio.RATE, all_english: bool = False, drop_others: bool = False) -> Iterator[DataFrame]:
+    """Files (path, content) to results, to be used within the context.
+
+    Each file is decoded once and kept on disk meanwhile, as the batch's longest one must be known, and identified once;
+    its route picks the backend. Unreadable files, and routes marked corrupt, end as corrupt and done.
+    """
+    rows = prepared(recordings, rate).persist(StorageLevel.DISK_ONLY)
+    try:
+        spoken = inference.transcribe_routes(identified(padded(rows.where("error is null"), rate), identify, labels, all_english, drop_others), transcribe)
+        yield results(spoken.unionByName(rows.where("error is not null").drop("samples"), allowMissingColumns=True))
+    finally:
+        rows.unpersist()
+
 
+def process_batch(recordings: DataFrame, log: str, seq: int, identify: inference.Backend, labels: list[str], transcribe: dict[str, inference.Backend], **options) -> None:
+    """Results of files (path, content) into the log, in a batch or in a micro-batch. options: as for processed()."""
+    with processed(recordings, identify, labels, transcribe, **options) as rows:
+        store.append(rows, log, seq)
 
-def start_discovery(files: DataFrame, log: str, checkpoint: str, **trigger) -> StreamingQuery:
+
+def start_discovery(new_files: DataFrame, log: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Documents of new files into the log. trigger: as for DataStreamWriter.trigger."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         store.append(discovered(batch), log, batch_id)
 
-    return files.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
+    return new_files.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
+
+
+def start_processing(new_files: DataFrame, log: str, checkpoint: str, identify: inference.Backend, labels: list[str], transcribe: dict[str, inference.Backend], options: dict | None = None, **trigger) -> StreamingQuery:
+    """Results of new files into the log: one write a micro-batch. A batch that runs again is merged by its number when read.
+
+    options: all_english and drop_others (see inference.route), and rate.
+    """
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        process_batch(batch, log, batch_id, identify, labels, transcribe, **(options or {}))
+
+    return new_files.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
+
+
+# Claims: documents wait in a log of states, a worker claims the oldest, looks for their files and processes them
+
+
+def enlisted(docs: DataFrame) -> DataFrame:
+    """Documents as states of the claims' log; the file is that of the first dialog where a document has none itself."""
+    if "dialog" in docs.columns:
+        file = documents.first_dialog("filename")
+        docs = docs.withColumn("filename", F.coalesce("filename", file) if "filename" in docs.columns else file)
+    return docs.select(*(F.col(c) if c in docs.columns else F.lit(None).cast(t).alias(c) for c, t in (x.split() for x in STATE.split(", "))))
+
+
+def claim_and_process(spark: SparkSession, log: str, root: str, owner: str, seq: int, identify: inference.Backend, labels: list[str], transcribe: dict[str, inference.Backend], rows: int = catalog.CLAIM_ROWS, **options) -> int:
+    """Claim at most `rows` of the oldest pending documents of a log of states and process those whose file is there.
+
+    The claim is written as version seq, the outcome as seq + 1: done, and corrupt too where the file is missing or
+    unreadable. How many were claimed.
+    """
+    cat = catalog.release(store.load_all(spark, log), owner)  # what a run that broke off has left claimed
+    chosen = catalog.candidates(cat, rows=rows).persist(StorageLevel.DISK_ONLY)
+    try:
+        n = chosen.count()
+        if not n:
+            return 0
+        store.append(catalog.claim(cat, chosen, owner).join(F.broadcast(chosen), "uuid", "left_semi"), log, seq)  # at most `rows` uuids
+        claimed = store.load_all(spark, log).where(F.col("processed_by") == owner).join(F.broadcast(chosen), "uuid", "left_semi")
+        lost = catalog.inaccessible(claimed, files.inventory(spark, root).select(F.col("path").alias("local_path")))
+        missing = {r["uuid"] for r in lost.select("uuid").collect()}
+        there = [r["filename"] for r in claimed.select("uuid", "filename").collect() if r["uuid"] not in missing]
+        with processed(files.contents_of(spark, there), identify, labels, transcribe, **options) as found:
+            told = found.select("filename", *(F.col(c).alias(f"__{c}") for c in ("duration", "language", "transcript", "corrupt")))
+            out = catalog.finish(claimed, F.lit(True)).join(told, "filename", "left")
+            out = out.withColumns({c: F.col(f"__{c}") for c in ("duration", "language", "transcript")}).withColumn("corrupt", F.coalesce("__corrupt", F.lit(True)))
+            store.append(out.select(claimed.columns), log, seq + 1)
+        return n
+    finally:
+        chosen.unpersist()
 
 
-def start_processing(files: DataFrame, log: str, checkpoint: str, identify: inference.Backend, labels: list[str], transcribe: dict[str, inference.Backend], **trigger) -> StreamingQuery:
-    """Results of new files into the log: one write a micro-batch. A batch that runs again is merged by its number when read."""
+def start_claims(new_files: DataFrame, log: str, root: str, owner: str, checkpoint: str, identify: inference.Backend, labels: list[str], transcribe: dict[str, inference.Backend], rows: int = catalog.CLAIM_ROWS, options: dict | None = None, **trigger) -> StreamingQuery:
+    """Documents of new files join the log of states, and claims go on until none is pending. A batch that runs again writes the same versions' numbers."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        store.append(process_batch(batch, identify, labels, transcribe), log, batch_id)
+        spark, seq = batch.sparkSession, batch_id << 32
+        store.append(enlisted(discovered(batch)), log, seq)
+        while claim_and_process(spark, log, root, owner, seq + 1, identify, labels, transcribe, rows, **(options or {})):
+            seq += 2
 
-    return files.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
+    return new_files.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(**(trigger or {"processingTime": "1 second"})).start()
