@@ -4,6 +4,7 @@ import tempfile
 from pathlib import Path
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -43,7 +44,7 @@ def rows_of(frame):
     """Rows of a pandas frame in one order, columns by name, numbers as floats to nine places."""
 
     def plain(v):
-        if v is None or v != v:
+        if v is None or v is pd.NA or v != v:
             return None
         if isinstance(v, (bool, str)):
             return v

@@ -92,6 +92,60 @@ def test_backends(spark):
     assert [inference.normalised(x) for x in (["a"], [], None, "s", type("H", (), {"text": "h"})())] == ["a", "", "", "s", "h"]
 
 
+def test_routes_without_a_backend_pass_through(spark):
+    df = spark.createDataFrame([([0.0] * n, r) for n, r in ((5, "en"), (7, "corrupt"), (6, "en"), (8, "other"), (9, None))], "samples array<float>, route string").coalesce(1)
+    out = inference.transcribe_routes(df, {"en": teller("E"), "other": teller("O")})
+    assert sorted(map(str, (r.transcript for r in out.collect()))) == ["E", "E 5", "None", "None", "O"]
+
+
+def test_each_file_is_decoded_and_identified_once(spark, recordings):
+    with process.processed(files.contents(spark, recordings), loud, ["en", "es"], {"en": teller("E"), "other": teller("O")}) as rows:
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        cached = rows._jdf.queryExecution().withCachedData().toString()
+        assert rows.count() == 3
+    assert plan.count("label_indexes") + plan.count("identify(") == 1 and plan.count("transcribe(") == 1
+    assert plan.count("InMemoryRelation") == cached.count("InMemoryRelation") == 2  # the one table, read for sound and for errors
+    assert plan.count("MapInPandas") == 2  # as the plan of that table, shown with each reading
+
+
+def test_drop_others(spark, recordings, tmp_path):
+    out = jobs.job_process(spark, recordings, f"{tmp_path}/log", loud, ["en", "es"], {"en": teller("E")}, drop_others=True)
+    rows = {r.basename: r for r in out.collect()}
+    assert set(rows) == {"a", "b", "bad"}
+    assert rows["a"].corrupt and rows["a"].transcript is None and rows["a"].done and rows["bad"].corrupt
+    out = jobs.job_process(spark, recordings, f"{tmp_path}/log2", loud, ["en", "es"], {"en": teller("E")}, all_english=True)
+    rows = {r.basename: r for r in out.collect()}
+    assert not rows["a"].corrupt and rows["a"].transcript[0] == "E"
+
+
+def test_claims(spark, recordings, tmp_path):
+    log = f"{tmp_path}/states"
+    old = spark.createDataFrame([("u1", "gone", "/nowhere/gone.wav", True, "other", False), ("u2", "late", "/nowhere/late.wav", False, None, False), ("u3", "mine", "/nowhere/mine.wav", True, "me", False)], "uuid string, basename string, filename string, claim_present boolean, processed_by string, done boolean")
+    store.append(process.enlisted(old), log, -1)
+    stream = process.file_stream(spark, recordings, max_files=2)
+    process.start_claims(stream, log, recordings, "me", f"{tmp_path}/c", loud, ["en", "es"], {"en": teller("E"), "other": teller("O")}, rows=1, availableNow=True).awaitTermination(240)
+    rows = {r.basename: r for r in store.load_all(spark, log).collect()}
+    assert set(rows) == {"a", "b", "bad", "gone", "late", "mine"}
+    assert not rows["gone"].done and rows["gone"].processed_by == "other"  # another worker's claim
+    assert all(rows[n].done and rows[n].corrupt and rows[n].transcript is None for n in ("late", "mine", "bad"))
+    assert all(rows[n].done and not rows[n].corrupt and rows[n].transcript for n in ("a", "b")) and rows["a"].processed_by is None
+
+
+def test_a_silent_stream_is_reported_and_stopped(spark, tmp_path):
+    rows = view(spark, DATA, "v_measurements").select("program", "name", F.col("value").cast("double").alias("value"), "seq", "ts")
+    rows.repartition(1).write.parquet(f"{tmp_path}/in")
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    live_metrics.use_rocksdb(spark)
+    try:
+        stream = spark.readStream.schema(live_metrics.MEASUREMENT).parquet(f"{tmp_path}/in")
+        assert live_metrics.report_until_idle(stream, 1.0, f"{tmp_path}/log", f"{tmp_path}/report", f"{tmp_path}/c", "1", "now", timeout=120)
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    saved = spark.read.json(f"{tmp_path}/report")
+    assert saved.where("expired").count() == saved.count() == rows.select("program").distinct().count()
+    assert not spark.streams.active
+
+
 def test_job_process(spark, recordings, tmp_path):
     out = jobs.job_process(spark, recordings, f"{tmp_path}/log", loud, ["en", "es"], {"en": teller("E"), "other": teller("O")})
     rows = {r.basename: r for r in out.collect()}
