@@ -2,42 +2,48 @@
 
 A rolling hash over the ids cuts each document into chunks, so equal passages give equal chunks. A chunk's address is
 the SHA-256 of its ids (unsigned 16-bit little-endian, or 32-bit for large vocabularies); the store holds each
-address once. A document's recipe lists its addresses and their Merkle root; the manifest has a root for each recipe
-file, in ascending document order, and one over all.
+address once. A document's recipe lists its addresses and their Merkle root. A Merkle tree with FANOUT branches stands
+over the recipes of each file, in their order, and another one over the files.
 
     {path}/staged    what tokenising gives, one row for each document (can be deleted after the build)
-    {path}/repeated  addresses that occur more than once, and which occurrence is stored (likewise)
     {path}/chunks    address, ids
     {path}/recipes   part, row, document, n_tokens, addresses, root; ascending ids within and over the parts
     {path}/manifest  part, n_docs, n_tokens, root
+    {path}/top       n_docs, n_tokens, width (bytes of an id), id_type, root: one row; none for an empty store
 
-Reading computes every stored chunk's address again, recomputes roots from recipes, and gives each document's CRC-32
-by combining its chunks' (crc32(A+B) follows from crc32(A), crc32(B) and the length of B).
+Reading checks the trees first: recipes that are lost, added or changed stop it. It computes every stored chunk's
+address again, recomputes roots from recipes, and gives each document's CRC-32 by combining its chunks' (crc32(A+B)
+follows from crc32(A), crc32(B) and the length of B).
 
 Defined results: a null or empty text has the end id alone; repeated rows are stored once and have a recipe each, in
-an order fixed by their roots; null ids come first. Other input columns are not carried. An empty table gives empty files.
+an order fixed by their roots; null ids come first. Other input columns are not carried. An empty table gives empty
+files, from which no rows are read.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkmill.llm.kernels import mix
 from talkmill.llm.memo_tokens import encoder
-from talkmill.llm.shared import arrow_rows
+from talkmill.llm.shared import in_small_batches, materialise
 
 #: Ids in a chunk: at least, on the average beyond that (a power of two), at most. Ids that the rolling hash sees.
 LEAST, MEAN, MOST, WINDOW = 128, 512, 4096, 8
-#: Most addresses of repeated chunks to broadcast (about 60 bytes each); with more, all chunks are shuffled instead.
-BROADCAST_REPEATED = 500_000
+#: Branches of a node in the trees over recipes.
+FANOUT = 1024
+
+
+class Damaged(ValueError):
+    """The store's recipes are not those that its trees were made of."""
 
 _U = np.uint64
 
@@ -99,13 +105,12 @@ def combine_crcs(crcs: np.ndarray, sizes: np.ndarray, bounds: np.ndarray) -> np.
 
 
 def _staged(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    slim = arrow_rows(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")), 256)
-    schema = T.StructType([T.StructField("uid", T.LongType()), T.StructField("doc", slim.schema[0].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("root", T.BinaryType()), T.StructField("addresses", T.ArrayType(T.BinaryType())), T.StructField("ids", T.ArrayType(T.BinaryType()))])
+    slim = in_small_batches(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text")))
+    schema = T.StructType([T.StructField("doc", slim.schema[0].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("root", T.BinaryType()), T.StructField("addresses", T.ArrayType(T.BinaryType())), T.StructField("ids", T.ArrayType(T.BinaryType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(vocabulary)
         end, width = enc.pack([end_id]), np.dtype(enc.dtype).itemsize
-        uid = TaskContext.get().partitionId() << 33
         for batch in batches:
             n, roots, addresses, parts = [], [], [], []
             for text in batch.column(1):
@@ -117,46 +122,80 @@ def _staged(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col
                 roots.append(merkle_root(names))
                 addresses.append(names)
                 parts.append(own)
-            uids, uid = pa.array(range(uid, uid + len(n)), pa.int64()), uid + len(n)
-            yield pa.RecordBatch.from_arrays([uids, batch.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.array(addresses, pa.list_(pa.binary())), pa.array(parts, pa.list_(pa.binary()))], names=["uid", "doc", "n_tokens", "root", "addresses", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(roots, pa.binary()), pa.array(addresses, pa.list_(pa.binary())), pa.array(parts, pa.list_(pa.binary()))], names=["doc", "n_tokens", "root", "addresses", "ids"])
 
     return slim.mapInArrow(run, schema)
 
 
-def _unique_chunks(staged: DataFrame, path: str) -> DataFrame:
-    """address and ids, each address once. Only addresses are shuffled, to find the repeated ones and who keeps each."""
-    seen = staged.select("uid", F.posexplode("addresses").alias("seq", "address"))
-    counted = seen.groupBy("address").agg(F.count("*").alias("n"), F.min(F.struct("uid", "seq")).alias("keeper"))
-    counted.where("n > 1").select("address", "keeper").write.parquet(path)
-    repeated = staged.sparkSession.read.parquet(path)
-    chunks = staged.select("uid", F.posexplode(F.arrays_zip(F.col("addresses").alias("address"), F.col("ids").alias("ids"))).alias("seq", "c")).select("uid", "seq", "c.address", "c.ids")
-    if repeated.count() > BROADCAST_REPEATED:
-        return chunks.select("address", "ids").dropDuplicates(["address"])
-    return chunks.join(F.broadcast(repeated), "address", "left").where(F.col("keeper").isNull() | (F.col("keeper") == F.struct("uid", "seq"))).select("address", "ids")
-
-
 def build_store(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode all texts, an end_id behind each, and write the store. Texts are tokenised once."""
     spark = docs.sparkSession
     zstd = {"compression": "zstd"}
     _staged(docs, vocabulary, end_id, id_col, text_col).write.options(**zstd).parquet(f"{path}/staged")
     staged = spark.read.parquet(f"{path}/staged")
-    _unique_chunks(staged, f"{path}/repeated").write.options(**zstd).parquet(f"{path}/chunks")
+    # Each task keeps one of its equal chunks before they are shuffled, so a very common one isn't much to any task.
+    chunks = staged.select(F.inline(F.arrays_zip(F.col("addresses").alias("address"), F.col("ids").alias("ids"))))
+    chunks.dropDuplicates(["address"]).write.options(**zstd).parquet(f"{path}/chunks")
     recipes = staged.select("doc", "n_tokens", "root", "addresses").repartitionByRange("doc", "root").sortWithinPartitions("doc", "root")
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # counts within the part
     recipes.select(F.spark_partition_id().alias("part"), row.alias("row"), "*").write.options(**zstd).parquet(f"{path}/recipes")
-    _with_roots(spark.read.parquet(f"{path}/recipes"), "root").write.parquet(f"{path}/manifest")
+    file_roots(spark.read.parquet(f"{path}/recipes")).write.parquet(f"{path}/manifest")
+    width = np.dtype(encoder(vocabulary).dtype).itemsize
+    top_root(spark.read.parquet(f"{path}/manifest")).withColumns({"width": F.lit(width), "id_type": F.lit(staged.schema["doc"].dataType.simpleString())}).write.parquet(f"{path}/top")
+
+
+def _up(nodes: DataFrame, keys: list[str], place: str) -> DataFrame:
+    """Nodes (keys, place, hash, n_docs, n_tokens) to those of the tree's root for keys, at place 0: FANOUT of them at most meet in a hash."""
+    top = nodes.agg(F.max(place)).first()[0] or 0
+    while True:
+        ordered = F.array_sort(F.collect_list(F.struct(place, "hash")))
+        joined = F.concat(F.lit(b"\x02"), F.unhex(F.array_join(F.transform(ordered, lambda x: F.hex(x["hash"])), "")))
+        level = nodes.groupBy(*keys, F.floor(F.col(place) / FANOUT).cast("long").alias("up"))
+        nodes = level.agg(F.unhex(F.sha2(joined, 256)).alias("hash"), F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens")).withColumnRenamed("up", place)
+        top //= FANOUT
+        if not top:
+            return nodes.drop(place)
+
+
+def file_roots(recipes: DataFrame) -> DataFrame:
+    """A row for each part: documents, tokens, and the root of the tree over its documents' roots and numbers of tokens."""
+    leaf = F.unhex(F.sha2(F.concat(F.lit(b"\x00"), F.col("root"), F.encode(F.col("n_tokens").cast("string"), "utf-8")), 256))
+    leaves = recipes.select("part", F.col("row").alias("place"), leaf.alias("hash"), F.lit(1).cast("long").alias("n_docs"), "n_tokens")
+    return _up(leaves, ["part"], "place").withColumnRenamed("hash", "root")
+
 
+def top_root(manifest: DataFrame) -> DataFrame:
+    """n_docs, n_tokens and the root over all parts: one row, or none for an empty store."""
+    return _up(manifest.select(F.col("part").alias("place"), F.col("root").alias("hash"), "n_docs", "n_tokens"), [], "place").withColumnRenamed("hash", "root")
 
-def _with_roots(recipes: DataFrame, root: str) -> DataFrame:
-    """A row for each part: documents, tokens, and a root over its documents' roots in order (each a row of its own file)."""
-    ordered = F.array_sort(F.collect_list(F.struct("doc", root)))
-    return recipes.groupBy("part").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), F.sha2(F.to_json(F.transform(ordered, lambda x: F.hex(x[root]))), 256).alias("root"))
 
+def _recipes(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """The recipes, unchecked, and the type of the ids. The schema is given, so that a folder without files has no rows."""
+    top = spark.read.parquet(f"{path}/top").first()
+    if top is None:
+        return spark.read.parquet(f"{path}/recipes"), "<u2"
+    return spark.read.schema(f"part int, row long, doc {top['id_type']}, n_tokens long, root binary, addresses array<binary>").parquet(f"{path}/recipes"), f"<u{top['width']}"
 
-def read_chunks(spark: SparkSession, path: str, dtype: str = "<u2") -> DataFrame:
+
+def damaged_parts(spark: SparkSession, path: str) -> DataFrame:
+    """The parts whose recipes don't give the manifest's root (part, expected, found; null: not there), and -1 for the manifest itself."""
+    manifest = spark.read.parquet(f"{path}/manifest")
+    found = file_roots(_recipes(spark, path)[0]).select("part", F.col("root").alias("found"))
+    both = manifest.select("part", F.col("root").alias("expected")).join(found, "part", "full")
+    tops = [x.select(F.lit(-1).alias("part"), F.col("root").alias(name)) for x, name in ((spark.read.parquet(f"{path}/top"), "expected"), (top_root(manifest), "found"))]
+    return both.unionByName(tops[0].join(tops[1], "part", "full")).where(~F.col("expected").eqNullSafe(F.col("found")))
+
+
+def checked_recipes(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """The recipes and the type of the ids, if the trees over the recipes are as they were written."""
+    bad = [r["part"] for r in damaged_parts(spark, path).select("part").limit(20).collect()]
+    if bad:
+        raise Damaged(f"recipes of {path} are damaged, in part {', '.join(map(str, sorted(bad)))}")
+    return _recipes(spark, path)
+
+
+def read_chunks(spark: SparkSession, path: str, dtype: str) -> DataFrame:
     """address, number of ids and CRC-32 of the ids as 32-bit integers, of each stored chunk; intact: its address is right."""
-    import zlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,18 +203,20 @@ def read_chunks(spark: SparkSession, path: str, dtype: str = "<u2") -> DataFrame
             good = [hashlib.sha256(x).digest() == a.as_py() for x, a in zip(ids, batch.column("address"), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("address"), pa.array([len(x) for x in ids], pa.int64()), pa.array([zlib.crc32(x.astype("<u4").tobytes()) for x in ids], pa.int64()), pa.array(good, pa.bool_())], names=["address", "n", "crc", "intact"])
 
-    return arrow_rows(spark.read.parquet(f"{path}/chunks").select("address", "ids"), 2048).mapInArrow(run, "address binary, n long, crc long, intact boolean")
+    return in_small_batches(spark.read.parquet(f"{path}/chunks").select("address", "ids")).mapInArrow(run, "address binary, n long, crc long, intact boolean")
 
 
-def read_documents(spark: SparkSession, path: str, dtype: str = "<u2", id_col: str = "doc_id") -> DataFrame:
+def read_documents(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """From the files: document, start (ids of all before it), n_tokens, ids_crc32, and verified (addresses, lengths and root are right)."""
-    recipes = spark.read.parquet(f"{path}/recipes")
+    recipes, dtype = checked_recipes(spark, path)
     totals = recipes.groupBy("part").agg(F.sum("n_tokens").alias("in_part"))
     before = totals.select("part", (F.sum("in_part").over(Window.orderBy("part")) - F.col("in_part")).alias("before"))  # a row for each file
     inside = Window.partitionBy("part").orderBy("row").rowsBetween(Window.unboundedPreceding, 0)
     placed = recipes.select("part", "row", "doc", "n_tokens", "root", "addresses", (F.sum("n_tokens").over(inside) - F.col("n_tokens")).alias("within"))
     listed = recipes.select("part", "row", F.posexplode("addresses").alias("seq", "address"))
-    found = listed.join(read_chunks(spark, path, dtype), "address").groupBy("part", "row").agg(F.array_sort(F.collect_list(F.struct("seq", "n", "crc", "intact"))).alias("got"))
+    # Written first, both sides of the join are plain reads, so Spark can split the rows of a very common chunk.
+    chunks = materialise(read_chunks(spark, path, dtype), "chunk-sums")
+    found = listed.join(chunks, "address", "left").groupBy("part", "row").agg(F.array_sort(F.collect_list(F.struct("seq", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("crc", F.lit(0)).alias("crc"), F.coalesce("intact", F.lit(False)).alias("intact")))).alias("got"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,19 +226,27 @@ def read_documents(spark: SparkSession, path: str, dtype: str = "<u2", id_col: s
             intact = flat.field("intact").to_numpy(zero_copy_only=False)
             sums = np.add.reduceat(n, bounds[:-1]) if len(n) else n
             whole = np.logical_and.reduceat(intact, bounds[:-1]) if len(n) else intact
-            good = [bool(w) and len(a) == n_got and merkle_root(a) == r for w, n_got, a, r in zip(whole, np.diff(bounds), batch.column("addresses").to_pylist(), batch.column("root").to_pylist(), strict=True)]
+            good = [bool(w) and merkle_root(a) == r for w, a, r in zip(whole, batch.column("addresses").to_pylist(), batch.column("root").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("start"), batch.column("n_tokens"), pa.array(combine_crcs(crc, 4 * n, bounds).astype(np.int64)), pa.array([g and s == t for g, s, t in zip(good, sums, batch.column("n_tokens").to_numpy(), strict=True)], pa.bool_())], names=[id_col, "start", "n_tokens", "ids_crc32", "verified"])
 
     both = placed.join(found, ["part", "row"]).join(F.broadcast(before), "part")  # before: a row for each recipe file
     slim = both.select("doc", (F.col("before") + F.col("within")).alias("start"), "n_tokens", "root", "addresses", "got")
     schema = T.StructType([T.StructField(id_col, slim.schema[0].dataType), *(T.StructField(c, T.LongType()) for c in ("start", "n_tokens", "ids_crc32")), T.StructField("verified", T.BooleanType())])
-    return arrow_rows(slim, 2048).mapInArrow(run, schema)
+    return in_small_batches(slim).mapInArrow(run, schema)
 
 
 def reconstruct(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
-    """The ids of every document as bytes, in the stored width, with n_tokens."""
-    recipes = spark.read.parquet(f"{path}/recipes")
-    listed = recipes.select("doc", "root", "n_tokens", F.posexplode("addresses").alias("seq", "address")).distinct()
-    joined = listed.join(spark.read.parquet(f"{path}/chunks"), "address").groupBy("doc", "root", "n_tokens").agg(F.array_sort(F.collect_list(F.struct("seq", "ids"))).alias("got"))
-    whole = F.aggregate("got", F.lit(b""), lambda out, x: F.concat(out, x["ids"]))
-    return recipes.select("doc", "root").join(joined, ["doc", "root"]).select(F.col("doc").alias(id_col), "n_tokens", whole.alias("ids"))
+    """A row for each recipe, those of null and repeated ids too: id_col, n_tokens, and ids, its chunks' bytes joined; null if a chunk is lost."""
+    recipes, _ = checked_recipes(spark, path)
+    listed = recipes.select("part", "row", "doc", "n_tokens", F.posexplode("addresses").alias("seq", "address"))
+    parts = listed.join(spark.read.parquet(f"{path}/chunks"), "address", "left")
+    slim = parts.groupBy("part", "row").agg(F.first("doc").alias("doc"), F.first("n_tokens").alias("n_tokens"), F.array_sort(F.collect_list(F.struct("seq", "ids"))).alias("got"))
+    slim = slim.select("doc", "n_tokens", F.col("got")["ids"].alias("got"))
+    schema = T.StructType([T.StructField(id_col, slim.schema["doc"].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = [None if None in (own := x.as_py()) else b"".join(own) for x in batch.column("got")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("n_tokens"), pa.array(ids, pa.binary())], names=[id_col, "n_tokens", "ids"])
+
+    return in_small_batches(slim).mapInArrow(run, schema)

@@ -6,6 +6,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from talkmill.llm import decontam, fertility, kernels, license_scan, line_dedup, near_dup, pii, url_filter
 from talkmill.llm.oracles import ORACLES
@@ -119,11 +120,8 @@ def shingles(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-@pytest.mark.parametrize("small", [32, 1])
-def test_components(spark, small, monkeypatch):
-    monkeypatch.setattr(near_dup, "SMALL_BUCKET", small)  # 1: all larger buckets go by differences from a pivot
-    docs = [d for d in documents(spark).collect() if d.doc_id is not None]
-    sets = {d.doc_id: shingles(d.text) for d in docs}
+def brute_components(sets, percent):
+    """The smallest id reachable from each over links of the full sets."""
     root = {i: i for i in sets}
     changed = True
     while changed:
@@ -131,9 +129,18 @@ def test_components(spark, small, monkeypatch):
         for a in sets:
             for b in sets:
                 both = len(sets[a] & sets[b])
-                if both and 100 * both >= 85 * len(sets[a] | sets[b]) and root[b] > root[a]:
+                if both and 100 * both >= percent * len(sets[a] | sets[b]) and root[b] > root[a]:
                     root[b], changed = root[a], True
-    rows = collected(near_dup.components(documents(spark), percent=85))
+    return root
+
+
+@pytest.mark.parametrize("percent, pays", [(80, 0.1), (85, -1), (85, 2)])
+def test_components(spark, percent, pays, monkeypatch):
+    monkeypatch.setattr(near_dup, "PAYS", pays)  # -1: pivots to the end; 2: rare shingles after the first one
+    docs = [d for d in documents(spark).collect() if d.doc_id is not None]
+    sets = {d.doc_id: shingles(d.text) for d in docs}
+    root = brute_components(sets, percent)
+    rows = collected(near_dup.components(documents(spark), percent=percent))
     assert len(rows) == len(docs) + 1
     for r in rows:
         if r["doc_id"] is None:
@@ -144,6 +151,56 @@ def test_components(spark, small, monkeypatch):
     assert near_dup.components(empty(spark)).count() == 0
 
 
+def near_copies(n, seed=4, size=140):
+    """Texts of one passage with up to a sixth of its words changed, each a copy of the passage or of an earlier copy."""
+    rng = random.Random(seed)
+    out = [[f"w{rng.randrange(10**6)}" for _ in range(size)]]
+    for _ in range(n - 1):
+        copy = list(rng.choice(out[-40:]) if rng.random() < 0.3 else out[0])
+        for _ in range(rng.randrange(6)):
+            copy[rng.randrange(len(copy))] = f"v{rng.randrange(10**6)}"
+        if rng.random() < 0.2:
+            del copy[rng.randrange(len(copy))]
+        out.append(copy)
+    return [" ".join(w) for w in out]
+
+
+def test_large_group(spark, monkeypatch):
+    percent = 80
+    texts, pairs = near_copies(1000), []
+    lookup = near_dup.pairs_by_rare_shingles
+    monkeypatch.setattr(near_dup, "pairs_by_rare_shingles", lambda *a: pairs.append(lookup(*a)) or pairs[-1])
+    rows = collected(near_dup.components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), percent=percent))
+    sets = [shingles(t) for t in texts]
+    held, root = {}, list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, s in enumerate(sets):  # all pairs, counted by shared shingles
+        both = {}
+        for e in s:
+            for j in held.setdefault(e, []):
+                both[j] = both.get(j, 0) + 1
+            held[e].append(i)
+        for j, n in both.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                a, b = sorted((top(i), top(j)))
+                root[b] = a
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {i: top(i) for i in range(len(texts))}
+    assert len({top(i) for i in range(len(texts))}) > 50  # others than the large component are there
+    assert pairs and pairs[0].distinct().count() < 5 * len(texts)
+
+
+def test_one_id_with_two_texts(spark):
+    texts = near_copies(4, size=60)
+    rows = [(1, texts[0]), (5, texts[0]), (5, "another text of seven words in all"), (5, ""), (7, "another text of seven words in all"), (8, "quite another text of seven words in all")]
+    found = collected(near_dup.components(spark.createDataFrame(rows, "doc_id long, text string")))
+    assert sorted((r["doc_id"], r["component_id"], r["n_shingles"]) for r in found) == sorted([(1, 1, 56), (5, 1, 56), (5, 1, 3), (5, 1, 0), (7, 1, 3), (8, 8, 4)])
+
+
 def test_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     assert {r.root for r in near_dup.connected(edges).collect()} == {0, 100}
@@ -207,7 +264,7 @@ def test_fm_index(seed):
     for n in (1, 2, 3, 9):
         for at in (0, 17, 300, 520):
             p = seq[at : at + n]
-            lo, hi = index.search(p[None, :], np.array([n]))
+            lo, hi = index.search(p, np.array([n]), np.array([n]))
             places = sorted(index.locate(np.arange(lo[0], hi[0])).tolist())
             assert places == [i for i in range(len(seq) - n + 1) if (seq[i : i + n] == p).all()]
 
@@ -235,6 +292,68 @@ def test_base_spans_in_hard_texts(spark):
         assert r.base == ",".join(x[2] for x in sorted(found)), t
 
 
+def planted_private(n=1500, seed=6):
+    """Texts with private spans, one in ten of which the fixed rules miss, and with numbers that are none; and the missed spans."""
+    rng = random.Random(seed)
+    digits = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+
+    def card():
+        body = digits(15)
+        return next(body + c for c in "0123456789" if sum(sum(divmod(int(d) * (1 + i % 2), 10)) for i, d in enumerate(reversed(body + c))) % 10 == 0)
+
+    kinds = [
+        lambda: (f"+1 ({digits(3)}) 555-{digits(4)}", False),
+        lambda: (card(), False),
+        lambda: (f"ann.{digits(2)}@mail{digits(1)}.example.com", False),
+        lambda: (f"({digits(3)}) 555-{digits(4)}", "missed"),
+        lambda: (f"{card()} {card()}", "missed"),
+        lambda: (f"jürgen{digits(2)}@straße{digits(1)}.example.com", "missed"),
+        lambda: (f"ann.{digits(2)} (at) mail{digits(1)}.example.com", "missed"),
+        lambda: (f"in {digits(4)} or {digits(3)}, {digits(2)}", None),
+        lambda: (f"nr{digits(8)}x", None),
+        lambda: (f"v{digits(1)}.{digits(2)}.{digits(5)}", None),
+    ]
+    weights = [12, 12, 12, 1, 1, 1, 1, 4, 4, 4]
+    rows, missed = [], []
+    for i in range(n):
+        text, own = "Of the and so", []
+        for _ in range(4):
+            private, kind = rng.choices(kinds, weights)[0]()
+            at = len(text) + 1
+            text += f" {private} and then that went"
+            if kind == "missed":
+                own.append((at + (private[0] == "("), at + len(private)))
+        rows.append((i, text))
+        missed.append(own)
+    return rows, missed
+
+
+def test_trees_find_what_rules_miss(spark):
+    rows, missed = planted_private()
+    found = {r.doc_id: [(s.start, s.end) for s in r.spans if s not in r.base] for r in pii.find_private(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    overlaps = lambda a, b: a[0] < b[1] and b[0] < a[1]
+    planted = [(i, s) for i, own in enumerate(missed) for s in own]
+    caught = sum(any(overlaps(s, f) for f in found[i]) for i, s in planted)
+    every = [(i, f) for i, own in found.items() for f in own]
+    right = sum(any(overlaps(s, f) for s in missed[i]) for i, f in every)
+    assert caught >= 0.9 * len(planted) and right >= 0.9 * len(every), (caught, len(planted), right, len(every))
+    for own in found.values():
+        assert all(not overlaps(a, b) for a in own for b in own if a != b)
+
+
+def test_tree_columns_score_as_trees(spark):
+    rng = np.random.default_rng(8)
+    points = rng.integers(0, 6, (300, pii.N_FEATURES))
+    n = rng.integers(1, 30, 300).astype(float)
+    p = np.floor(n * (points[:, 0] > 2) * rng.random(300))
+    trees = pii.Trees().fit(points, n, p)
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(points.tolist())], "i int, f array<int>")
+    got = {r.i: r.s for r in df.select("i", trees.column(F.col("f")).alias("s")).collect()}
+    assert all(got[i] == trees.score(x) for i, x in enumerate(points.tolist()))
+    positive, negative = (np.mean([got[i] for i in range(300) if (p[i] > 0) == side]) for side in (True, False))
+    assert positive > negative + 1
+
+
 def test_trees_add_secrets(spark):
     secret = lambda i: hashlib.sha1(str(i).encode()).hexdigest()
     rows = [(i, f'see token = "{secret(i)}" there') for i in range(200)] + [(1000 + i, "averyveryverylongordinarywordwithnodigits once") for i in range(200)] + [(5000, f"bare {secret('z')} here")]

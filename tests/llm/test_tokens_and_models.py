@@ -1,8 +1,12 @@
+import hashlib
+import shutil
 import zlib
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pytest
+import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -15,26 +19,40 @@ from tests.conftest import DATA
 from tests.llm.fixtures import documents, empty
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"]
-ALPHABET = st.lists(st.sampled_from(list("aAbeE  \n\t.,'!-19éßİ中\x00\x01") + ["'s", "the", "\r\n", "<|endoftext|>", " the ", ". The"]), max_size=30).map("".join)
+ALPHABET = st.lists(st.sampled_from(list("aAbeE  \n\t.,'!-19éßİ中\x00\x01") + ["'s", "the", "\r\n", "<|endoftext|>", "<|EndOfText|>", " the ", ". The", "be, ", "1. ", "é.\n", "_, ", "e,. "]), max_size=30).map("".join)
 
 
-def whole(name, text):
-    e = encoder(vocabulary(name))
-    return e.tokenizer.encode(text, add_special_tokens=False).ids if hasattr(e, "tokenizer") else e.model.encode(text)
+@lru_cache
+def library(name):
+    """The plain call of the library."""
+    if name.endswith(".json"):
+        tokenizer = Tokenizer.from_file(vocabulary(name))
+        return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+    return sentencepiece.SentencePieceProcessor(model_file=vocabulary(name)).encode
 
 
 @pytest.mark.parametrize("name", FILES)
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(text=ALPHABET)
 def test_pieces_give_the_ids_of_the_whole(name, text):
     e = encoder(vocabulary(name))
-    assert np.frombuffer(e.encode(text), e.dtype).tolist() == whole(name, text)
+    assert np.frombuffer(e.encode(text), e.dtype).tolist() == library(name)(text)
+
+
+@pytest.mark.parametrize("name", FILES)
+def test_a_full_memo_forgets(name):
+    e = encoder(vocabulary(name))
+    e.memo.clear()
+    e.memo.limit, kept = 50, e.memo.limit
+    for i in range(300):
+        text = f"word{i} and word{i % 7}, more{i}.\nSo it goes"
+        assert np.frombuffer(e.encode(text), e.dtype).tolist() == library(name)(text)
+        assert len(e.memo) <= 51 and len(e.memo.former) <= 51
+    e.memo.limit = kept
 
 
 def ids_of(name, docs, end):
-    t = Tokenizer.from_file(vocabulary(name))
-    t.encode_special_tokens = True
-    return {d.doc_id: np.array(t.encode(d.text or "", add_special_tokens=False).ids + [end], "<u4") for d in docs}
+    return {d.doc_id: np.array([*library(name)(d.text or ""), end], "<u4") for d in docs}
 
 
 def test_store(spark, tmp_path):
@@ -51,21 +69,71 @@ def test_store(spark, tmp_path):
     chunks = spark.read.parquet(f"{tmp_path}/s/chunks")
     assert chunks.count() == chunks.select("address").distinct().count()
     back = token_store.reconstruct(spark, f"{tmp_path}/s").collect()
+    assert Counter(r.doc_id for r in back) == Counter(d.doc_id for d in docs)
     assert all(np.frombuffer(r.ids, "<u2").tolist() == ids[r.doc_id].tolist() for r in back)
     assert spark.read.parquet(f"{tmp_path}/s/manifest").agg(F.sum("n_docs")).first()[0] == len(docs)
 
 
-def test_store_shows_damage(spark, tmp_path):
+@pytest.fixture
+def store(spark, tmp_path):
     token_store.build_store(documents(spark), f"{tmp_path}/s", vocabulary("byte_bpe_50k.json"))
-    chunks = spark.read.parquet(f"{tmp_path}/s/chunks").toPandas()
+    return tmp_path / "s"
+
+
+def test_store_shows_a_changed_chunk(spark, store):
+    chunks = spark.read.parquet(f"{store}/chunks").toPandas()
     chunks.loc[0, "ids"] = b"\x01\x00" + chunks.loc[0, "ids"][2:]
-    chunks.to_parquet(f"{tmp_path}/bad.parquet")
-    (tmp_path / "t").mkdir()
-    for part in ("recipes", "manifest"):
-        (tmp_path / "t" / part).symlink_to(tmp_path / "s" / part)
-    (tmp_path / "t" / "chunks").mkdir()
-    (tmp_path / "bad.parquet").rename(tmp_path / "t" / "chunks" / "part.parquet")
-    assert token_store.read_documents(spark, f"{tmp_path}/t").where("not verified").count() >= 1
+    shutil.rmtree(store / "chunks")
+    (store / "chunks").mkdir()
+    chunks.to_parquet(store / "chunks" / "part.parquet")
+    assert token_store.read_documents(spark, str(store)).where("not verified").count() >= 1
+
+
+def test_store_shows_a_lost_chunk(spark, store):
+    chunks = spark.read.parquet(f"{store}/chunks").toPandas()
+    shutil.rmtree(store / "chunks")
+    (store / "chunks").mkdir()
+    chunks[1:].to_parquet(store / "chunks" / "part.parquet")
+    n = documents(spark).count()
+    rows = token_store.read_documents(spark, str(store)).collect()
+    assert len(rows) == n and not all(r.verified for r in rows)
+    back = token_store.reconstruct(spark, str(store)).collect()
+    assert len(back) == n and any(r.ids is None for r in back)
+
+
+@pytest.mark.parametrize("change", ["lost", "changed", "manifest"])
+def test_store_shows_damaged_recipes(spark, store, change):
+    if change == "lost":
+        next(p for p in (store / "recipes").iterdir() if p.suffix == ".parquet").unlink()
+    else:
+        folder = store / ("manifest" if change == "manifest" else "recipes")
+        rows = spark.read.parquet(str(folder)).toPandas()
+        rows.loc[0, "n_tokens" if change == "changed" else "root"] = 3 if change == "changed" else b"x" * 32
+        shutil.rmtree(folder)
+        folder.mkdir()
+        rows.to_parquet(folder / "part.parquet")
+    with pytest.raises(token_store.Damaged):
+        token_store.read_documents(spark, str(store))
+
+
+def test_tree_of_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(token_store, "FANOUT", 4)
+    rows = [(i % 7, i // 7, bytes([i]) * 32, i) for i in range(150)]
+    recipes = spark.createDataFrame(rows, "part int, row long, root binary, n_tokens long")
+
+    def node(hashes):
+        return hashlib.sha256(b"\x02" + b"".join(hashes)).digest()
+
+    def tree(hashes):
+        while True:
+            hashes = [node(hashes[i : i + 4]) for i in range(0, len(hashes), 4)]
+            if len(hashes) == 1:
+                return hashes[0]
+
+    want = [tree([hashlib.sha256(b"\x00" + r + str(n).encode()).digest() for p, _, r, n in rows if p == part]) for part in range(7)]
+    got = token_store.file_roots(recipes)
+    assert [bytes(r.root) for r in got.orderBy("part").collect()] == want
+    assert bytes(token_store.top_root(got).first().root) == tree(want)
 
 
 def test_store_of_nothing(spark, tmp_path):
