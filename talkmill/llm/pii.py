@@ -1,13 +1,15 @@
 """Find personal data: fixed rules, and boosted trees over further candidate spans.
 
 Fixed rules find addresses, IPs, cards and phones. Generators of high recall propose mailboxes, numbers and secrets
-that may overlap them. Format and context of each candidate become a few small numbers; how often each combination
-occurs, and with what weak label, is counted over all documents. Boosted trees are fitted to these counts (at most as
-many rows as there are combinations), thresholds are calibrated on a fold left out, and the trees become a SQL
-expression. Texts are read once and not shuffled. DataFrame functions only.
+that may overlap them and each other. Format and context of each candidate become a few small numbers; how often each
+combination occurs, and with what weak label, is counted over all documents. Boosted trees are fitted to these counts
+(at most as many rows as there are combinations), thresholds are calibrated on a fold left out, and the trees become
+nested CASE expressions. Of chosen spans that overlap, the one with the highest score stays, then the first, then the
+shortest; what a fixed rule's span covers adds nothing. Texts are read once and not shuffled. DataFrame functions only.
 
-Weak labels: a mailbox or number is private if it overlaps a span of the fixed rules, a secret if it is assigned to a
-name such as token or password. What a label is made of is no feature.
+Weak labels are apart from the fixed rules: a mailbox has one of some common endings; a number has a plus sign, a
+valid check digit at the length of a card, or four parts up to 255; a secret is assigned to a name such as token or
+password. What a label is made of is no feature.
 
 Defined results: a null text is empty; it has no spans. Positions are in code points, ends exclusive. Repeated rows are
 searched one by one. A kind whose candidates reach the wanted precision at no threshold adds nothing. An empty table
@@ -17,8 +19,9 @@ gives an empty result; input columns other than the id are not carried.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,33 +33,49 @@ EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-MAILBOX = r"(?:\G|(?<![^\s@<>(),;:\"\[\]]))[^\s@<>(),;:\"\[\]]++@[^\s@<>(),;:\"\[\]]*+(?<![.!?*#%&$|])"
-NUMBER = r"(?<![0-9])\+?[0-9](?:[\x20().-]{0,2}+[0-9])++"
+_NAME = r"[^\s@<>(),;:\"\[\]]"
+#: Generators: mailboxes with any characters and with a written "at"; runs of digits, solid numbers, numbers in groups of
+#: four, numbers grouped like phones, and four parts.
+MAILBOXES = [
+    rf"(?:\G|(?<!{_NAME})){_NAME}++@{_NAME}*+(?<![.!?*#%&$|])",
+    r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++\x20?[\[(]at[\])]\x20?[\p{L}0-9-]++(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[\p{L}0-9-]++)*+",
+]
+NUMBERS = [
+    r"(?<![0-9])\+?[0-9](?:[\x20().-]{0,2}+[0-9])++",
+    r"(?<![0-9])[0-9]{7,19}+(?![0-9])",
+    r"(?<![0-9])[0-9]{4}(?:[\x20-][0-9]{4}){3}(?![0-9])",
+    r"(?<![0-9])(?:\+?[0-9]{1,3}[\x20.-]?)?+\(?[0-9]{2,4}\)?[\x20.-]{0,2}[0-9]{3,4}[\x20.-]?[0-9]{3,4}(?![0-9])",
+    r"(?<![0-9])[0-9]{1,3}+(?:\.[0-9]{1,3}+){3}(?![0-9])",
+]
 SECRET = r"(?:\G|(?<![A-Za-z0-9_+/=-]))[A-Za-z0-9_+/=-]{20,}+"
 
 VALID_IP = r"^(?:0*(?:[0-9]{1,2}|1[0-9][0-9]|2[0-4][0-9]|25[0-5])(?:\.|$)){4}$"
 BASE, ADDED = ("email", "ip", "card", "phone"), ("mailbox", "number", "secret")
 KEYWORDS = r"(?i)phone|tel|call|fax|mobil|mail|contact|card|visa|iban|account|konto|cuenta|compte|ssn|address"
 ASSIGNED = r"(?i)(?:token|secret|key|passw(?:or)?d|pwd)\W{0,3}[=:]\W{0,3}$"
+#: Common endings of mailboxes' domains.
+ENDINGS = r"(?i)(?:\.|dot[\])]\x20?)(?:com|org|net|edu|gov|info|io|eu|de|fr|es|uk)$"
 CONTEXT = 24
-FEATURES = ("digits", "length", "letters", "marks", "plus", "hexa", "context")
+N_FEATURES = 10
 
 #: Boosting: trees, their depth, step, penalty of leaves; the precision that a threshold must reach on the left-out fold (1 of FOLDS).
 TREES, DEPTH, RATE, PENALTY, PRECISION, FOLDS = 40, 3, 0.3, 1.0, 0.9, 5
 
-_SPAN = "array<struct<s:int,e:int,m:string,c:string>>"
+_SPAN = "array<struct<s:int,e:int,m:string,c:string,a:string>>"
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """All matches of a text: start, end, the match, and up to CONTEXT characters between the last match and this one."""
+    """All matches of a text: start, end, the match, up to CONTEXT characters before it (behind the last match), and the one after it."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
-    pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda p, m: F.struct(p.alias("p"), m.alias("m")))
+    n = F.size(found)
+    after = F.zip_with(found, F.slice(between, 2, n), lambda m, a: F.struct(m.alias("m"), F.substring(a, 1, 1).alias("a")))
+    pairs = F.zip_with(F.slice(between, 1, n), after, lambda p, x: F.struct(p.alias("p"), x["m"].alias("m"), x["a"].alias("a")))
     start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
     def step(acc, x):
         s = acc["at"] + F.length(x["p"])
         e = s + F.length(x["m"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"), F.substring(x["p"], -CONTEXT, CONTEXT).alias("c")))).alias("out"))
+        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"), F.substring(x["p"], -CONTEXT, CONTEXT).alias("c"), x["a"].alias("a")))).alias("out"))
 
     return F.aggregate(pairs, start, step, lambda acc: acc["out"])
 
@@ -94,9 +113,10 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 def added_candidates(text: Column) -> dict[str, Column]:
     none = F.array().cast(_SPAN)
+    at = (F.instr(text, "@") > 0) | text.rlike(r"[\[(]at[\])]")
     return {
-        "mailbox": F.when(F.instr(text, "@") > 0, matches(text, MAILBOX)).otherwise(none),
-        "number": F.when(text.rlike("[0-9]"), F.filter(matches(text, NUMBER), lambda x: F.length(digits_of(x["m"])) >= 7)).otherwise(none),
+        "mailbox": F.when(at, F.concat(*(matches(text, p) for p in MAILBOXES))).otherwise(none),
+        "number": F.when(text.rlike("[0-9].*[0-9]"), F.filter(F.array_distinct(F.concat(*(matches(text, p) for p in NUMBERS))), lambda x: F.length(digits_of(x["m"])) >= 7)).otherwise(none),
         "secret": F.when(text.rlike(r"[A-Za-z0-9_+/=-]{20}"), F.filter(matches(text, SECRET), lambda x: F.length(x["m"]) >= 20)).otherwise(none),
     }
 
@@ -109,92 +129,117 @@ def _binned(n: Column, edges: list[int]) -> Column:
     return out
 
 
-def described(kind: str, spans: Column, base: dict[str, Column]) -> Column:
-    """Candidates with their kind's number, features and weak label; those that equal a base span are left out."""
-    every = F.concat(*base.values())
+def _count(m: Column, others: str) -> Column:
+    """Characters of m outside the class others."""
+    return F.length(F.regexp_replace(m, f"[{others}]", ""))
 
-    def describe(x):
-        m, told = x["m"], F.lit(kind != "secret")
-        label = x["c"].rlike(ASSIGNED) if kind == "secret" else F.exists(every, lambda b: (b["s"] < x["e"]) & (b["e"] > x["s"]))
-        features = {
-            "digits": _binned(F.length(digits_of(m)), [1, 4, 7, 9, 10, 12, 13, 14, 15, 16, 17, 20, 30]),
-            "length": _binned(F.length(m), [12, 16, 20, 24, 32, 40, 64]),
-            "letters": _binned(F.length(F.regexp_replace(m, "[^A-Za-z]", "")), [1, 4, 10]),
-            "marks": _binned(F.length(F.regexp_replace(m, r"[^\x20().-]", "")), [1, 2, 3]),
-            "plus": F.startswith(m, F.lit("+")).cast("int"),
-            "hexa": m.rlike("^[0-9a-fA-F]+$").cast("int"),
-            "context": (told & x["c"].rlike(KEYWORDS)).cast("int"),
-        }
-        return F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(ADDED.index(kind)).alias("kind"), *(v.alias(k) for k, v in features.items()), label.cast("int").alias("label"))
-
-    return F.transform(F.filter(spans, lambda x: ~F.exists(every, lambda b: (b["s"] == x["s"]) & (b["e"] == x["e"]))), describe)
+
+def _neighbour(char: Column) -> Column:
+    """0: none, white space or a quote, 1: a letter or digit, 2: another."""
+    return F.when((char == "") | char.rlike(r"""^[\s"'`]"""), 0).when(char.rlike(r"^[\p{L}0-9]"), 1).otherwise(2)
+
+
+def _longest(m: Column) -> Column:
+    """Digits of the longest group."""
+    return F.array_max(F.transform(F.split(m, "[^0-9]+"), F.length))
 
 
+def described(kind: str, spans: Column) -> Column:
+    """Candidates with their kind's number, f (N_FEATURES small numbers) and weak label."""
+
+    def describe(x):
+        m, digits = x["m"], F.length(digits_of(x["m"]))
+        before, after, told = _neighbour(F.substring(x["c"], -1, 1)), _neighbour(x["a"]), x["c"].rlike(KEYWORDS).cast("int")
+        if kind == "mailbox":
+            name, domain = F.regexp_replace(m, r"\x20?(?:@|[\[(]at).*$", ""), F.regexp_replace(m, r"^.*?(?:@|at[\])]\x20?)", "")
+            f = [_binned(F.length(name), [2, 8, 20]), _binned(F.length(domain), [4, 8, 16, 30]), _binned(_count(domain, "^."), [1, 2, 3]), _binned(digits, [1, 3]), m.rlike(r"[^\x00-\x7F]").cast("int"), (F.instr(m, "@") == 0).cast("int"), F.instr(domain, "@").cast("boolean").cast("int"), before, after, told]
+            label = m.rlike(ENDINGS)
+        elif kind == "number":
+            own = F.regexp_replace(m, r"^\+[0-9]{1,3}[\x20.-]", "")  # without the prefix of a country
+            f = [_binned(F.length(digits_of(own)), [9, 10, 12, 13, 16, 17, 20]), _binned(F.size(F.regexp_extract_all(own, F.lit("[0-9]+"), F.lit(0))), [2, 3, 4, 5]), _binned(_longest(own), [4, 5, 9, 13, 17]), _binned(_count(own, "^."), [1, 3, 4]), F.contains(own, F.lit(")")).cast("int"), _binned(_count(own, r"^\x20"), [1, 3]), _binned(_count(own, "^-"), [1]), before, after, told]
+            label = m.startswith("+") & between(digits, 10, 15) | between(digits, 13, 19) & ~m.rlike("[.()]") & luhn(digits_of(m)) | m.rlike(VALID_IP)
+        else:
+            f = [_binned(F.length(m), [24, 32, 40, 41, 64]), F.floor(8 * digits / F.length(m)).cast("int"), _binned(_count(m, "^A-Z"), [1, 4]), _binned(_count(m, "^a-z"), [1, 4]), m.rlike("^[0-9a-fA-F]+$").cast("int"), _binned(_count(m, "A-Za-z0-9"), [1, 2]), _binned(F.size(F.array_distinct(F.split(m, ""))), [8, 12, 16, 24]), after, told, F.lit(0)]
+            label = x["c"].rlike(ASSIGNED)
+        return F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(ADDED.index(kind)).alias("kind"), F.array(*f).alias("f"), label.cast("int").alias("label"))
+
+    return F.transform(spans, describe)
+
+
+@dataclass
 class Trees:
-    """Boosted trees over small whole numbers, fitted to counted combinations: (features, rows, of these positive)."""
-
-    def __init__(self, counted: list[tuple[tuple[int, ...], float, float]], trees: int = TREES, depth: int = DEPTH):
-        positive, total = sum(p for _, _, p in counted), sum(n for _, n, _ in counted)
-        self.bias = math.log((positive + 0.5) / (total - positive + 0.5)) if total else 0.0
-        self.trees: list = []
-        scores = [self.bias] * len(counted)
-        for _ in range(trees if counted else 0):
-            slopes = []
-            for (_, n, p), s in zip(counted, scores, strict=True):
-                q = 1 / (1 + math.exp(-s))
-                slopes.append((p - n * q, n * q * (1 - q)))
-            tree = self.grow(list(range(len(counted))), [x for x, _, _ in counted], slopes, depth)
-            self.trees.append(tree)
-            scores = [s + self.value(tree, x) for s, (x, _, _) in zip(scores, counted, strict=True)]
-
-    def grow(self, rows: list[int], points: list[tuple[int, ...]], slopes: list[tuple[float, float]], depth: int):
-        """A leaf's value, or (feature, edge, below, from the edge on), by the gain in the second-order loss."""
-        g, h = sum(slopes[r][0] for r in rows), sum(slopes[r][1] for r in rows)
+    """Boosted trees over small whole numbers, fitted to counted combinations: points (a row of features each), rows and positive rows of each."""
+
+    bias: float = 0.0
+    trees: list = field(default_factory=list)
+
+    def fit(self, points: np.ndarray, n: np.ndarray, p: np.ndarray, trees: int = TREES, depth: int = DEPTH) -> "Trees":
+        self.bias = math.log((p.sum() + 0.5) / (n.sum() - p.sum() + 0.5))
+        scores = np.full(len(points), self.bias)
+        for _ in range(trees if len(points) else 0):
+            q = 1 / (1 + np.exp(-scores))
+            values = np.zeros(len(points))
+            self.trees.append(self.grow(np.arange(len(points)), points, p - n * q, n * q * (1 - q), depth, values))
+            scores += values
+        return self
+
+    def grow(self, rows: np.ndarray, points: np.ndarray, slope: np.ndarray, bend: np.ndarray, depth: int, values: np.ndarray):
+        """A leaf's value, or (feature, edge, below, from the edge on), by the gain in the second-order loss; values: of each point."""
+        g, h = float(slope[rows].sum()), float(bend[rows].sum())
         best = (1e-6, None, None)
-        for f in range(len(points[0])) if depth and len(rows) > 1 else ():
-            by = defaultdict(lambda: [0.0, 0.0])
-            for r in rows:
-                by[points[r][f]][0] += slopes[r][0]
-                by[points[r][f]][1] += slopes[r][1]
-            gl = hl = 0.0
-            for edge, below in zip(sorted(by)[1:], sorted(by), strict=False):
-                gl, hl = gl + by[below][0], hl + by[below][1]
-                gain = gl * gl / (hl + PENALTY) + (g - gl) ** 2 / (h - hl + PENALTY) - g * g / (h + PENALTY)
-                if gain > best[0]:
-                    best = (gain, f, edge)
+        for f in range(points.shape[1]) if depth and len(rows) > 1 else ():
+            x = points[rows, f]
+            gl, hl = (np.cumsum(np.bincount(x, weights=w[rows])) for w in (slope, bend))
+            gain = gl * gl / (hl + PENALTY) + (g - gl) ** 2 / (h - hl + PENALTY) - g * g / (h + PENALTY)
+            gain[-1] = 0.0
+            if len(gain) and gain.max() > best[0]:
+                best = (float(gain.max()), f, int(gain.argmax()) + 1)
         if best[1] is None:
+            values[rows] = RATE * g / (h + PENALTY)
             return RATE * g / (h + PENALTY)
         _, f, edge = best
-        sides = [r for r in rows if points[r][f] < edge], [r for r in rows if points[r][f] >= edge]
-        return f, edge, *(self.grow(side, points, slopes, depth - 1) for side in sides)
-
-    def value(self, tree, x: tuple[int, ...]) -> float:
-        while isinstance(tree, tuple):
-            tree = tree[3] if x[tree[0]] >= tree[1] else tree[2]
-        return tree
-
-    def score(self, x: tuple[int, ...]) -> float:
-        return self.bias + sum(self.value(t, x) for t in self.trees)
-
-
-def fit(counts: list[tuple[int, int, tuple[int, ...], float, float]]) -> dict[int, set[tuple[int, ...]]]:
-    """The combinations of features to redact, by kind. counts: kind, fold (0 is left out), features, rows, positive ones."""
-    accepted: dict[int, set[tuple[int, ...]]] = {}
+        low = points[rows, f] < edge
+        return f, edge, *(self.grow(side, points, slope, bend, depth - 1, values) for side in (rows[low], rows[~low]))
+
+    def score(self, x) -> float:
+        out = self.bias
+        for tree in self.trees:
+            while isinstance(tree, tuple):
+                tree = tree[3] if x[tree[0]] >= tree[1] else tree[2]
+            out = out + tree
+        return out
+
+    def column(self, f: Column) -> Column:
+        """score() of an array column, as nested CASE expressions."""
+
+        def branch(tree) -> Column:
+            if not isinstance(tree, tuple):
+                return F.lit(float(tree))
+            return F.when(f[tree[0]] < tree[1], branch(tree[2])).otherwise(branch(tree[3]))
+
+        out = F.lit(self.bias)
+        for tree in self.trees:
+            out = out + branch(tree)
+        return out
+
+
+def fit(counts: list[tuple[int, int, tuple[int, ...], float, float]]) -> dict[int, tuple[Trees, float]]:
+    """Trees and threshold of each kind that has one. counts: kind, fold (0 is left out), features, rows, positive ones."""
+    out = {}
     for kind in sorted({c[0] for c in counts}):
         rows = [c for c in counts if c[0] == kind]
-        trees = Trees([(x, n, p) for _, fold, x, n, p in rows if fold])
-        by: dict[float, list[float]] = defaultdict(lambda: [0.0, 0.0])
-        for _, fold, x, n, p in rows:
-            if not fold:
-                by[round(trees.score(x), 9)][0] += n
-                by[round(trees.score(x), 9)][1] += p
-        threshold, n, p = math.inf, 0.0, 0.0
-        for s in sorted(by, reverse=True):
-            n, p = n + by[s][0], p + by[s][1]
-            if p >= PRECISION * n:
-                threshold = s
-        accepted[kind] = {x for _, _, x, _, _ in rows if round(trees.score(x), 9) >= threshold}
-    return accepted
+        learnt = [c for c in rows if c[1]]
+        if not learnt:
+            continue
+        trees = Trees().fit(np.array([c[2] for c in learnt]), np.array([c[3] for c in learnt]), np.array([c[4] for c in learnt]))
+        left_out = sorted(((trees.score(x), n, p) for _, fold, x, n, p in rows if not fold), reverse=True)
+        n = p = 0.0
+        for i, (s, more, right) in enumerate(left_out):
+            n, p = n + more, p + right
+            after = left_out[i + 1][0] if i + 1 < len(left_out) else s
+            if p >= PRECISION * n and (after < s or i + 1 == len(left_out)):
+                out[kind] = trees, (s + after) / 2  # halfway to the next score, as others than those left out lie between
+    return out
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -202,30 +247,43 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text = F.coalesce(F.col(text_col), F.lit(""))
     found = docs.select(F.col(id_col).alias("doc"), text.alias("text"))
     found = found.select("doc", *(c.alias(k) for k, c in base_spans(F.col("text")).items()), *(c.alias(k) for k, c in added_candidates(F.col("text")).items()))
-    base = {k: F.col(k) for k in BASE}
-    return found.select("doc", *(F.transform(k, lambda x: F.struct(x["s"], x["e"])).cast("array<struct<s:int,e:int>>").alias(k) for k in BASE), F.concat(*(described(k, F.col(k), base) for k in ADDED)).alias("added"))
+    return found.select("doc", *(F.transform(k, lambda x: F.struct(x["s"], x["e"])).cast("array<struct<s:int,e:int>>").alias(k) for k in BASE), F.concat(*(described(k, F.col(k)) for k in ADDED)).alias("added"))
 
 
 def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, base and spans (all): arrays of (start, kind's number, end, kind), sorted."""
     seen = materialise(candidates(docs, id_col, text_col), "private")
     rows = seen.select(F.pmod(F.xxhash64("doc"), F.lit(FOLDS)).alias("fold"), F.explode("added").alias("x"))
-    counted = rows.groupBy("x.kind", (F.col("fold") > 0).cast("int").alias("fold"), *(f"x.{f}" for f in FEATURES)).agg(F.count("*").alias("n"), F.sum("x.label").alias("p"))
+    counted = rows.groupBy("x.kind", (F.col("fold") > 0).cast("int").alias("fold"), *(F.col("x.f")[i].alias(f"f{i}") for i in range(N_FEATURES))).agg(F.count("*").alias("n"), F.sum("x.label").alias("p"))
     # One row for each combination of features, of which the bins allow a fixed number.
-    accepted = fit([(r["kind"], r["fold"], tuple(r[f] for f in FEATURES), float(r["n"]), float(r["p"])) for r in counted.orderBy(*counted.columns).collect()])
-    chosen = [f"{kind}:{':'.join(map(str, x))}" for kind, xs in accepted.items() for x in sorted(xs)]
-    known = F.array(*map(F.lit, chosen)).cast("array<string>")
+    models = fit([(r["kind"], r["fold"], tuple(r[f"f{i}"] for i in range(N_FEATURES)), float(r["n"]), float(r["p"])) for r in counted.orderBy(*counted.columns).collect()])
+    every = F.concat(*BASE)
+
+    def scored(x: Column) -> Column:
+        """The candidate with what its score has above its kind's threshold; null for those of kinds without one."""
+        over = F.lit(None).cast("double")
+        for kind, (trees, threshold) in models.items():
+            over = F.when(x["kind"] == kind, trees.column(x["f"]) - threshold).otherwise(over)
+        return F.struct((-over).alias("under"), x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))
+
+    def add(kept: Column, x: Column) -> Column:
+        return F.when(F.exists(kept, lambda k: (k["s"] < x["e"]) & (k["e"] > x["s"])), kept).otherwise(F.concat(kept, F.array(x)))
+
+    chosen = F.filter(F.transform("added", scored), lambda x: (x["under"] <= 0) & ~F.exists(every, lambda b: (b["s"] <= x["s"]) & (b["e"] >= x["e"])))
+    chosen = F.array_sort(chosen)
+    kept = F.aggregate(chosen, F.array().cast("array<struct<under:double,s:int,e:int,kind:int>>"), add)
+
+    def of_kind(spans: Column, kind: str) -> Column:
+        return F.filter(spans, lambda x: x["kind"] == ADDED.index(kind))
 
     def named(spans: Column, kind: str) -> Column:
         k = (*BASE, *ADDED).index(kind)
         return F.transform(spans, lambda x: F.struct(x["s"].alias("start"), F.lit(k).alias("k"), x["e"].alias("end"), F.lit(kind).alias("kind")))
 
-    def redacted(kind: str) -> Column:
-        one = F.filter("added", lambda x: (x["kind"] == ADDED.index(kind)) & F.array_contains(known, F.concat_ws(":", x["kind"], *(x[f] for f in FEATURES))))
-        return named(one, kind)
-
     base = F.concat(*(named(F.col(k), k) for k in BASE))
-    return seen.select(F.col("doc").alias(id_col), F.array_sort(base).alias("base"), F.array_sort(F.concat(base, *(redacted(k) for k in ADDED))).alias("spans"))
+    both = seen.select("doc", *BASE, kept.alias("added"))
+    more = [named(of_kind(F.col("added"), kind), kind) for kind in ADDED]
+    return both.select(F.col("doc").alias(id_col), F.array_sort(base).alias("base"), F.array_sort(F.concat(base, *more)).alias("spans"))
 
 
 def written(spans: Column) -> Column:
