@@ -23,14 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from talkmill.llm.kernels import ALPHANUMERIC, Block, blocks, span_hashes, spans
-from talkmill.llm.shared import arrow_rows
+from talkmill.llm.kernels import ALPHANUMERIC, Block, blocks, ngram_hashes, span_hashes, spans
+from talkmill.llm.shared import in_small_batches, materialise
 
 WINDOW = 10
 #: Bytes of text in a shard (a longer text is a shard of its own), and the suffix positions of which one is kept.
-SHARD_BYTES, SAMPLE = 4 << 20, 16
-#: Bytes of item texts handled in one round over the documents.
-ROUND_BYTES = 64 << 20
+SHARD_BYTES, SAMPLE = 1 << 20, 16
+#: Bytes of item texts handled in one round over the documents: some 10 times as many on the driver, 4 times in a task.
+ROUND_BYTES = 8 << 20
 
 _END, _OTHER, _FIRST = 1, 2, 3  # symbols; 0 ends the shard
 
@@ -123,13 +123,13 @@ class FMIndex:
         self.kept_before = np.concatenate((np.zeros(1, np.int64), np.cumsum(self.kept)))
         self.samples = order[self.kept]
 
-    def search(self, patterns: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The range of suffixes that begin with each pattern (a row, filled from the right); equal ends: none."""
-        lo, hi = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.n, np.int64)
-        live = np.arange(len(patterns))
-        for step in range(1, patterns.shape[1] + 1 if len(patterns) else 0):
+    def search(self, text: np.ndarray, ends: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The range of suffixes that begin with each pattern (symbols of text before its end); equal ends: none."""
+        lo, hi = np.zeros(len(ends), np.int64), np.full(len(ends), self.n, np.int64)
+        live = np.arange(len(ends))
+        for step in range(1, int(lengths.max(initial=0)) + 1):
             live = live[(lengths[live] >= step) & (lo[live] < hi[live])]
-            c = patterns[live, -step]
+            c = text[ends[live] - step].astype(np.int64)
             lo[live] = self.shift[c] + self.wavelet.down(c, lo[live])
             hi[live] = self.shift[c] + self.wavelet.down(c, hi[live])
         return lo, hi
@@ -146,31 +146,49 @@ class FMIndex:
 
 @dataclass
 class Windows:
-    """All distinct windows of some items as rows of symbols, filled from the right, and the items of each."""
+    """All distinct windows of some items, as stretches of the items' symbols, and the items of each."""
 
     vocabulary: np.ndarray  # sorted word hashes; a word's symbol is its place + 3
-    patterns: np.ndarray
+    symbols: np.ndarray
+    ends: np.ndarray
     lengths: np.ndarray
-    items: list[list[str]]
+    names: list[str]  # sorted item ids
+    items: np.ndarray  # places in names, window after window
+    bounds: np.ndarray  # where the items of each window begin, and the end
 
 
 def item_windows(items: list[tuple[str | None, str]], window: int) -> Windows:
     batch = pa.RecordBatch.from_arrays([pa.array([t for _, t in items], pa.string())], names=["text"])
-    seqs = []
+    words, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     for block in blocks(batch, "text"):
         found = spans(block, ALPHANUMERIC)
-        words = span_hashes(block, found.start, found.end, fold=True)
-        seqs += [words[a:b] for a, b in zip(found.bounds, found.bounds[1:], strict=False)]
-    vocabulary = np.unique(np.concatenate([*seqs, np.zeros(0, np.uint64)]))
-    by: dict[tuple, set[str]] = {}
-    for (item, _), seq in zip(items, seqs, strict=True):
-        symbols = (np.searchsorted(vocabulary, seq) + _FIRST).tolist()
-        for i in range(max(1, len(symbols) - window + 1) if symbols else 0):
-            by.setdefault(tuple(symbols[i : i + window]), set()).update(() if item is None else (item,))
-    patterns = np.zeros((len(by), max(map(len, by), default=0)), np.int64)
-    for row, p in zip(patterns, by, strict=True):
-        row[len(row) - len(p) :] = p
-    return Windows(vocabulary, patterns, np.array([len(p) for p in by], np.int64), [sorted(x) for x in by.values()])
+        words.append(span_hashes(block, found.start, found.end, fold=True))
+        counts.append(np.diff(found.bounds))
+    words, counts = np.concatenate(words), np.concatenate(counts)
+    bounds = np.concatenate((np.zeros(1, np.int64), np.cumsum(counts)))
+    hashes, at = ngram_hashes(words, bounds, window)
+    short = np.flatnonzero((counts > 0) & (counts < window))
+    own = [ngram_hashes(words[bounds[i] : bounds[i + 1]], np.array([0, counts[i]]), int(counts[i]))[0] for i in short]
+    hashes, at = np.concatenate([hashes, *own]), np.concatenate((at, bounds[short]))
+    owner = np.searchsorted(bounds, at, "right") - 1
+    names = sorted({item for item, _ in items if item is not None})
+    place = {item: i for i, item in enumerate(names)}
+    number = np.array([place.get(item, -1) for item, _ in items], np.int64)[owner]
+    order = np.lexsort((number, hashes))
+    hashes, at, owner, number = hashes[order], at[order], owner[order], number[order]
+    first = np.ones(len(hashes), bool)
+    first[1:] = hashes[1:] != hashes[:-1]
+    named = number >= 0
+    named[1:] &= first[1:] | (number[1:] != number[:-1])
+    which = np.cumsum(first) - 1
+    vocabulary = np.unique(words)
+    lengths = np.minimum(counts[owner[first]], window)
+    return Windows(vocabulary, (np.searchsorted(vocabulary, words) + _FIRST).astype(np.int32), at[first] + lengths, lengths, names, number[named], np.searchsorted(which[named], np.arange(int(first.sum()) + 1)))
+
+
+def stretches(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each of count numbers, joined."""
+    return np.repeat(start - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
 
 
 def shard_hits(block: Block, windows: Windows, earlier: list[list[dict]]) -> tuple[np.ndarray, np.ndarray, list[set[str]], np.ndarray, np.ndarray]:
@@ -187,7 +205,8 @@ def shard_hits(block: Block, windows: Windows, earlier: list[list[dict]]) -> tup
         for s in old:
             change[found.bounds[t] + s["start"]] += 1
             change[found.bounds[t] + s["end"]] -= 1
-    if total and len(windows.patterns):
+    n_windows = len(windows.ends)
+    if total and n_windows:
         words = span_hashes(block, found.start, found.end, fold=True)
         place = np.minimum(np.searchsorted(windows.vocabulary, words), len(windows.vocabulary) - 1)
         symbol = np.where(windows.vocabulary[place] == words, place + _FIRST, _OTHER)
@@ -196,18 +215,21 @@ def shard_hits(block: Block, windows: Windows, earlier: list[list[dict]]) -> tup
         sequence[np.arange(total) + found.text] = symbol
         sequence[-1] = 0
         index = FMIndex(sequence, len(windows.vocabulary) + _FIRST)
-        lo, hi = index.search(windows.patterns, windows.lengths)
+        lo, hi = index.search(windows.symbols, windows.ends, windows.lengths)
         count = hi - lo
         which = np.repeat(np.arange(len(lo)), count)
-        rows = np.repeat(lo - np.concatenate((np.zeros(1, np.int64), np.cumsum(count)[:-1])), count) + np.arange(int(count.sum()))
-        at = index.locate(rows)
+        at = index.locate(stretches(lo, count))
         starts = found.bounds[:-1] + np.arange(block.n)
         text = np.searchsorted(starts, at, "right") - 1
         np.add.at(change, at - text, 1)
         np.add.at(change, at - text + windows.lengths[which], -1)
-        pairs = np.unique(text * len(windows.patterns) + which)
-        for t, w in zip((pairs // len(windows.patterns)).tolist(), (pairs % len(windows.patterns)).tolist(), strict=True):
-            items[t].update(windows.items[w])
+        pairs = np.unique(text * n_windows + which)
+        text, which = pairs // n_windows, pairs % n_windows
+        n_of = windows.bounds[which + 1] - windows.bounds[which]
+        item = windows.items[stretches(windows.bounds[which], n_of)]
+        n_names = max(1, len(windows.names))
+        for pair in np.unique(np.repeat(text, n_of) * n_names + item).tolist():
+            items[pair // n_names].add(windows.names[pair % n_names])
     return found.bounds, np.cumsum(change[:-1]) > 0, items, found.start, found.end
 
 
@@ -219,10 +241,12 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, i
     slim = benchmark.select(F.col(item_col).cast("string").alias("item"), F.coalesce(F.col(item_text_col), F.lit("")).alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     rounds = size // ROUND_BYTES + 1  # a round's items are collected and sent to every task; each round reads the documents once more
-    out = arrow_rows(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items")), 2048)
+    out = in_small_batches(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.array().cast("array<string>").alias("items")))
     for r in range(rounds):
         some = slim if rounds == 1 else slim.where(F.pmod(F.xxhash64("item", "text"), F.lit(rounds)) == r)
-        out = _round(out, item_windows([(x["item"], x["text"]) for x in some.collect()], window), cut and r == rounds - 1)
+        out = _round(out, item_windows([(x["item"], x["text"]) for x in some.toLocalIterator()], window), cut and r == rounds - 1)
+        if r < rounds - 1:  # a task holds the windows of one round
+            out = materialise(out, "round")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
     return out.select(F.col("doc").alias(id_col), "n_words", n_hit.alias("n_hit"), "spans", "items", *([F.col("text").alias("clean_text")] if cut else []))
 
