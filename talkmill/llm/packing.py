@@ -2,8 +2,8 @@
 
 A document's full windows are sequences of their own. What remains of each is put into groups; for each window a
 bitset subset-sum over the lengths that remain finds the filling closest to the capacity beside the longest one, and
-backtracking gives how many of each length it takes. The rest of a partition is joined and cut into full windows and
-lengths that are powers of two, which need no padding. Nothing is shuffled.
+backtracking gives how many of each length it takes. Of fillings that leave slack at last the documents are joined and
+cut into full windows and lengths that are powers of two, which need no padding. Nothing is shuffled.
 
 Defined results: a null or empty text has the end id alone. Repeated rows are packed once each. Sequence ids hold the
 partition's number, so they are unique, and the same for a task that runs again over the same rows. Other input
@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from talkmill.llm.memo_tokens import encoder
-from talkmill.llm.shared import arrow_rows
+from talkmill.llm.shared import in_small_batches
 
 CAPACITY = 2048
-#: Remainders packed together; more give fuller windows, fewer take less memory (at most 8 KB each).
+#: Remainders packed together; more give fewer cuts, fewer take less memory (at most 8 KB each).
 GROUP = 4096
 
 
@@ -90,13 +90,13 @@ class _Packer:
             self.sequence += 1
         start = total // self.capacity * self.capacity
         if start < total:
-            self.waiting[total - start].append((doc, start, ids[start:], total))
+            self.waiting[total - start].append((doc, start, ids[start:].copy(), total))
             self.n_waiting += 1
             if self.n_waiting >= self.group:
                 self.pack()
 
     def pack(self) -> None:
-        """Use the fillings without slack; lengths that find none wait for more documents."""
+        """Use the fillings without slack; join what finds none and cut it at the capacity, its end at powers of two."""
         for taken, times, total in windows({k: len(v) for k, v in self.waiting.items()}, self.capacity):
             if total < self.capacity:
                 continue
@@ -107,13 +107,7 @@ class _Packer:
                         doc, start, ids, whole = self.waiting[length].popleft()
                         self.put(doc, start, ids, whole, offset)
                         offset += length
-                        self.n_waiting -= 1
                 self.sequence += 1
-        if self.n_waiting >= self.group // 2:  # none of many fits: join and cut them
-            self.close()
-
-    def close(self) -> None:
-        """Join what waits and cut it at the capacity; the end is cut at powers of two."""
         rest = [x for k in sorted(self.waiting, reverse=True) for x in self.waiting[k]]
         left = sum(len(x[2]) for x in rest)
         room, offset = 0, 0
@@ -143,7 +137,7 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity:
     """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
-    slim = arrow_rows(docs.select(id_col, text_col), 256)
+    slim = in_small_batches(docs.select(id_col, text_col))
     kind = slim.schema[0].dataType
     schema = T.StructType([T.StructField(id_col, kind), *(T.StructField(n, T.LongType()) for n in ("start", "length")), T.StructField("ids", T.BinaryType()), *(T.StructField(n, T.LongType()) for n in ("doc_tokens", "sequence_id", "offset"))])
 
@@ -158,7 +152,6 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity:
             yield packer.taken(out)
         if out:
             packer.pack()
-            packer.close()
             yield packer.taken(out)
 
     return slim.mapInArrow(run, schema)
