@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from talkmill.llm.kernels import NOT_BLANK, Block, blocks, byte_class, ngram_hashes, span_hashes, spans
 from talkmill.llm.memo_tokens import encoder
-from talkmill.llm.shared import arrow_rows, materialise
+from talkmill.llm.shared import in_small_batches, materialise
 
 MIN_WORDS, MAX_REPEAT_PERCENT, REPEAT_WORDS = 50, 50, 3
 #: Characters that count as symbols.
@@ -126,7 +126,7 @@ def token_counts(ids: np.ndarray, is_byte: np.ndarray) -> tuple[int, int, float]
 def measure(docs: DataFrame, vocabulary: str, languages: dict[str, Band] = LANGUAGES, scripts: dict[str, Band] = SCRIPTS, id_col: str = "doc_id", text_col: str = "text", lang_col: str | None = "lang") -> DataFrame:
     """One row for each row of docs, as of judge() up to band; the id is named doc."""
     lang = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
-    slim = arrow_rows(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), lang.alias("lang")), 512)
+    slim = in_small_batches(docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), lang.alias("lang")))
     longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     fields = [(c, T.LongType(), pa.int64()) for c in longs] + [("base_failed", T.BooleanType(), pa.bool_()), ("n_tokens", T.LongType(), pa.int64()), ("n_bytes", T.LongType(), pa.int64())]
     fields += [(c, T.DoubleType(), pa.float64()) for c in STEPS] + [("band", T.StringType(), pa.string())]

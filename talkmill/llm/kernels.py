@@ -29,13 +29,13 @@ _kept_powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 
 def _powers(n: int) -> list[np.ndarray]:
-    """At least n powers of an odd base modulo 2^64, and of its inverse. A worker keeps those of ordinary blocks."""
+    """At least n powers of an odd base modulo 2^64, and of its inverse. A worker keeps those of blocks (16 MB), not of longer texts."""
     if len(_kept_powers[0]) >= n:
         return _kept_powers
-    size = max(BLOCK_BYTES, 1 << (n - 1).bit_length())
+    size = max(BLOCK_BYTES, n)
     with np.errstate(over="ignore"):
         found = [np.cumprod(np.concatenate((np.ones(1, _U), np.full(size - 1, base, _U))), dtype=_U) for base in (_STEP, pow(_STEP, -1, 1 << 64))]
-    if size <= 4 * BLOCK_BYTES:
+    if size <= BLOCK_BYTES:
         _kept_powers[:] = found
     return found
 

@@ -1,8 +1,9 @@
 """Token ids of public vocabularies, with the pieces between blanks remembered.
 
 Byte-level BPE, word-end BPE and SentencePiece BPE never join tokens over a single blank or line end, so a text is cut
-there and a worker encodes each distinct piece once. A text with white space in runs is encoded whole. Ids come as
-bytes: unsigned 16-bit little-endian, or 32-bit where the vocabulary needs it.
+there and a worker encodes a frequent piece once. A text with white space in runs, or with what could be the string of
+a special token, is encoded whole. Ids are those of the plain library call, as bytes: unsigned 16-bit little-endian, or
+32-bit where the vocabulary needs it.
 """
 
 from __future__ import annotations
@@ -13,13 +14,15 @@ import sys
 from array import array
 from functools import lru_cache
 
-#: Pieces a worker remembers at most; then it forgets all and starts again.
-MEMO_PIECES = 1_500_000
+#: Pieces of a generation, of which a worker remembers two (about 130 bytes a piece), and the longest piece that it remembers.
+MEMO_PIECES, MEMO_CHARS = 600_000, 40
 #: A line end, or the text's start, before a piece. Texts that hold these characters are encoded whole.
 AFTER_LINE, AT_START = "\x00", "\x01"
 #: Punctuation that is always a pre-token of its own behind letters (the apostrophe is not).
 _WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+([!#$%&()*+,\-./:;<=>?@\[\\\]^`{|}~]+)?")
 _RUNS = ("  ", "\n\n", "\n ", " \n")
+#: Marks cut off (see HuggingFace.cut) from something else than a letter or digit.
+_NOT_CUT = re.compile(" \x01(?<=[\\W_] \x01)")
 
 
 def byte_letters() -> dict[int, str]:
@@ -34,16 +37,22 @@ def byte_letters() -> dict[int, str]:
 
 
 class Memo(dict):
-    """Piece to id bytes; encode_piece finds what is missing."""
+    """Piece to id bytes; encode_piece finds what is missing. What the last two generations haven't asked for is forgotten."""
 
     def __init__(self, encode_piece, limit: int = MEMO_PIECES):
         super().__init__()
-        self.encode_piece, self.limit = encode_piece, limit
+        self.encode_piece, self.limit, self.former = encode_piece, limit, {}
 
     def __missing__(self, piece: str) -> bytes:
+        found = self.former.get(piece)
+        if found is None:
+            found = self.encode_piece(piece)
+            if len(piece) > MEMO_CHARS:
+                return found
         if len(self) >= self.limit:
+            self.former = dict(self)
             self.clear()
-        self[piece] = found = self.encode_piece(piece)
+        self[piece] = found
         return found
 
 
@@ -64,9 +73,17 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if AFTER_LINE in text or AT_START in text or any(x in text for x in _RUNS):
             return self.whole(text)
-        if not text or text.isspace():
+        if not text or text.isspace() or self.is_special(text):
             return self.whole(text)
-        return b"".join(map(self.memo.__getitem__, (AT_START + text.replace("\n", " " + AFTER_LINE)).split(" ")))
+        return b"".join(map(self.memo.__getitem__, (AT_START + self.cut(text).replace("\n", " " + AFTER_LINE)).split(" ")))
+
+    def cut(self, text: str) -> str:
+        """The text with blanks, and AT_START behind them, where it can be cut besides."""
+        return text
+
+    def is_special(self, text: str) -> bool:
+        """Whether pieces might give other ids than the text."""
+        return False
 
     def piece(self, piece: str) -> bytes:
         if piece[:1] == AFTER_LINE:
@@ -78,14 +95,15 @@ class Encoder:
 
 
 class HuggingFace(Encoder):
-    """A file of the tokenizers library. Strings of special tokens in a text are ordinary text."""
+    """A file of the tokenizers library, with all that the plain call does: the string of a special token in a text becomes that token."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = os.path.commonprefix(special)[:2] if special else None
         self.model = self.tokenizer.model
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.letters = str.maketrans({chr(b): c for b, c in byte_letters().items()})
@@ -98,6 +116,16 @@ class HuggingFace(Encoder):
     def whole(self, text: str) -> bytes:
         return self.pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
+    def is_special(self, text: str) -> bool:
+        return self.special is not None and self.special in text
+
+    def cut(self, text: str) -> str:
+        """Full stops and commas between a letter or digit and white space are pre-tokens of their own."""
+        out = text
+        for mark in ",.":
+            out = out.replace(mark + " ", f" {AT_START}{mark} ").replace(mark + "\n", f" {AT_START}{mark}\n")
+        return text if _NOT_CUT.search(out) else out
+
     def piece(self, piece: str) -> bytes:
         """Letters and the punctuation behind them are pre-tokens: the model alone encodes the letters."""
         mark = piece[0] if piece and piece[0] in (AFTER_LINE, AT_START) else ""
@@ -131,6 +159,9 @@ class SentencePiece(Encoder):
     def whole(self, text: str) -> bytes:
         return self.pack(self.model.encode(text, num_threads=1))
 
+    def is_special(self, text: str) -> bool:
+        return text[0] == " "  # joined with the blank that the model puts before a text
+
     def piece(self, piece: str) -> bytes:
         """The model itself puts a blank before a text, so a piece after a line end is the line end's ids and the rest."""
         if piece[:1] in (AFTER_LINE, AT_START):
@@ -146,7 +177,7 @@ class SentencePiece(Encoder):
         return 2 * (len(ids) - 1) if self.dtype == "<u2" else 4 * (len(ids) - 1)
 
 
-@lru_cache(maxsize=4)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     """The encoder of a vocabulary file; a worker keeps it, with its memo, from task to task."""
     return SentencePiece(path) if path.endswith(".model") else HuggingFace(path)

@@ -12,13 +12,17 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 #: The white space of the word and line contracts: blank, tab, line feed, vertical tab, form feed, return.
 BLANKS = " \t\n\x0b\f\r"
+#: Bytes of an Arrow batch; a larger row is a batch of its own.
+BATCH_BYTES = 4 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; without one (tests on one machine), a new temporary folder."""
+    """The cluster's checkpoint folder; without one, a new temporary folder if all tasks run on this machine."""
     found = spark.conf.get(CHECKPOINT_KEY, None)
     if not found:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.conf.set(CHECKPOINT_KEY, found)
     return found
@@ -36,9 +40,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_rows(df: DataFrame, rows: int) -> DataFrame:
-    """Ask for Arrow batches of so many rows, so that a batch of long texts stays small in the Python worker."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """Bound the Arrow batches that Python workers get by bytes. One bound for all operators, so the session's value is the same whenever a plan runs."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from talkmill.llm.kernels import ALPHANUMERIC, Block, blocks, mix, span_hashes, spans
-from talkmill.llm.shared import arrow_rows
+from talkmill.llm.shared import in_small_batches
 
 BITS = 20
 #: Bytes of the beginnings that stand for inflected forms of a word.
@@ -94,7 +94,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample_row
         at = np.flatnonzero(w)
         return pa.table({"coordinate": at, "weight": w[at]})
 
-    examples = arrow_rows(rows, 1024).mapInArrow(extract, "y int, o long, tie long, ids binary")
+    examples = in_small_batches(rows).mapInArrow(extract, "y int, o long, tie long, ids binary")
     # One learner: it goes through the bounded sample in order, and several averaged ones did worse on held-out rows.
     learnt = examples.withColumn("g", F.lit(0)).groupBy("g").applyInArrow(learn, "coordinate long, weight double")
     return learnt.toPandas()  # at most 2^bits + 1 rows, few because of L1
@@ -121,7 +121,7 @@ def score(docs: DataFrame, weights: pd.DataFrame, bits: int = BITS, id_col: str
             total = np.concatenate([*sums, np.zeros(0)]) + table[1 << bits]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))], names=[*batch.schema.names, "score"])
 
-    return arrow_rows(slim, 1024).mapInArrow(run, schema)
+    return in_small_batches(slim).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id"):
