@@ -21,7 +21,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to the documents of sf_dir, each written as Parquet and read again."""
+    """Apply all stages to the documents of sf_dir, each written as Parquet and read again.
+
+    What stages make of nulls, empty texts and repeated rows is said in talkmill.llm.stages; no documents give no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = new_path(spark, f"stage-{name}")

@@ -3,12 +3,13 @@
 Sketching throws every shingle into hashed bins, round after round, until each bin is filled; late rounds go to one
 bin each, so every coordinate fills, and matching coordinates estimate the Jaccard similarity with concentration
 bounds. Copies with equal shingle sets are one class. Classes that agree on a band meet in a bucket. No bucket
-emits all its pairs: each member is compared with pivots, members that verified links have joined into one component
-need no more comparison, and only pairs across components that are left are enumerated, from the smaller
-components of a bucket. A pair is a link only when the full shingle sets say so.
+emits all its pairs: in each round its members are compared with one pivot, and members that verified links have
+joined into one component need no more comparison. What rounds leave apart is looked up by its rarest shingles, of
+which any link must share one. A pair is a link only when the full shingle sets say so.
 
 Defined results: texts without words have an empty set and no links. With fewer words than a shingle the whole
-sequence is one shingle. Rows with equal doc_id are one document. Rows with a null id take no part: their
+sequence is one shingle. Rows with equal doc_id are one document, which links to what any of its texts links to, and
+all of them have its component; n_shingles is that of the row's own text. Rows with a null id take no part: their
 component is null and they are kept. Other input columns are not carried by components(); an empty table gives an
 empty result.
 """
@@ -19,19 +20,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmill.llm.kernels import NOT_BLANK, Block, blocks, mix, ngram_hashes, span_hashes, spans
-from talkmill.llm.shared import arrow_rows, materialise
+from talkmill.llm.shared import in_small_batches, materialise
 
 WORDS = 5
 #: A pair of similarity 0.85 misses all bands with probability 3e-7, one of 0.8 with 6e-5.
 BANDS, ROWS = 32, 6
-#: Members of a bucket up to which pairs across components are listed; larger buckets go by differences from a pivot.
-SMALL_BUCKET = 32
-#: Most candidate ids (8 bytes each) to broadcast when texts are fetched; more are joined by shuffle.
-BROADCAST_IDS = 1_000_000
+#: Buckets are compared with one pivot more as long as so large a share of a round's pairs are links.
+PAYS = 0.1
 #: Standard deviations below the wanted similarity at which a sketch rules out a pair.
 SIGMAS = 6.0
 
@@ -91,9 +90,9 @@ def band_keys(rows: np.ndarray, bands: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, k: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, n (set size), d1 and d2 (128 bits that are equal for equal sets), keys (of bands), sketch (a byte of each coordinate)."""
+    """doc, th (hash of the text), n (set size), d1 and d2 (128 bits that are equal for equal sets), keys (of bands), sketch (a byte of each coordinate)."""
     t = bands * rows
-    slim = arrow_rows(docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")), 1024)
+    slim = in_small_batches(docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,11 +107,11 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, k: int = W
                 keys = band_keys(full, bands)
                 flat = pa.array(keys.reshape(-1).view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc")[block.rows], pa.array(sizes.astype(np.int64)), *(pa.array(s) for s in sums), pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands), pa.int32()), flat), pa.array([x.tobytes() for x in (full & _U(255)).astype(np.uint8)], pa.binary())],
-                    names=["doc", "n", "d1", "d2", "keys", "sketch"],
+                    [batch.column("doc")[block.rows], batch.column("th")[block.rows], pa.array(sizes.astype(np.int64)), *(pa.array(s) for s in sums), pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands), pa.int32()), flat), pa.array([x.tobytes() for x in (full & _U(255)).astype(np.uint8)], pa.binary())],
+                    names=["doc", "th", "n", "d1", "d2", "keys", "sketch"],
                 )
 
-    return slim.mapInArrow(run, "doc long, n long, d1 long, d2 long, keys array<long>, sketch binary")
+    return slim.mapInArrow(run, "doc long, th long, n long, d1 long, d2 long, keys array<long>, sketch binary")
 
 
 def _alike(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -123,7 +122,7 @@ def _alike(a: pa.Array, b: pa.Array) -> np.ndarray:
 
 def plausible(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) whose sketches don't rule the similarity out."""
-    left, right = (sketches.select(F.col("doc").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab")
+    left, right = (sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"s{c}")) for c in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,8 +135,8 @@ def plausible(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataF
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union of the full shingle sets. texts: doc, text."""
-    left, right = (texts.select(F.col("doc").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
+    """Pairs (a, b) with 100 * intersection >= percent * union of the full shingle sets. texts: node, text."""
+    left, right = (texts.select(F.col("node").alias(c), F.col("text").alias(f"t{c}")) for c in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,12 +152,12 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) -
             yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return arrow_rows(joined, 256).mapInArrow(run, "a long, b long")
+    return in_small_batches(joined).mapInArrow(run, "a long, b long")
 
 
 def connected(links: DataFrame) -> DataFrame:
     """node and root (its component's smallest node) for each node of links (a, b), by large-star and small-star rounds."""
-    edges, before = materialise(links.select("a", "b").where("a <> b").distinct(), "edges"), None
+    edges = materialise(links.select("a", "b").where("a <> b").distinct(), "edges")
     while True:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
         # A hub may have very many edges. Its minimum is written first, so that the join's sides are plain and a large one can be split.
@@ -168,128 +167,128 @@ def connected(links: DataFrame) -> DataFrame:
         small = down.groupBy("u").agg(F.min("v").alias("m"))
         moved = down.join(small, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).where("a <> b")
         edges = materialise(moved.union(small.select("u", "m")).distinct(), "edges")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % 1_000_000_007), F.sum(F.xxhash64("b", "a") % 998_244_353)).first()
-        if now == before:
+        # Stars are left: no node has two roots, and no root has one.
+        twice = edges.groupBy("a").agg(F.count("*").alias("n")).join(edges.select(F.col("b").alias("a"), F.lit(True).alias("is_root")).distinct(), "a", "left")
+        if twice.where("n > 1 or is_root").isEmpty():
             roots = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
             return roots.union(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        before = now
 
 
 def _with_roots(members: DataFrame, roots: DataFrame | None) -> DataFrame:
     if roots is None:
-        return members.withColumn("comp", F.col("doc"))
-    return members.join(roots.withColumnRenamed("node", "doc"), "doc", "left").withColumn("comp", F.coalesce("root", "doc")).drop("root")
+        return members.withColumn("comp", F.col("node"))
+    return members.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
 
 
-def _pairs(a, b, na, nb) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), F.col(na).alias("na"), F.col(nb).alias("nb")]
+def _pairs(a: str, b: str) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
-def differences(pairs: DataFrame, texts: DataFrame, k: int = WORDS) -> DataFrame:
-    """Of pairs (p, doc) doc's shingle set (own), its symmetric difference from p's (delta), and the sets' sizes pn and n."""
-    left, right = texts.select(F.col("doc").alias("p"), F.col("text").alias("tp")), texts.select("doc", "text")
+def text_sets(texts: DataFrame, k: int = WORDS) -> DataFrame:
+    """node, n and own (the hashes of its distinct shingles) of texts (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sides = [[x[lo:hi] for blk in blocks(batch, c, 1 << 19) for x, bounds in [shingle_sets(blk, k)] for lo, hi in zip(bounds, bounds[1:], strict=False)] for c in ("tp", "text")]
-            delta = [np.setxor1d(x, y, assume_unique=True).view(np.int64) for x, y in zip(*sides, strict=True)]
-            sizes = [pa.array([len(x) for x in side], pa.int64()) for side in sides]
-            own = [y.view(np.int64) for y in sides[1]]
-            yield pa.RecordBatch.from_arrays([batch.column("p"), batch.column("doc"), *sizes, *(pa.array(x, pa.list_(pa.int64())) for x in (delta, own))], names=["p", "doc", "pn", "n", "delta", "own"])
+            for block in blocks(batch, "text"):
+                sets, bounds = shingle_sets(block, k)
+                own = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(sets.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([batch.column("node")[block.rows], pa.array(np.diff(bounds), pa.int64()), own], names=["node", "n", "own"])
 
-    joined = pairs.select("p", "doc").join(left, "p").join(right, "doc").select("p", "doc", "tp", "text")
-    return arrow_rows(joined, 256).mapInArrow(run, "p long, doc long, pn long, n long, delta array<long>, own array<long>")
+    return in_small_batches(texts.select("node", "text")).mapInArrow(run, "node long, n long, own array<long>")
 
 
-def pairs_by_difference(members: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
-    """Pairs across components that may be links, among members (p: a pivot, doc, comp, pc: the pivot's component).
+def pairs_by_rare_shingles(members: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
+    """Pairs (a, b) across components that may be links, among members (key: a bucket, node, comp). texts: node, text.
 
-    Let x be in another component than the pivot, so not its link: |x ^ p| > r (|x| + |p|), with r = (1 - t) / (1 + t).
-    A link of x and y has |x ^ y| <= r (|x| + |y|), so the differences from p share more than (|y ^ p| - r (|y| - |p|)) / 2
-    shingles. Then x's difference holds one of the rarest of y's, of which as many are looked up as can be missing, and
-    one. Likewise x itself holds one of the rarest of y's own shingles, as it shares t |y| of them at least. Each y is
-    looked up the way that meets fewer: by differences if it is near the pivot, by its own shingles if it is far.
+    Of two members of a bucket in different components, one at least is outside the bucket's largest component. Those
+    outside look others up by their own shingles, in one order for all: the rarest among all members first. A link of
+    x to a text of size s shares at least percent * (n + s) / (100 + percent) of x's n shingles, so the first of x's
+    shingles that both have is among the first that x may miss, and one. Turned round, the k-th of x's shingles finds
+    only texts of s <= (n + 1 - k) * (100 + percent) / percent - n, and shingles that no other member has find none. So
+    a text that differs in many shingles looks nothing up, and one that differs in few has been joined by a pivot.
     """
-    r = (100 - percent) / (100 + percent)
-    known = materialise(members.select("p", "doc", "comp", "pc").distinct(), "known")
-    sets = materialise(differences(known, texts, k), "differences")
-    least = F.ceil((F.size("delta") - r * F.greatest(F.col("n") - F.col("pn"), F.lit(0))) / 2 - 1e-9)
-    ways = F.array(F.struct(F.lit(0).alias("way"), F.col("delta").alias("of"), (F.size("delta") - least + 1).alias("first")), F.struct(F.lit(1).alias("way"), F.col("own").alias("of"), (F.col("n") - F.ceil(F.col("n") * percent / 100 - 1e-9) + 1).alias("first")))
-    each = sets.select("p", "doc", "n", F.explode(ways).alias("w")).select("p", "doc", "n", "w.way", "w.first", F.explode("w.of").alias("e"))
-    often = materialise(each.groupBy("p", "way", "e").agg(F.count("*").alias("often")).where("often > 1"), "often")
-    ranked = each.join(often, ["p", "way", "e"], "left").withColumn("often", F.coalesce("often", F.lit(1)))
-    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("p", "doc", "way").orderBy("often", "e")))
-    looked_up = materialise(ranked.where("rank <= first"), "looked-up")
-    cost = looked_up.groupBy("p", "doc", "way").agg(F.sum(F.col("often") - 1).alias("cost")).groupBy("p", "doc").agg(F.min_by("way", F.struct("cost", "way")).alias("way"))
-    y = looked_up.where("often > 1").join(cost, ["p", "doc", "way"]).join(known, ["p", "doc"]).select("p", "way", "e", "doc", F.col("n").alias("na"), "comp")
-    shared = each.join(often, ["p", "way", "e"], "left_semi")
-    x = shared.join(known.where("comp <> pc"), ["p", "doc"]).select("p", "way", "e", F.col("doc").alias("x"), F.col("n").alias("nb"), F.col("comp").alias("xc"))
-    return materialise(y, "rare").join(materialise(x, "shared"), ["p", "way", "e"]).where("comp <> xc").select(*_pairs("doc", "x", "na", "nb"))
-
-
-def joined_classes(classes: DataFrame, docs: DataFrame, percent: int, k: int = WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame | None:
-    """node and root for each of classes (doc, n, keys, sketch) that verified links join to another; None without links.
-
-    Buckets are compared with their smallest member, and with the one that meets most others. Of pairs
-    across components that have met in no round, those of small buckets are listed, and of large ones those that can
-    be links by their differences from the bucket's last pivot.
+    sizes = members.groupBy("key", "comp").agg(F.count("*").alias("size"))
+    main = materialise(sizes.groupBy("key").agg(F.max_by("comp", F.struct("size", "comp")).alias("main")), "main")
+    every = members.join(main, "key").groupBy("node").agg(F.min("comp").alias("comp"), F.max(F.col("comp") != F.col("main")).alias("outside"))
+    every = materialise(every, "left")
+    sets = materialise(text_sets(texts.join(every, "node", "left_semi"), k).join(every, "node"), "sets")
+    counted = materialise(sets.select("node", F.explode("own").alias("e")).groupBy("e").agg(F.count("*").alias("often"), F.min("node").alias("one")), "shingles")
+    alone = counted.where("often = 1").groupBy(F.col("one").alias("node")).agg(F.count("*").alias("alone"))
+    # Who shares too little with all others is left out.
+    some = sets.join(alone, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).where(f"100 * (n - alone) >= {percent} * n")
+    some = materialise(some, "open")
+    mine = some.where("outside").select("node", "n", "comp", "alone", F.explode("own").alias("e")).join(counted.where("often > 1").select("e", "often"), "e")
+    ranked = mine.withColumn("k", F.col("alone") + F.row_number().over(Window.partitionBy("node").orderBy("often", "e")))
+    most = F.floor(F.least((F.col("n") + 1 - F.col("k")) * (100 + percent) / percent - F.col("n"), F.col("n") * 100 / percent) + 1e-9)
+    lookups = ranked.select("e", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("xc"), most.alias("most")).where(f"100 * most >= {percent} * nx")
+    held = some.select("node", "n", "comp", "alone", F.explode("own").alias("e"))
+    met = materialise(lookups, "lookups").join(held, "e")
+    met = met.where(f"xc <> comp and n <= most and 100 * n >= {percent} * nx and {percent} * (n + nx) <= {100 + percent} * (n - alone)")
+    return met.select(*_pairs("x", "node"))
+
+
+def joined_classes(heads: DataFrame, docs: DataFrame, percent: int, k: int = WORDS, known: DataFrame | None = None) -> DataFrame | None:
+    """node and root for each of heads (node, doc, th, n, keys, sketch) that links join to another; None without links.
+
+    docs: doc, th, text. known: links (a, b) that hold without a look at texts. In each round buckets are compared with
+    the member that meets most others; it has then met its whole bucket and takes no part there any more. When rounds
+    find few links, the pairs across components that have not met are looked up by rare shingles.
     """
-    keyed = classes.select("doc", "n", F.explode("keys").alias("key"))
-    buckets = materialise(keyed.groupBy("key").agg(F.min("doc").alias("lo"), F.count("*").alias("size")).where("size > 1"), "buckets")
+    keyed = heads.select("node", "n", F.explode("keys").alias("key"))
+    buckets = materialise(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
     met = materialise(keyed.join(buckets, "key"), "met")
-    weights = materialise(met.groupBy("doc").agg(F.sum("size").alias("weight")), "candidates")
-    n_ids = weights.count()
-    if not n_ids:
-        return None
-    few = F.broadcast(weights.select("doc")) if n_ids <= BROADCAST_IDS else weights.select("doc")
-    members = materialise(met.join(weights, "doc"), "members")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")).join(few, "doc", "left_semi")
-    texts = materialise(texts.dropDuplicates(["doc"]), "texts")
-    sketches = materialise(classes.select("doc", "sketch").join(few, "doc", "left_semi"), "sketches")
-    alike = f"100 * least(na, nb) >= {percent} * greatest(na, nb)"
-    tested = links = roots = None
-    for pivot in ("lo", "main", None):
-        now = _with_roots(members, roots)
-        if pivot != "lo":
-            now = materialise(now, "now")
-            split = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max_by("doc", F.struct("weight", "doc")).alias("main")).where("c0 < c1").drop("c0", "c1")
-            now = now.join(materialise(split, "split"), "key")
-        if pivot:
-            head = now.where(F.col("doc") == F.col(pivot)).select("key", F.col("doc").alias("p"), F.col("n").alias("pn"), F.col("comp").alias("pc"))
-            pairs = now.join(head, "key").where("doc <> p and comp <> pc").select(*_pairs("doc", "p", "n", "pn"))
+    weights = materialise(met.groupBy("node").agg(F.sum("size").alias("weight")), "weights")
+    members = materialise(met.join(weights, "node").drop("size"), "members")
+    some = heads.join(weights, "node", "left_semi")
+    sketches = materialise(some.select("node", "sketch"), "sketches")
+    texts = materialise(some.select("node", "doc", "th").join(docs, ["doc", "th"]).select("node", "text").dropDuplicates(["node"]), "texts")
+    links = known
+    roots = None if known is None else materialise(connected(known), "roots")
+    tested, by_pivot = None, True
+    while True:
+        now = _with_roots(members, None) if roots is None else materialise(_with_roots(members, roots), "now")
+        split = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max_by("node", F.struct("weight", "node")).alias("p")).where("c0 < c1").drop("c0", "c1")
+        now = materialise(now.join(materialise(split, "split"), "key"), "open-buckets")
+        if now.isEmpty():
+            return roots
+        if by_pivot:
+            pivots = now.where("node = p").select("key", F.col("n").alias("pn"), F.col("comp").alias("pc"))
+            pairs = now.join(pivots, "key").where(f"node <> p and comp <> pc and 100 * least(n, pn) >= {percent} * greatest(n, pn)").select(*_pairs("node", "p"))
+            members = now.where("node <> p").select("node", "n", "key", "weight")
         else:
-            now = materialise(now, "now")
-            few_of = now.where(F.col("size") <= SMALL_BUCKET)
-            other = few_of.select("key", F.col("doc").alias("p"), F.col("n").alias("pn"), F.col("comp").alias("pc"))
-            pairs = few_of.join(other, "key").where("doc < p and comp <> pc").select(*_pairs("doc", "p", "n", "pn"))
-            large = now.where(F.col("size") > SMALL_BUCKET)
-            if not large.isEmpty():
-                heads = large.where("doc = main").select("key", F.col("comp").alias("pc"))
-                by_main = large.join(heads, "key").select(F.col("main").alias("p"), "doc", "comp", "pc")
-                pairs = pairs.union(pairs_by_difference(by_main, texts, percent, k))
-        pairs = pairs.where(alike).select("a", "b").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        tested = pairs if tested is None else tested.union(pairs)
-        new = materialise(verified(plausible(pairs, sketches, percent / 100), texts, percent, k), "links")
-        if not new.isEmpty():
+            pairs = pairs_by_rare_shingles(now.select("key", "node", "comp"), texts, percent, k)
+        pairs = pairs.distinct()
+        pairs = materialise(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        likely = materialise(plausible(pairs, sketches, percent / 100), "likely")  # a task holds one Python worker
+        new = materialise(verified(likely, texts, percent, k), "links")
+        n_new = new.count()
+        if n_new:
             links = new if links is None else links.union(new)
             roots = materialise(connected(links), "roots")
-    return roots
+        if not by_pivot:
+            return roots
+        tested = pairs if tested is None else tested.union(pairs)
+        by_pivot = n_new > PAYS * pairs.count()
 
 
 def components(docs: DataFrame, percent: int = 80, k: int = WORDS, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of docs: id_col, n_shingles, component_id (the smallest id reachable over links) and kept."""
+    alike = ["n", "d1", "d2"]
     seen = materialise(signatures(docs, bands, rows, k, id_col, text_col), "signatures")
     some = seen.where("n > 0 and doc is not null")
-    classes = materialise(some.groupBy("n", "d1", "d2").agg(F.min("doc").alias("rep")), "classes")
-    heads = some.join(classes, ["n", "d1", "d2"]).where("doc = rep").dropDuplicates(["doc", "d1", "d2"]).select("doc", "n", "keys", "sketch")
-    roots = joined_classes(materialise(heads, "heads"), docs, percent, k, id_col, text_col)
-    same_id = seen.select("doc", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left").withColumn("rep", F.coalesce("rep", "doc"))
+    # Equal sets are a class. Its number holds from here on, as the table is written.
+    classes = materialise(some.groupBy(*alike).agg(F.min("doc").alias("rep")).withColumn("node", F.monotonically_increasing_id()), "classes")
+    heads = materialise(some.join(classes, alike).where("doc = rep").dropDuplicates(["node"]).select("node", "doc", "th", "n", "keys", "sketch"), "heads")
+    of = materialise(some.select("doc", *alike).join(classes, alike).select("doc", "node", "rep"), "classes-of")
+    several = of.groupBy("doc").agg(F.min("node").alias("a"), F.max("node").alias("z")).where("a < z")
+    known = None if several.isEmpty() else of.join(several, "doc").where("node <> a").select("a", F.col("node").alias("b")).distinct()
+    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    roots = joined_classes(heads, texts, percent, k, known)
     if roots is not None:
-        same_id = same_id.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("rep", F.coalesce("root", "rep")).drop("root")
+        linked = materialise(classes.select("node", "rep").join(roots, "node"), "linked")
+        least = materialise(linked.groupBy("root").agg(F.min("rep").alias("least")), "least")
+        of = of.join(linked.join(least, "root").select("node", "least"), "node", "left").withColumn("rep", F.coalesce("least", "rep"))
+    by_doc = of.groupBy("doc").agg(F.min("rep").alias("rep"))
+    out = seen.select("doc", "n").join(by_doc, "doc", "left").withColumn("rep", F.coalesce("rep", "doc"))
     kept = F.coalesce(F.col("doc") == F.col("rep"), F.lit(True))
-    return same_id.select(F.col("doc").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"), kept.alias("kept"))
+    return out.select(F.col("doc").cast(docs.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.col("rep").alias("component_id"), kept.alias("kept"))

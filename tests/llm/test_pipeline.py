@@ -1,7 +1,11 @@
+import numpy as np
 import pytest
 
 from talkmill.llm import stages
 from tests.conftest import DATA
+from tests.llm.fixtures import BLANKS, LOWER, documents
+from tests.llm.test_text_operators import brute_components, item_words, shingles
+from tests.llm.test_tokens_and_models import library
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -24,7 +28,49 @@ def test_stages(spark):
     assert stages.pack(spark, df.limit(5), DATA).count() >= 5
 
 
-def test_run(spark):
-    out = corpus_pipeline.run(spark, DATA)
-    ids = {r.doc_id for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id").collect()}
-    assert {r.doc_id for r in out.select("doc_id").collect()} <= ids and out.count() > 0
+def test_run_equals_a_plain_version(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    texts = {r.doc_id: r.text for r in stages.drop_toxic(spark, docs, DATA).collect()}  # scores come from the fitted weights
+    key = lambda line: line.strip(BLANKS).translate(LOWER)
+    held = {}
+    for d, t in texts.items():
+        for line in (t or "").split("\n"):
+            held.setdefault(key(line), set()).add(d)
+    gone = {k: min(ids) for k, ids in held.items() if len(k) >= 10 and len(ids) > 1}
+    texts = {d: "\n".join(x for x in (t or "").split("\n") if gone.get(key(x), d) == d) for d, t in texts.items()}
+    root = brute_components({d: shingles(t) for d, t in texts.items()}, 80)
+    texts = {d: t for d, t in texts.items() if root[d] == d}
+    windows = {}
+    for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect():
+        w = item_words(r.text)
+        for i in range(max(1, len(w) - 9) if w else 0):
+            windows.setdefault(len(w[i : i + 10]), set()).add(tuple(w[i : i + 10]))
+    clean = {}
+    for d, t in texts.items():
+        w = item_words(t)
+        if not any(tuple(w[i : i + k]) in some for k, some in windows.items() for i in range(len(w) - k + 1)):
+            clean[d] = t
+    assert 0 < len(clean) < len(texts) < docs.count()
+    pieces = {}
+    for r in corpus_pipeline.run(spark, DATA).collect():
+        pieces.setdefault(r.doc_id, []).append((r.start, np.frombuffer(r.ids, "<u4").tolist(), r.length))
+    assert set(pieces) == set(clean)
+    for d, own in pieces.items():
+        ids, at = [], 0
+        for start, more, length in sorted(own):
+            assert start == at and length == len(more)
+            ids, at = ids + more, at + length
+        assert ids == [*library("word_bpe_49k.json")(clean[d]), 1]
+
+
+def test_run_over_nothing(spark, tmp_path):
+    for name in ("documents", "benchmark", "labels"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_keep_other_columns(spark):
+    docs = documents(spark).withColumnsRenamed({"word": "kept", "n_words": "component_id"})
+    for stage in (stages.drop_toxic, stages.drop_repeated_lines, stages.drop_near_duplicates, stages.drop_contaminated):
+        out = stage(spark, docs, DATA)
+        assert out.columns == docs.columns and {r.kept for r in out.select("kept").distinct().collect()} <= {"w", None}

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import shutil
 import zlib
 from collections import Counter
@@ -12,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from talkmill.llm import packing, token_store, toxicity
+from talkmill.llm import fertility, packing, token_store, toxicity
 from talkmill.llm.memo_tokens import encoder
 from talkmill.llm.queries import QUERIES, vocabulary
 from tests.conftest import DATA
@@ -187,6 +188,51 @@ def test_fill_is_best(counts, capacity):
     assert sum(k * n for k, n in taken.items()) == max(s for s in sums if s <= capacity)
 
 
+def plain_ftrl(examples, labels, bits, passes, alpha, beta, l1, l2):
+    """The published per-coordinate update, a coordinate at a time."""
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= l1:
+            return 0.0
+        return -(zi - (l1 if zi > 0 else -l1)) / ((beta + n.get(i, 0.0) ** 0.5) / alpha + l2)
+
+    for _ in range(passes):
+        for own, y in zip(examples, labels, strict=True):
+            at = [*own, 1 << bits]
+            w = {i: weight(i) for i in at}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for i in at:
+                rate = ((n.get(i, 0.0) + g * g) ** 0.5 - n.get(i, 0.0) ** 0.5) / alpha
+                z[i] = z.get(i, 0.0) + g - rate * w[i]
+                n[i] = n.get(i, 0.0) + g * g
+    return {i: weight(i) for i in z if weight(i)}
+
+
+def test_ftrl_equals_a_plain_version():
+    rng = np.random.default_rng(5)
+    examples = [np.unique(rng.integers(0, 64, 9)) for _ in range(120)]
+    labels = np.array([int(3 in x or 7 in x) for x in examples])
+    options = {"bits": 6, "passes": 3, "alpha": 0.3, "beta": 1.0, "l1": 0.5, "l2": 1.0}
+    got = toxicity.ftrl(examples, labels, **options)
+    want = plain_ftrl([x.tolist() for x in examples], labels.tolist(), **options)
+    assert len(want) > 5 and {i: pytest.approx(w, abs=1e-9) for i, w in want.items()} == {int(i): got[i] for i in np.flatnonzero(got)}
+
+
+def test_fertility_measures(spark):
+    model = sentencepiece.SentencePieceProcessor(model_file=vocabulary("piece_bpe_32k.model"))
+    texts = {d.doc_id: d.text or "" for d in documents(spark).collect()}
+    rows = fertility.measure(documents(spark), vocabulary("piece_bpe_32k.model")).collect()
+    assert len(rows) == documents(spark).count()
+    for r in rows:
+        ids = model.encode(texts[r.doc])
+        share = np.array([*Counter(ids).values()]) / max(1, len(ids))
+        n_bytes = sum(model.is_byte(i) for i in ids)
+        assert (r.n_tokens, r.n_bytes) == (len(ids), n_bytes)
+        assert (r.chars_per_token, r.byte_share, r.entropy) == pytest.approx((len(texts[r.doc]) / max(1, len(ids)), n_bytes / max(1, len(ids)), -(share * np.log2(share)).sum()))
+
+
 def toxic_rows(spark, n=900):
     rng = np.random.default_rng(3)
     plain = [f"w{i}" for i in range(200)]
