@@ -13,6 +13,7 @@ import re
 import sys
 from array import array
 from functools import lru_cache
+from unicodedata import is_normalized
 
 #: Pieces of a generation, of which a worker remembers two (about 130 bytes a piece), and the longest piece that it remembers.
 MEMO_PIECES, MEMO_CHARS = 600_000, 40
@@ -110,6 +111,7 @@ class HuggingFace(Encoder):
         self.spaced = self.tokenizer.encode(" a", add_special_tokens=False).ids != self.tokenizer.encode("a", add_special_tokens=False).ids
         self.folds = self.tokenizer.encode("A", add_special_tokens=False).ids == self.tokenizer.encode("a", add_special_tokens=False).ids
         self.blank = self.letters[32] if self.spaced else ""
+        self.normalises = self.tokenizer.normalizer is not None
         self.line_end = self.whole("\n")
         super().__init__()
 
@@ -120,7 +122,12 @@ class HuggingFace(Encoder):
         return self.special is not None and self.special in text
 
     def cut(self, text: str) -> str:
-        """Full stops and commas between a letter or digit and white space are pre-tokens of their own."""
+        """Full stops and commas between a letter or digit and white space are pre-tokens of their own.
+
+        A normaliser may end a letter in a combining mark, which joins them; lower case does so with one letter alone.
+        """
+        if self.normalises and ("İ" in text or not is_normalized("NFC", text)):
+            return text
         out = text
         for mark in ",.":
             out = out.replace(mark + " ", f" {AT_START}{mark} ").replace(mark + "\n", f" {AT_START}{mark}\n")

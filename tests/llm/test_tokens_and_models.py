@@ -20,7 +20,7 @@ from tests.conftest import DATA
 from tests.llm.fixtures import documents, empty
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"]
-ALPHABET = st.lists(st.sampled_from(list("aAbeE  \n\t.,'!-19éßİ中\x00\x01") + ["'s", "the", "\r\n", "<|endoftext|>", "<|EndOfText|>", " the ", ". The", "be, ", "1. ", "é.\n", "_, ", "e,. "]), max_size=30).map("".join)
+ALPHABET = st.lists(st.sampled_from(list("aAbeE  \n\t.,'!-19éßİ中\x00\x01") + ["'s", "the", "\r\n", "<|endoftext|>", "<|EndOfText|>", " the ", ". The", "be, ", "1. ", "é.\n", "_, ", "e,. ", "İ. ", "\u0958, "]), max_size=30).map("".join)
 
 
 @lru_cache
