@@ -38,6 +38,8 @@ from talkmill.llm.shared import in_small_batches, materialise
 
 #: Ids in a chunk: at least, on the average beyond that (a power of two), at most. Ids that the rolling hash sees.
 LEAST, MEAN, MOST, WINDOW = 128, 512, 4096, 8
+#: Ids that are hashed at once.
+STRETCH = 1 << 16
 #: Branches of a node in the trees over recipes.
 FANOUT = 1024
 
@@ -48,32 +50,49 @@ class Damaged(ValueError):
 _U = np.uint64
 
 
-def cuts(ids: np.ndarray, least: int = LEAST, mean: int = MEAN, most: int = MOST) -> list[int]:
-    """Ends of the chunks. A cut depends on the WINDOW ids before it and on the chunk's length so far."""
-    if len(ids) <= least:
-        return [len(ids)]
-    table = mix(ids.astype(_U) + _U(1))
-    rolled = table.copy()
-    with np.errstate(over="ignore"):
-        for i in range(1, WINDOW):
-            rolled[i:] += table[:-i] << _U(i * 7)
-    marks = np.flatnonzero((mix(rolled) & _U(mean - 1)) == 0) + 1
+def marks(ids: np.ndarray, mean: int = MEAN) -> np.ndarray:
+    """Where the rolling hash of the WINDOW ids before allows a cut, ascending; taken in stretches, so that long texts need no more memory."""
+    out = [np.zeros(0, np.int64)]
+    for at in range(0, len(ids), STRETCH):
+        first = max(0, at - WINDOW + 1)
+        table = mix(ids[first : at + STRETCH].astype(_U) + _U(1))
+        rolled = table.copy()
+        with np.errstate(over="ignore"):
+            for i in range(1, WINDOW):
+                rolled[i:] += table[:-i] << _U(i * 7)
+        found = np.flatnonzero((mix(rolled) & _U(mean - 1)) == 0) + first + 1
+        out.append(found[found > at])
+    return np.concatenate(out)
+
+
+def cuts(n: int, allowed: list[int], least: int = LEAST, most: int = MOST) -> list[int]:
+    """Ends of the chunks of a document of n ids. A cut depends on the ids before it and on the chunk's length so far."""
     out, last = [], 0
-    for at in marks.tolist():
+    for at in allowed:
         while at - last > most:
             last += most
             out.append(last)
         if at - last >= least:
             out.append(at)
             last = at
-    while len(ids) - last > most:
+    while n - last > most:
         last += most
         out.append(last)
-    if last < len(ids):
-        out.append(len(ids))
+    if last < n:
+        out.append(n)
     return out
 
 
+def cuts_of_each(ids: np.ndarray, bounds: np.ndarray) -> list[list[int]]:
+    """cuts() of documents that stand one behind another. bounds: where they begin, and the end.
+
+    Marks within a document's first ids see some of the one before, but no chunk of LEAST ids ends there.
+    """
+    allowed = marks(ids)
+    own = np.searchsorted(allowed, bounds, "right")
+    return [cuts(int(b - a), (allowed[i:j] - a).tolist()) for a, b, i, j in zip(bounds, bounds[1:], own, own[1:], strict=False)]
+
+
 def merkle_root(hashes: list[bytes]) -> bytes:
     """SHA-256 over pairs, level by level; one left over goes up as it is. Leaves and pairs differ in their first byte."""
     level = [hashlib.sha256(b"\x00" + h).digest() for h in hashes] or [hashlib.sha256(b"").digest()]
@@ -113,10 +132,11 @@ def _staged(docs: DataFrame, vocabulary: str, end_id: int, id_col: str, text_col
         end, width = enc.pack([end_id]), np.dtype(enc.dtype).itemsize
         for batch in batches:
             n, roots, addresses, parts = [], [], [], []
-            for text in batch.column(1):
-                raw = enc.encode(text.as_py() or "") + end
-                ends = [0, *cuts(np.frombuffer(raw, enc.dtype))]
-                own = [raw[a * width : b * width] for a, b in zip(ends, ends[1:], strict=False)]
+            raws = [enc.encode(text.as_py() or "") + end for text in batch.column(1)]
+            bounds = np.cumsum([0, *map(len, raws)]) // width
+            for raw, found in zip(raws, cuts_of_each(np.frombuffer(b"".join(raws), enc.dtype), bounds), strict=True):
+                ends = [0, *found]
+                own = [raw[a * width : b * width] for a, b in zip(ends, found, strict=False)]
                 names = [hashlib.sha256(x).digest() for x in own]
                 n.append(len(raw) // width)
                 roots.append(merkle_root(names))

@@ -150,11 +150,35 @@ def test_crc_of_parts(parts):
     assert int(got[0]) == zlib.crc32(b"".join(parts))
 
 
-def test_cuts_follow_content():
+def plain_cuts(ids):
+    """Ends of a document's chunks, an id at a time."""
+    full, out, last = (1 << 64) - 1, [], 0
+
+    def mixed(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & full
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & full
+        return x ^ x >> 31
+
+    for at in range(1, len(ids) + 1):
+        seen = ids[max(0, at - token_store.WINDOW) : at][::-1]
+        rolled = sum(mixed(int(x) + 1) << 7 * i for i, x in enumerate(seen)) & full
+        allowed = mixed(rolled) % token_store.MEAN == 0 and at - last >= token_store.LEAST
+        if allowed or at - last == token_store.MOST or at == len(ids):
+            out.append(at)
+            last = at
+    return out
+
+
+def test_cuts(monkeypatch):
     rng = np.random.default_rng(2)
-    ids = rng.integers(0, 50_000, 20_000)
-    a, b = token_store.cuts(ids), token_store.cuts(np.concatenate((rng.integers(0, 50_000, 333), ids)))
-    assert len(set(a) & {x - 333 for x in b}) > 0.8 * len(a) and max(np.diff([0, *a])) <= token_store.MOST
+    docs = [rng.integers(0, 50_000, n) for n in (1, 127, 128, 129, 1, 5_000, 20_000, 0, 3)] + [np.zeros(9_000, np.int64)]
+    want = [plain_cuts(d) for d in docs]
+    for stretch in (token_store.STRETCH, 1_000, 3):
+        monkeypatch.setattr(token_store, "STRETCH", stretch)
+        assert token_store.cuts_of_each(np.concatenate(docs), np.cumsum([0, *map(len, docs)])) == want
+    assert token_store.cuts_of_each(np.zeros(0, np.int64), np.array([0])) == []
+    moved = plain_cuts(np.concatenate((rng.integers(0, 50_000, 333), docs[6])))
+    assert len(set(want[6]) & {x - 333 for x in moved}) > 0.8 * len(want[6])
 
 
 def test_packing(spark):
