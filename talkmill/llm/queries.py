@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talkmill.llm import decontam, fertility, license_scan, line_dedup, near_dup, packing, pii, token_store, toxicity, url_filter
+from talkmill.llm import conversation_repair, decontam, fertility, fill_middle, language_id, license_scan, line_dedup, near_dup, packing, pii, token_store, toxicity, url_filter
 from talkmill.llm.shared import new_path
 
 
@@ -77,6 +77,28 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", n_items.alias("n_items"), F.sha2(joined, 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations")
+    summary, rows = conversation_repair.repair(conversation_repair.damage(given))
+    conv = F.struct("conv_id").alias("conv")  # as one value, so that a null id meets itself
+    found = given.select(conv).distinct().join(summary.withColumn("conv", conv).drop("conv_id"), "conv", "left")
+    found = found.join(conversation_repair.digests(rows).select(conv, "sha256"), "conv", "left")
+    numbers = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select("conv.conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), F.coalesce(toxicity.held_out(), F.lit(False))
+    found = language_id.identify(docs.select("doc_id", "text"), docs.where(~held).select("doc_id", "text", "lang"))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "entropy", "accepted")
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    output, text = F.col("output"), fill_middle.restored(F.col("output"), F.col("form"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *(F.sha2(c.cast("binary"), 256).alias(n) for c, n in ((output, "output_sha256"), (text, "restored_sha256"))))
+
+
 QUERIES = {
     "op1_fertility": op1_fertility,
     "op2_line_dedup": op2_line_dedup,
@@ -88,4 +110,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_toxicity": op9_toxicity,
     "op10_decontam": op10_decontam,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_language_id": op12_language_id,
+    "op13_fill_middle": op13_fill_middle,
 }
