@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmill.functions import arrays
-from talkmill.operators import metrics
+from talkmill.operators.ordering import PART, TIE, split
 
 
-def fixed_batches(rows: DataFrame, size: int, order: str, bucket: str, part: Column | None = None) -> DataFrame:
-    """rows with batch_id: runs of `size` rows in order, within each bucket (a key such as a date or an hour).
+def fixed_batches(rows: DataFrame, size: int, order: str, bucket: str, *ties: str) -> DataFrame:
+    """rows with batch_id: runs of `size` rows in a numeric order, within each bucket (a key such as a date or an hour).
 
     Batches never cross buckets. A bucket's rows are numbered in parts of the order, and what the parts before hold is
-    added, so a bucket with very many rows is no single task. part: rises with the order; equal parts of a numeric one
-    if not given.
+    added, so a bucket with very many rows is no single task. ties: as for split(), for rows with one value of the order.
     """
-    rows = rows.withColumn("__part", metrics.equal_parts(rows, order) if part is None else part)
-    counts = rows.groupBy(F.col(bucket).alias("__bucket"), F.col("__part").alias("__of")).agg(F.count("*").alias("__n"))
+    rows = split(rows, order, *ties)
+    counts = rows.groupBy(F.col(bucket).alias("__bucket"), F.col(PART).alias("__of")).agg(F.count("*").alias("__n"))
     earlier = Window.partitionBy("__bucket").orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
     counts = counts.select("__bucket", "__of", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
-    number = F.row_number().over(Window.partitionBy(bucket, "__part").orderBy(order)) + F.col("__before")
-    out = rows.join(counts, F.col(bucket).eqNullSafe(F.col("__bucket")) & (F.col("__part") == F.col("__of")))
-    return out.withColumn("batch_id", F.floor((number - 1) / size).cast("long")).drop("__part", "__bucket", "__of", "__before")
+    number = F.row_number().over(Window.partitionBy(bucket, PART).orderBy(order, TIE)) + F.col("__before")
+    out = rows.join(counts, F.col(bucket).eqNullSafe(F.col("__bucket")) & (F.col(PART) == F.col("__of")))
+    return out.withColumn("batch_id", F.floor((number - 1) / size).cast("long")).drop(PART, TIE, "__bucket", "__of", "__before")
 
 
 def longest(rows: DataFrame, keys: list[str], duration: str = "duration") -> DataFrame:

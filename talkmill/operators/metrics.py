@@ -6,18 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talkmill.functions import text
+from talkmill.operators.ordering import PART, TIE, split
 
 MEASURES = ["count", "bytes", "duration"]
-#: Parts into which an order is cut, so that no task has to see all rows of it. Their number doesn't grow with the rows.
-PARTS = 512
-
-
-def equal_parts(rows: DataFrame, order: str, parts: int = PARTS) -> Column:
-    """A column from 0 to parts - 1 that rises with a numeric order column, of which the least and greatest value are looked up."""
-    lo, hi = rows.agg(F.min(order), F.max(order)).first()
-    if lo is None:
-        return F.lit(0)
-    return F.coalesce(F.floor((F.col(order) - F.lit(lo)) * parts / F.lit(hi - lo + 1)).cast("int"), F.lit(0))
 
 
 def record(program: Column, name: str, value: Column, seq: Column) -> Column:
@@ -41,19 +32,20 @@ def blocking(measurements: DataFrame, time: str = "ts") -> DataFrame:
 
     A stop closes the interval that the mark right before it opened; a start after a start opens a new one, and a stop
     after a stop closes none. Only marks are dealt out, by program and part of the order; each part becomes a row, whose
-    first mark may close what the last mark of the part before opened.
+    first mark may close what the last mark of the part before opened. Marks of one seq follow each other by a hash.
     """
     only = measurements.where(F.col("name").isin(text.BLOCKING_MARKS)).select("program", "name", "seq", F.col(time).alias("t"))
-    only = only.withColumn("part", equal_parts(only, "seq"))
-    w = Window.partitionBy("program", "part").orderBy("seq")
+    only = split(only, "seq")
+    place = F.struct("seq", TIE)
+    w = Window.partitionBy("program", PART).orderBy("seq", TIE)
     row = only.withColumns({"__name": F.lag("name").over(w), "__t": F.lag("t").over(w)})
     closes = (F.col("name") == "stop_blocking") & (F.col("__name") == "start_blocking")
-    ends = [f(c, "seq").alias(f"{end}_{c}") for end, f in (("first", F.min_by), ("last", F.max_by)) for c in ("name", "t")]
-    parts = row.groupBy("program", "part").agg(F.coalesce(F.sum(F.when(closes, F.col("t") - F.col("__t"))), F.lit(0.0)).alias("blocked"), F.count_if(closes).alias("n_intervals"), *ends)
-    w = Window.partitionBy("program").orderBy("part")  # at most PARTS rows
+    ends = [f(c, place).alias(f"{end}_{c}") for end, f in (("first", F.min_by), ("last", F.max_by)) for c in ("name", "t")]
+    parts = row.groupBy("program", PART).agg(F.coalesce(F.sum(F.when(closes, F.col("t") - F.col("__t"))), F.lit(0.0)).alias("blocked"), F.count_if(closes).alias("n_intervals"), *ends)
+    w = Window.partitionBy("program").orderBy(PART)  # a row for each part
     parts = parts.withColumns({"__name": F.lag("last_name").over(w), "__t": F.lag("last_t").over(w)})
     over = (F.col("first_name") == "stop_blocking") & (F.col("__name") == "start_blocking")
-    last_name, last_t = F.max_by("last_name", "part"), F.max_by("last_t", "part")
+    last_name, last_t = F.max_by("last_name", PART), F.max_by("last_t", PART)
     blocked = F.sum(F.col("blocked") + F.when(over, F.col("first_t") - F.col("__t")).otherwise(F.lit(0.0)))
     return parts.groupBy("program").agg(blocked.alias("blocked"), F.sum(F.col("n_intervals") + over.eqNullSafe(True).cast("long")).alias("n_intervals"), F.when(last_name == "start_blocking", last_t).alias("open_start"))
 
@@ -86,18 +78,18 @@ def throughput(rows: DataFrame, elapsed: Column, size: str = "size_bytes") -> Da
     return out.select("files", "bytes", F.when(ok, F.try_divide("files", elapsed)).alias("files_per_sec"), F.when(ok, F.try_divide(text.megabytes(F.col("bytes")), elapsed)).alias("mb_per_sec"))
 
 
-def running_totals(rows: DataFrame, order: str, size: str, part: str) -> DataFrame:
-    """rows with running files and bytes in the order given, over all rows.
+def running_totals(rows: DataFrame, order: str, size: str, *ties: str) -> DataFrame:
+    """rows with running files and bytes over all rows, in a numeric order; ties as for split().
 
-    part: a column that rises with the order and has a bounded number of values (see equal_parts). Sums within parts are
-    added to what the parts before hold, so that no task sees all rows.
+    Sums within parts of the order are added to what the parts before hold, so that no task sees all rows.
     """
-    totals = rows.groupBy(part).agg(F.count("*").alias("__n"), F.sum(size).alias("__b"))
-    earlier = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
-    before = totals.select(part, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__n0"), F.coalesce(F.sum("__b").over(earlier), F.lit(0)).alias("__b0"))
-    inside = Window.partitionBy(part).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.join(before, part).withColumns({"files": F.col("__n0") + F.count("*").over(inside), "bytes": F.col("__b0") + F.sum(size).over(inside)})
-    return out.drop("__n0", "__b0")
+    rows = split(rows, order, *ties)
+    totals = rows.groupBy(PART).agg(F.count("*").alias("__n"), F.sum(size).alias("__b"))
+    earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    before = totals.select(PART, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__n0"), F.coalesce(F.sum("__b").over(earlier), F.lit(0)).alias("__b0"))
+    inside = Window.partitionBy(PART).orderBy(order, TIE).rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.join(F.broadcast(before), PART).withColumns({"files": F.col("__n0") + F.count("*").over(inside), "bytes": F.col("__b0") + F.coalesce(F.sum(size).over(inside), F.lit(0))})
+    return out.drop(PART, TIE, "__n0", "__b0")
 
 
 def discovery_rate(running: DataFrame, started: Column, time: str) -> DataFrame:

@@ -433,8 +433,7 @@ _RUNNING = "select basename, count(*) over w as files, cast(sum(size_bytes) over
 
 
 def running(listing: DataFrame) -> DataFrame:
-    parts = listing.withColumn("part", metrics.equal_parts(listing, "doc_id"))
-    return metrics.running_totals(parts, "doc_id", "size_bytes", "part")
+    return metrics.running_totals(listing, "doc_id", "size_bytes", "basename")
 
 
 @register("A13", f"select basename, round(bytes / 1024 / 1024 / greatest(doc_id * 0.01, 0.001), 6) as mb_per_sec from ({_RUNNING})", "v_listing")
@@ -461,12 +460,12 @@ _BATCH = "select basename, source, duration, cast(floor((row_number() over (part
 
 @register("W1", f"select basename, batch_id from ({_BATCH})", "v_listing")
 def w1(listing):
-    return batching.fixed_batches(listing, 8, "doc_id", "source").select("basename", "batch_id")
+    return batching.fixed_batches(listing, 8, "doc_id", "source", "basename").select("basename", "batch_id")
 
 
 @register("W2", f"select basename, batch_id, cast(floor(max(duration) over (partition by source, batch_id) * 16000) as bigint) as pad_samples from ({_BATCH})", "v_listing")
 def w2(listing):
-    rows = batching.fixed_batches(listing, 8, "doc_id", "source")
+    rows = batching.fixed_batches(listing, 8, "doc_id", "source", "basename")
     return batching.padded_lengths(rows, ["source", "batch_id"], 16000).select("basename", "batch_id", "pad_samples")
 
 
