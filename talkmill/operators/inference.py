@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,26 +20,37 @@ KEPT = ("es",)
 DEFAULT = "en"
 
 
-def _in_batches(samples: pd.Series, size: int) -> Iterator[list]:
-    for i in range(0, len(samples), size):
-        yield list(samples.iloc[i : i + size])
+def _in_batches(samples: pd.Series, size: int, even: bool = False) -> Iterator[np.ndarray]:
+    """Positions of at most `size` arrays at once: as they come, or (even) such of one length, the short ones first."""
+    if not even:
+        for i in range(0, len(samples), size):
+            yield np.arange(i, min(i + size, len(samples)))
+        return
+    lengths = samples.map(len, na_action="ignore").fillna(-1).to_numpy(np.int64)
+    order = np.argsort(lengths, kind="stable")
+    for same in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(order) else ():
+        for i in range(0, len(same), size):
+            yield same[i : i + size]
 
 
-def label_indexes(samples: Column, backend: Backend, batch: int = BATCH) -> Column:
-    """The backend's label index for each array; a batch that fails, and rows without a prediction, get index 0."""
+def label_indexes(samples: Column, backend: Backend, batch: int = BATCH, even: bool = False) -> Column:
+    """The backend's label index for each array; a batch that fails, and rows without a prediction, get index 0.
+
+    even: the arrays that the backend gets at once have one length.
+    """
 
     @F.pandas_udf("int")
     def identify(chunks: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = backend()
         for chunk in chunks:
-            out: list[int] = []
-            for group in _in_batches(chunk, batch):
+            out = np.zeros(len(chunk), np.int32)
+            for at in _in_batches(chunk, batch, even):
                 try:
-                    found = [int(x) for x in predict(group)]
+                    found = [int(x) for x in predict(list(chunk.iloc[at]))]
                 except Exception:  # noqa: BLE001  a batch that fails counts as label 0
                     found = []
-                out += (found + [0] * len(group))[: len(group)]
-            yield pd.Series(out, dtype="int32")
+                out[at] = (found + [0] * len(at))[: len(at)]
+            yield pd.Series(out)
 
     return identify(samples)
 
@@ -77,39 +89,38 @@ def transcripts(samples: Column, backend: Backend, batch: int = BATCH) -> Column
     def transcribe(chunks: Iterator[pd.Series]) -> Iterator[pd.Series]:
         predict = backend()
         for chunk in chunks:
-            out: list[str] = []
-            for group in _in_batches(chunk, batch):
-                found = [normalised(x) for x in predict(group)]
-                out += (found + [""] * len(group))[: len(group)]
+            out = np.full(len(chunk), "", object)
+            for at in _in_batches(chunk, batch):
+                found = [normalised(x) for x in predict(list(chunk.iloc[at]))]
+                out[at] = (found + [""] * len(at))[: len(at)]
             yield pd.Series(out, dtype="object")
 
     return transcribe(samples)
 
 
-def routed_transcripts(samples: Column, route: Column, backends: dict[str, Backend], batch: int = BATCH) -> Column:
-    """Like transcripts(), each array by the backend of its route; null where no backend is given for the route."""
+def routed_transcripts(samples: Column, route: Column, backends: dict[str, Backend], batch: int = BATCH, even: bool = False) -> Column:
+    """Like transcripts(), each array by the backend of its route; null where no backend is given for the route. even: as for label_indexes()."""
 
     @F.pandas_udf("string")
     def transcribe(chunks: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         loaded: dict[str, Callable[[list], Sequence]] = {}
         for arrays, routes in chunks:
-            out = pd.Series([None] * len(arrays), dtype="object")
+            out = np.full(len(arrays), None, object)
             for name, backend in backends.items():
-                at = (routes == name).to_numpy().nonzero()[0]
-                if not len(at):
+                own = (routes == name).to_numpy().nonzero()[0]
+                if not len(own):
                     continue
                 if name not in loaded:
                     loaded[name] = backend()
-                found: list[str] = []
-                for group in _in_batches(arrays.iloc[at], batch):
-                    got = [normalised(x) for x in loaded[name](group)]
-                    found += (got + [""] * len(group))[: len(group)]
-                out.iloc[at] = found
-            yield out
+                for some in _in_batches(arrays.iloc[own], batch, even):
+                    at = own[some]
+                    found = [normalised(x) for x in loaded[name](list(arrays.iloc[at]))]
+                    out[at] = (found + [""] * len(at))[: len(at)]
+            yield pd.Series(out, dtype="object")
 
     return transcribe(samples, route)
 
 
-def transcribe_routes(rows: DataFrame, backends: dict[str, Backend], samples: str = "samples", batch: int = BATCH) -> DataFrame:
+def transcribe_routes(rows: DataFrame, backends: dict[str, Backend], samples: str = "samples", batch: int = BATCH, even: bool = False) -> DataFrame:
     """All rows with transcript from their route's backend (null: none is given for it), without their samples, in one pass."""
-    return rows.withColumn("transcript", routed_transcripts(F.col(samples), F.col("route"), backends, batch)).drop(samples)
+    return rows.withColumn("transcript", routed_transcripts(F.col(samples), F.col("route"), backends, batch, even)).drop(samples)

@@ -39,11 +39,30 @@ def _runs(values: list) -> tuple[list, list[int]]:
     return out, counts
 
 
-def part_of(order: Column, tie: Column, kind: T.DataType, between: list, parts: int = PARTS) -> Column:
-    """A row's part from the quantiles: it rises with (order, tie), nulls first. Nulls have parts below 0.
+def _array(values: list, kind: T.DataType) -> Column:
+    return F.array(*(F.lit(x) for x in values)).cast(T.ArrayType(kind))
+
+
+def how_many_below(order: Column, values: list, kind: T.DataType) -> Column:
+    """How many of the sorted, different values a row's is above: found in two steps, each over the square root of their number."""
+    width = max(1, round(len(values) ** 0.5))
+    groups = [values[i : i + width] for i in range(0, len(values), width)]
+
+    def below(xs: Column) -> Column:
+        return F.size(F.filter(xs, lambda v: v < order))
+
+    group = F.least(below(_array([g[-1] for g in groups], kind)), F.lit(len(groups) - 1))
+    return group * width + below(F.get(F.array(*(_array(g, kind) for g in groups)), group))
+
 
-    The quantile is found in two steps, each over the square root of their number.
-    """
+def next_of(order: Column, values: list, kind: T.DataType) -> Column:
+    """The least of some values that a row's doesn't exceed; null above all of them."""
+    values, _ = _runs(sorted(values))
+    return F.get(_array(values, kind), how_many_below(order, values, kind)) if values else F.lit(None).cast(kind)
+
+
+def part_of(order: Column, tie: Column, kind: T.DataType, between: list, parts: int = PARTS) -> Column:
+    """A row's part from the quantiles: it rises with (order, tie), nulls first. Nulls have parts below 0."""
     share = F.shiftright(tie, 32)  # 31 bits
 
     def spread(n: Column) -> Column:
@@ -53,19 +72,9 @@ def part_of(order: Column, tie: Column, kind: T.DataType, between: list, parts:
     values, counts = _runs(between)
     if not values:
         return F.when(order.isNull(), nulls).otherwise(0)
-    width = max(1, round(len(values) ** 0.5))
-    groups = [values[i : i + width] for i in range(0, len(values), width)]
-
-    def array(xs: list) -> Column:
-        return F.array(*(F.lit(x) for x in xs)).cast(T.ArrayType(kind))
-
-    def below(xs: Column) -> Column:
-        return F.size(F.filter(xs, lambda v: v < order))
-
-    group = F.least(below(array([g[-1] for g in groups])), F.lit(len(groups) - 1))
-    at = group * width + below(F.get(F.array(*map(array, groups)), group))
+    at = how_many_below(order, values, kind)
     starts = [sum(counts[:i]) for i in range(len(counts) + 1)]
-    same = F.coalesce(F.get(array(values), at) == order, F.lit(False))
+    same = F.coalesce(F.get(_array(values, kind), at) == order, F.lit(False))
     start, more = F.get(F.array(*map(F.lit, starts)), at), F.get(F.array(*map(F.lit, [*counts, 0])), at)
     return F.when(order.isNull(), nulls).otherwise(start + F.when(same, spread((more + 1).cast("long"))).otherwise(0))
 

@@ -35,7 +35,10 @@ def job_cleanup_plan(spark: SparkSession, root: str, cat: DataFrame) -> DataFram
     return reconcile.orphans(found, cat)
 
 
-def job_process(spark: SparkSession, root: str, log: str, identify: inference.Backend, labels: list[str], transcribe: dict[str, inference.Backend], seq: int = 0, **options) -> DataFrame:
-    """Process all WAV files below root into the log; the catalog's state after it. options: as for process.processed()."""
-    process.process_batch(files.contents(spark, root), log, seq, identify, labels, transcribe, **options)
+def job_process(spark: SparkSession, root: str, log: str, identify: inference.Backend, labels: list[str], transcribe: dict[str, inference.Backend], seq: int = 0, extensions: tuple[str, ...] = ("wav",), **options) -> DataFrame:
+    """Process all files below root with one of the extensions into the log; the catalog's state after it.
+
+    options: as for process.process_batch(); other media than WAV need decoders.
+    """
+    process.process_batch(files.contents(spark, root, extensions), log, seq, identify, labels, transcribe, **options)
     return store.load_all(spark, log, "basename")

@@ -908,7 +908,7 @@ def r2(rows):
     lost = rows.where("vec_id % 4 = 1").select(F.concat(F.lit(f"{root}/lost/v"), F.col("vec_id").cast("string"), F.lit(".wav")).alias("filename"), F.lit(0).cast("long").alias("size_bytes"))
     store.append(process.enlisted(documents.new_documents(lost)), log, -1)
     stream = process.file_stream(spark, root, max_files=FILES_AT_ONCE)
-    run_out(process.start_claims(stream, log, root, "host", scratch_path(spark, "checkpoint"), sign_backend, LABELS, length_routes(), availableNow=True))
+    run_out(process.start_claims(stream, log, scratch_path(spark, "queue"), "host", scratch_path(spark, "checkpoint"), sign_backend, LABELS, length_routes(), availableNow=True))
     return store.load_all(spark, log).select("basename", "done", "corrupt", "transcript")
 
 

@@ -19,9 +19,67 @@ def inventory(spark: SparkSession, root: str, audio_only: bool = True, ignore_ca
     return files.withColumn("basename", paths.basename(F.col("path")))
 
 
-def contents(spark: SparkSession, root: str) -> DataFrame:
-    """path, length and content of all WAV files below root."""
-    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.wav").load(root).select("path", "length", "content")
+#: What tells a file's versions apart.
+VERSION = ("length", "modificationTime")
+
+
+def inventory_changes(spark: SparkSession, root: str, snapshots: str, version: int, audio_only: bool = True) -> DataFrame:
+    """What changed below root since the last stored inventory: path, length, modificationTime, basename and change (added, changed, gone).
+
+    The inventory now is stored as this version, which must be above those before; running it again gives the same rows.
+    """
+    now = f"{snapshots}/version={version}"
+    if not exists(spark, f"{now}/_SUCCESS"):
+        inventory(spark, root, audio_only).write.mode("overwrite").parquet(now)
+    earlier = [n for n in numbers(spark, snapshots, "version") if n < version and exists(spark, f"{snapshots}/version={n}/_SUCCESS")]
+    after = spark.read.parquet(now)
+    if not earlier:
+        return after.withColumn("change", F.lit("added"))
+    return differences(spark.read.parquet(f"{snapshots}/version={max(earlier)}"), after)
+
+
+def differences(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Files that are not the same in two inventories; those gone as they were before."""
+    old, new = (rows.select("path", F.struct("length", "modificationTime", "basename").alias(name)) for rows, name in ((before, "old"), (after, "new")))
+    both = old.join(new, "path", "full")
+    same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in VERSION]
+    change = F.when(F.col("old").isNull(), "added").when(F.col("new").isNull(), "gone").when(~(same[0] & same[1]), "changed")
+    return both.withColumn("change", change).where("change is not null").select("path", F.coalesce("new", "old").alias("f"), "change").select("path", "f.*", "change")
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    found, fs_of = _hadoop_path(spark, path)
+    return fs_of.exists(found)
+
+
+def numbers(spark: SparkSession, path: str, key: str) -> list[int]:
+    """The numbers of folders `key=number` in a folder, in order; names only are read."""
+    found, fs_of = _hadoop_path(spark, path)
+    if not fs_of.exists(found):
+        return []
+    names = (status.getPath().getName() for status in fs_of.listStatus(found))
+    return sorted(int(name.removeprefix(f"{key}=")) for name in names if name.startswith(f"{key}="))
+
+
+def existing(spark: SparkSession, names: list[str]) -> dict[str, str]:
+    """Of a bounded list of file names those whose file is there, with the path that Spark gives it. Each is looked up by itself; no folder is listed."""
+    out = {}
+    for name in names:
+        found, fs_of = _hadoop_path(spark, name)
+        if fs_of.exists(found):
+            out[name] = fs_of.makeQualified(found).toString()
+    return out
+
+
+def contents(spark: SparkSession, root: str, extensions: tuple[str, ...] = ("wav",)) -> DataFrame:
+    """path, length and content of all files below root with one of the extensions."""
+    pattern = f"*.{extensions[0]}" if len(extensions) == 1 else f"*.{{{','.join(extensions)}}}"
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path", "length", "content")
 
 
 def contents_of(spark: SparkSession, names: list[str]) -> DataFrame:

@@ -123,7 +123,7 @@ def test_claims(spark, recordings, tmp_path):
     old = spark.createDataFrame([("u1", "gone", "/nowhere/gone.wav", True, "other", False), ("u2", "late", "/nowhere/late.wav", False, None, False), ("u3", "mine", "/nowhere/mine.wav", True, "me", False)], "uuid string, basename string, filename string, claim_present boolean, processed_by string, done boolean")
     store.append(process.enlisted(old), log, -1)
     stream = process.file_stream(spark, recordings, max_files=2)
-    process.start_claims(stream, log, recordings, "me", f"{tmp_path}/c", loud, ["en", "es"], {"en": teller("E"), "other": teller("O")}, rows=1, availableNow=True).awaitTermination(240)
+    process.start_claims(stream, log, f"{tmp_path}/queue", "me", f"{tmp_path}/c", loud, ["en", "es"], {"en": teller("E"), "other": teller("O")}, rows=1, availableNow=True).awaitTermination(240)
     rows = {r.basename: r for r in store.load_all(spark, log).collect()}
     assert set(rows) == {"a", "b", "bad", "gone", "late", "mine"}
     assert not rows["gone"].done and rows["gone"].processed_by == "other"  # another worker's claim
