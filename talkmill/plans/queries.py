@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -788,6 +790,27 @@ def s18(rows):
     return loaded.select("path", "sample_rate", "duration", F.size("channels").alias("channels"), F.size(F.get("channels", F.lit(0))).alias("samples"))
 
 
+def toy_decoder(content: bytes):
+    """Sound squeezed by zlib, for a medium that only a plug-in reads."""
+    return audio.decode_wav(zlib.decompress(content))
+
+
+@register("S18_media", "select concat('v', vec_id, case when vec_id % 3 = 0 then '.MP3' when vec_id % 3 = 1 then '.wav' else '.flac' end) as path, case when vec_id % 3 < 2 then 16000 end as sample_rate, case when vec_id % 3 < 2 then len(embedding) end as samples, case when vec_id % 3 = 2 then 'ValueError: no decoder for audio/flac' end as error from embeddings", "embeddings")
+def s18_media(rows):
+    """A third of the recordings is in a medium with a decoder of its own, a third in one without any."""
+
+    @F.pandas_udf("binary")
+    def squeezed(content: pd.Series) -> pd.Series:
+        return content.map(zlib.compress)
+
+    third = F.col("vec_id") % 3
+    name = F.concat(F.lit("v"), F.col("vec_id").cast("string"), F.when(third == 0, F.lit(".MP3")).when(third == 1, F.lit(".wav")).otherwise(F.lit(".flac")))
+    found = audio.wav_files(rows, name, F.col("embedding"))
+    found = found.withColumn("content", F.when(F.endswith("path", F.lit(".MP3")), squeezed("content")).otherwise(F.col("content")))
+    loaded = audio.load(found, {"audio/mpeg": toy_decoder})
+    return loaded.select("path", "sample_rate", F.size(F.get("channels", F.lit(0))).alias("samples"), "error").withColumn("samples", F.when(F.col("error").isNull(), F.col("samples")))
+
+
 @register("P16", "select concat('v', vec_id, '.wav') as path, vec_id % 10 <> 0 as valid from embeddings", "embeddings")
 def p16(rows):
     damaged = wavs(rows).withColumn("content", F.when(F.col("path").rlike(r"0\.wav$"), F.substring("content", 1, 20)).otherwise(F.col("content")))
@@ -884,6 +907,20 @@ def s2(rows):
     return found.select(F.substring_index("path", "/", -1).alias("name"), "length")
 
 
+@register("S1_changes", f"select {_NAMES}, case when vec_id % 5 = 1 then 'gone' when vec_id % 5 = 2 then 'changed' else 'added' end as change from embeddings where vec_id % 5 in (1, 2, 3)", "embeddings")
+def s1_changes(rows):
+    """Two inventories of a folder: between them a fifth of the recordings goes (to another name), one grows, one comes."""
+    spark, snapshots = rows.sparkSession, scratch_path(rows.sparkSession, "inventories")
+    before = files.inventory(spark, write_recordings(rows.where("vec_id % 5 <> 3")))
+    after = files.inventory(spark, write_recordings(rows.where("vec_id % 5 <> 1").withColumn("embedding", F.when(F.col("vec_id") % 5 == 2, F.concat("embedding", "embedding")).otherwise(F.col("embedding")))))
+    both = []
+    for i, found in enumerate((before, after)):  # as if of one folder, and damaged files as changed as others
+        grown = F.when(F.regexp_extract("basename", "[0-9]+", 0).cast("long") % 5 == 2, F.col("length") + i).otherwise(F.col("length"))
+        found.withColumns({"path": F.substring_index("path", "/", -1), "length": grown, "modificationTime": F.lit(None).cast("timestamp")}).write.parquet(f"{snapshots}/version={i}")
+        both.append(spark.read.parquet(f"{snapshots}/version={i}"))
+    return files.differences(*both).select("basename", "change")
+
+
 # Streams over the tables, run until their input is used up
 
 
@@ -934,6 +971,16 @@ def r11(rows):
     return processing(rows).select("basename", "done", "corrupt", "duration")
 
 
+@register("R11_observed", f"select 'processing' as program, unnest(['count', 'bytes', 'duration']) as name, unnest([count(*), sum({_SIZE}), round(sum(case when vec_id % 10 <> 0 then len(embedding) / 16000 end), 6)]) as value from embeddings", "embeddings")
+def r11_observed(rows):
+    """Measurements that the processing job observes while it writes."""
+    spark, root = rows.sparkSession, write_recordings(rows)
+    log, measured = scratch_path(spark, "log"), scratch_path(spark, "measured")
+    stream = process.file_stream(spark, root, max_files=FILES_AT_ONCE)
+    run_out(process.start_processing(stream, log, scratch_path(spark, "checkpoint"), sign_backend, LABELS, length_routes(), {"measured": measured}, availableNow=True))
+    return live_metrics.emitted(spark, measured).groupBy("program", "name").agg(F.round(F.sum("value"), 6).alias("value"))
+
+
 @register("R12", f"select {_NAMES}, case when vec_id % 10 <> 0 then case when {_SPANISH} then 'es' else 'en' end end as language, vec_id % 10 = 0 or {_SPANISH} as corrupt, case when vec_id % 10 <> 0 and not {_SPANISH} then concat('en ', len(embedding)) end as transcript from embeddings", "embeddings")
 def r12(rows):
     """What isn't English is marked corrupt and isn't transcribed."""
@@ -959,6 +1006,21 @@ def r4(cat, incoming):
     return store.load_all(spark, log)
 
 
+@register("S14_compacted", _MERGED, "v_catalog", "v_incoming")
+def s14_compacted(cat, incoming):
+    """The log of a catalog, compacted twice: the last snapshot with the versions after it is the merged catalog."""
+    spark = cat.sparkSession
+    log, snapshots = scratch_path(spark, "log"), scratch_path(spark, "snapshots")
+    columns = ["uuid", "basename", "filename", "size_bytes"]
+    new = incoming.select(columns)
+    store.append(cat.select(columns), log, 0)
+    store.compact(spark, log, snapshots)
+    store.append(new.where(F.crc32(F.col("uuid").cast("binary")) % 2 == 0), log, 1)
+    store.compact(spark, log, snapshots)
+    store.append(new.where(F.crc32(F.col("uuid").cast("binary")) % 2 == 1), log, 2)
+    return store.load_all(spark, log, snapshots=snapshots)
+
+
 @contextmanager
 def state_in_rocksdb(spark: SparkSession) -> Iterator[None]:
     key = "spark.sql.streaming.stateStore.providerClass"

@@ -224,6 +224,8 @@ def report_until_idle(measurements: DataFrame, idle_seconds: float, log: str, re
     try:
         query = start_reports(Silence.watched(program_status(measurements, idle_seconds)), sink, checkpoint, every)
         silence.query_id = str(query.id)
+        if not query.isActive:
+            silence.over.set()
         try:
             silence.over.wait(timeout)
             if query.exception() is not None:

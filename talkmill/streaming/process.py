@@ -45,8 +45,7 @@ def padded(batch: DataFrame, rate: int = audio.RATE, size: int = inference.BATCH
     buckets; so a long recording lengthens those of its bucket only. One pass over the durations finds the bounds, and a
     recording's length follows from its duration alone: nothing is joined or shuffled.
     """
-    asked = F.array(*(F.lit(i / parts) for i in range(1, parts)))
-    told = batch.agg(F.count("duration").alias("n"), F.max("duration").alias("most"), F.percentile_approx("duration", asked, F.lit(parts * ordering.FINER)).alias("q")).first()
+    told = batch.agg(F.count("duration").alias("n"), F.max("duration").alias("most"), ordering.quantiles_of("duration", parts).alias("q")).first()
     if not told["n"]:
         return batch
     every = max(1, round(parts * size / told["n"]))  # quantiles to a bucket
