@@ -37,9 +37,11 @@ _NAME = r"[^\s@<>(),;:\"\[\]]"
 #: Generators: mailboxes with any characters and with a written "at"; runs of digits, solid numbers, numbers in groups of
 #: four, numbers grouped like phones, and four parts.
 MAILBOXES = [
-    rf"(?:\G|(?<!{_NAME})){_NAME}++@{_NAME}*+(?<![.!?*#%&$|])",
+    rf"(?:\G|(?<!{_NAME})){_NAME}++@{_NAME}*+",
     r"(?<![\p{L}0-9._%+-])[\p{L}0-9._%+-]++\x20?[\[(]at[\])]\x20?[\p{L}0-9-]++(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[\p{L}0-9-]++)*+",
 ]
+#: Marks that end a sentence or decorate a word; the first generator's matches don't end with them.
+FINAL = ".!?*#%&$|"
 NUMBERS = [
     r"(?<![0-9])\+?[0-9](?:[\x20().-]{0,2}+[0-9])++",
     r"(?<![0-9])[0-9]{7,19}+(?![0-9])",
@@ -64,20 +66,55 @@ TREES, DEPTH, RATE, PENALTY, PRECISION, FOLDS = 40, 3, 0.3, 1.0, 0.9, 5
 _SPAN = "array<struct<s:int,e:int,m:string,c:string,a:string>>"
 
 
-def matches(text: Column, pattern: str) -> Column:
-    """All matches of a text: start, end, the match, up to CONTEXT characters before it (behind the last match), and the one after it."""
+def computed_once(value: Column, use) -> Column:
+    """use(value), however often it names the value: a lambda's argument is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(values: Column, join) -> Column:
+    """What join makes of each element of an array of ints and all before it, as prefix sums for +.
+
+    In blocks of the square root of the length: arrays grow by one element at a time only within a block.
+    """
+
+    def inside(xs: Column) -> Column:
+        return F.aggregate(xs, F.array().cast("array<int>"), lambda acc, x: F.concat(acc, F.array(F.when(F.size(acc) == 0, x).otherwise(join(F.try_element_at(acc, F.lit(-1)), x)))))
+
+    def by_block(v: Column) -> Column:
+        n = F.size(v)
+        width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+        return F.transform(F.sequence(F.lit(0), F.floor((n - 1) / width).cast("int")), lambda i: inside(F.slice(v, i * width + 1, width)))
+
+    def joined(x: Column) -> Column:
+        return F.flatten(F.transform(x["blocks"], lambda b, i: F.when(i == 0, b).otherwise(F.transform(b, lambda y: join(x["before"][i - 1], y)))))
+
+    def over(v: Column) -> Column:
+        blocks = computed_once(by_block(v), lambda bs: F.struct(bs.alias("blocks"), inside(F.transform(bs, lambda b: F.element_at(b, -1))).alias("before")))
+        return F.when(F.size(v) == 0, v).otherwise(computed_once(blocks, joined))
+
+    return computed_once(values, over)
+
+
+def matches(text: Column, pattern: str, final: str = "") -> Column:
+    """All matches of a text: start, end, the match, up to CONTEXT characters before it (behind the last match), and the one after it.
+
+    final: characters that a match doesn't end with; they are cut off.
+    """
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     n = F.size(found)
     after = F.zip_with(found, F.slice(between, 2, n), lambda m, a: F.struct(m.alias("m"), F.substring(a, 1, 1).alias("a")))
-    pairs = F.zip_with(F.slice(between, 1, n), after, lambda p, x: F.struct(p.alias("p"), x["m"].alias("m"), x["a"].alias("a")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
+    pairs = F.zip_with(F.slice(between, 1, n), after, lambda p, x: F.struct(F.length(p).alias("before"), F.substring(p, -CONTEXT, CONTEXT).alias("c"), F.length(x["m"]).alias("n"), (F.rtrim(x["m"], F.lit(final)) if final else x["m"]).alias("m"), x["a"].alias("a"), (F.substring(x["m"], F.length(F.rtrim(x["m"], F.lit(final))) + 1, F.lit(1)) if final else F.lit("")).alias("cut")))
+
+    def placed(x: Column, end: Column) -> Column:
+        start = end - x["n"]
+        return F.struct(start.alias("s"), (start + F.length(x["m"])).alias("e"), x["m"].alias("m"), x["c"].alias("c"), F.when(x["cut"] != "", x["cut"]).otherwise(x["a"]).alias("a"))
 
-    def step(acc, x):
-        s = acc["at"] + F.length(x["p"])
-        e = s + F.length(x["m"])
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"), F.substring(x["p"], -CONTEXT, CONTEXT).alias("c"), x["a"].alias("a")))).alias("out"))
+    return computed_once(pairs, lambda ps: F.zip_with(ps, running(F.transform(ps, lambda x: x["before"] + x["n"]), lambda a, b: a + b), placed))
 
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+
+def distinct_sorted(spans: Column) -> Column:
+    """Different elements in order, by sorting."""
+    return computed_once(F.array_sort(spans), lambda xs: F.filter(xs, lambda x, i: (i == 0) | (x != xs[F.greatest(i - 1, F.lit(0))])))
 
 
 def digits_of(m: Column) -> Column:
@@ -115,8 +152,8 @@ def added_candidates(text: Column) -> dict[str, Column]:
     none = F.array().cast(_SPAN)
     at = (F.instr(text, "@") > 0) | text.rlike(r"[\[(]at[\])]")
     return {
-        "mailbox": F.when(at, F.concat(*(matches(text, p) for p in MAILBOXES))).otherwise(none),
-        "number": F.when(text.rlike("[0-9].*[0-9]"), F.filter(F.array_distinct(F.concat(*(matches(text, p) for p in NUMBERS))), lambda x: F.length(digits_of(x["m"])) >= 7)).otherwise(none),
+        "mailbox": F.when(at, F.concat(matches(text, MAILBOXES[0], FINAL), matches(text, MAILBOXES[1]))).otherwise(none),
+        "number": F.when(text.rlike("[0-9].*[0-9]"), distinct_sorted(F.filter(F.concat(*(matches(text, p) for p in NUMBERS)), lambda x: F.length(digits_of(x["m"])) >= 7))).otherwise(none),
         "secret": F.when(text.rlike(r"[A-Za-z0-9_+/=-]{20}"), F.filter(matches(text, SECRET), lambda x: F.length(x["m"]) >= 20)).otherwise(none),
     }
 
@@ -266,12 +303,8 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             over = F.when(x["kind"] == kind, trees.column(x["f"]) - threshold).otherwise(over)
         return F.struct((-over).alias("under"), x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))
 
-    def add(kept: Column, x: Column) -> Column:
-        return F.when(F.exists(kept, lambda k: (k["s"] < x["e"]) & (k["e"] > x["s"])), kept).otherwise(F.concat(kept, F.array(x)))
-
-    chosen = F.filter(F.transform("added", scored), lambda x: (x["under"] <= 0) & ~F.exists(every, lambda b: (b["s"] <= x["s"]) & (b["e"] >= x["e"])))
-    chosen = F.array_sort(chosen)
-    kept = F.aggregate(chosen, F.array().cast("array<struct<under:double,s:int,e:int,kind:int>>"), add)
+    chosen = F.filter(F.transform("added", scored), lambda x: x["under"] <= 0)
+    kept = without_overlaps(not_covered(chosen, every))
 
     def of_kind(spans: Column, kind: str) -> Column:
         return F.filter(spans, lambda x: x["kind"] == ADDED.index(kind))
@@ -286,6 +319,44 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return both.select(F.col("doc").alias(id_col), F.array_sort(base).alias("base"), F.array_sort(F.concat(base, *more)).alias("spans"))
 
 
+_SCORED = "array<struct<under:double,s:int,e:int,kind:int>>"
+
+
+def not_covered(chosen: Column, base: Column) -> Column:
+    """Those of some scored spans that lie within none of the base spans: in order of starts, the farthest end of a base span so far tells."""
+    of_base = F.transform(base, lambda b: F.struct(b["s"].alias("s"), F.lit(0).alias("added"), b["e"].alias("e"), F.lit(0.0).alias("under"), F.lit(0).alias("kind")))
+    of_chosen = F.transform(chosen, lambda x: F.struct(x["s"].alias("s"), F.lit(1).alias("added"), x["e"].alias("e"), x["under"].alias("under"), x["kind"].alias("kind")))
+
+    def open_ones(xs: Column) -> Column:
+        far = running(F.transform(xs, lambda x: F.when(x["added"] == 0, x["e"]).otherwise(F.lit(-1))), F.greatest)
+        both = F.zip_with(xs, far, lambda x, f: F.struct(x.alias("x"), f.alias("f")))
+        return F.transform(F.filter(both, lambda y: (y["x"]["added"] == 1) & (y["f"] < y["x"]["e"])), lambda y: F.struct(y["x"]["under"].alias("under"), y["x"]["s"].alias("s"), y["x"]["e"].alias("e"), y["x"]["kind"].alias("kind")))
+
+    return computed_once(F.array_sort(F.concat(of_base, of_chosen)), open_ones)
+
+
+def without_overlaps(chosen: Column) -> Column:
+    """Of spans that overlap the one with the highest score, then the first, then the shortest; each group of overlapping ones by itself."""
+
+    def add(kept: Column, x: Column) -> Column:
+        return F.when(F.exists(kept, lambda k: (k["s"] < x["e"]) & (k["e"] > x["s"])), kept).otherwise(F.concat(kept, F.array(x)))
+
+    def best(group: Column) -> Column:
+        return F.aggregate(F.array_sort(F.transform(group, lambda x: F.struct(x["under"].alias("under"), x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))), F.array().cast(_SCORED), add)
+
+    def groups(x: Column) -> Column:
+        xs, far = x["xs"], x["far"]
+        heads = F.filter(F.sequence(F.lit(1), F.size(xs)), lambda i: (i == 1) | (far[F.greatest(i - 2, F.lit(0))] <= xs[i - 1]["s"]))
+        return computed_once(heads, lambda hs: F.flatten(F.transform(hs, lambda h, j: best(F.slice(xs, h, F.coalesce(F.get(hs, j + 1), F.size(xs) + 1) - h)))))
+
+    def over(xs: Column) -> Column:
+        far = running(F.transform(xs, lambda x: x["e"]), F.greatest)
+        return F.when(F.size(xs) == 0, F.array().cast(_SCORED)).otherwise(computed_once(F.struct(xs.alias("xs"), far.alias("far")), groups))
+
+    by_start = F.array_sort(F.transform(chosen, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["under"].alias("under"), x["kind"].alias("kind"))))
+    return computed_once(by_start, over)
+
+
 def written(spans: Column) -> Column:
     """Spans as kind:start:end, joined by commas."""
     return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
