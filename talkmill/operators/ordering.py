@@ -81,7 +81,8 @@ def part_of(order: Column, tie: Column, kind: T.DataType, between: list, parts:
     starts = [sum(counts[:i]) for i in range(len(counts) + 1)]
     same = F.coalesce(F.get(_constant(values, kind), at) == order, F.lit(False))
     start, more = (F.get(_constant(xs, T.IntegerType()), at) for xs in (starts, [*counts, 0]))
-    return F.when(order.isNull(), nulls).otherwise(start + F.when(same, spread((more + 1).cast("long"))).otherwise(0))
+    found = start + F.when(same, spread((more + 1).cast("long"))).otherwise(0)
+    return F.coalesce(F.when(order.isNull(), nulls).otherwise(found), F.lit(0))  # never null: so that joins add no filter on it
 
 
 def tie_of(*names: str) -> Column:
