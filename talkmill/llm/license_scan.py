@@ -8,9 +8,13 @@ such a set of each template are left out before their words are cut. DataFrame f
 
 Windows find notices that are wrapped over lines within longer texts. For each template they begin and end with lines
 that hold its bigrams (other lines at the ends only lower the coefficient), and end where a bigram is met that the
-window had not yet; bigrams may cross line ends. Of windows that overlap, the one with the highest coefficient counts,
-then the smallest name, then the first and shortest. A window doesn't count, and only keeps others of its licence from
-counting, if the whole text or one of its lines matches with at least its coefficient.
+window had not yet; bigrams may cross line ends. The size bound holds for a window's bigrams with repeats too: it has at
+most (2 - t) / t times as many as the template's text. So the windows from one line are few however long the text is, and
+time grows in proportion to its length. Of a licence's windows that begin in a line the one with the highest coefficient
+counts, then the shortest; of these, of those that end in a line the same, then the last to begin. Of windows that
+overlap, the one with the highest coefficient counts, then the smallest name, then the first and shortest. A window
+doesn't count, and only keeps others of its licence from counting, if the whole text or one of its lines matches with at
+least its coefficient.
 
 Defined results: null and empty texts match nothing, nor do units and templates of fewer than two words. Of several
 templates for a unit, the highest coefficient wins, then the smallest name. Rows equal in id and text are reported
@@ -21,10 +25,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from talkmill.llm.shared import ascii_lower, materialise
+from talkmill.llm.shared import ascii_lower, computed_once, materialise, running
 
 PERCENT = 80
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -35,6 +40,8 @@ TEMPLATES = [
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
     ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
     ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("BSD-2-Clause", 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
+    ("BSD-3-Clause", 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
@@ -55,13 +62,12 @@ TEMPLATES = [
 ]
 
 
-#: Most bigrams of templates to broadcast (under 100 bytes each); more are joined by shuffle.
-BROADCAST_BIGRAMS = 200_000
+def template_words(templates=TEMPLATES) -> list[list[str]]:
+    return [re.findall(WORD, text.translate({c: c + 32 for c in range(65, 91)})) for _, text in templates]
 
 
 def template_bigrams(templates=TEMPLATES) -> list[set[tuple[str, str]]]:
-    words = [re.findall(WORD, text.translate({c: c + 32 for c in range(65, 91)})) for _, text in templates]
-    return [set(zip(w, w[1:], strict=False)) for w in words]
+    return [set(zip(w, w[1:], strict=False)) for w in template_words(templates)]
 
 
 def anchors(grams: list[set[tuple[str, str]]], percent: int) -> list[str]:
@@ -124,30 +130,57 @@ def line_pairs(text: Column) -> Column:
     return F.transform(F.array(words), pairs)[0]  # an array of one computes the words once
 
 
-def windows(some: DataFrame, own: DataFrame, known: DataFrame, percent: int) -> DataFrame:
-    """Matches of windows, as matches() has them; unit is the first line. some: doc, th, text; own: matches of lines and whole texts."""
-    wrapped = some.where(F.contains("text", F.lit("\n")))
-    met = wrapped.select("doc", "th", F.inline(line_pairs(F.col("text")))).join(known, "bigram")
-    hits = met.groupBy("doc", "th", "template", "license", "m").agg(F.array_sort(F.collect_set(F.struct("last", "first", "gram"))).alias("hits"))
-    hits = hits.where(F.size(F.array_distinct(F.col("hits")["gram"])) * (200 - percent) >= percent * F.col("m"))
+def ends(met: DataFrame, percent: int, most: int) -> DataFrame:
+    """Windows that hold enough bigrams of a template: doc, th, license, m, size, start, end, common. met: bigrams of templates where they are.
 
-    def ends(later: Column) -> Column:  # the line where each bigram is first met, in their order
-        return F.transform(F.array_distinct(later["gram"]), lambda g: F.element_at(later["last"], F.array_position(later["gram"], g).cast("int")))
-
-    starts = hits.select("doc", "th", "template", "license", "m", "hits", F.explode(F.array_distinct(F.col("hits")["first"])).alias("start"))
-    later = F.filter("hits", lambda h: h["first"] >= F.col("start"))
-    found = starts.select("doc", "th", "template", "license", "m", "start", F.posexplode(F.transform(F.array(later), ends)[0]).alias("k", "end")).where("start < end")
-    found = found.groupBy("doc", "th", "template", "license", "m", "start", "end").agg((F.max("k") + 1).alias("common")).where(f"common * {200 - percent} >= {percent} * m").alias("f")
-    by_doc = found.groupBy("doc", "th").agg(F.collect_set(F.struct("license", "m", "start", "end", "common")).alias("found")).alias("f")
+    A row counts for the starts behind the bigram's place before, at most `most` bigrams back: from each of them it is
+    the next place of its bigram. Counted by the line where they end, these are the window's bigrams of the template.
+    """
+    key = ["doc", "th", "template", "license", "m", "size"]
+    every = met.groupBy(*key).agg(F.collect_list(F.struct("pos", "first", "last", "gram")).alias("hits"))  # of one text
+    rows = every.where(F.size(F.array_distinct(F.col("hits")["gram"])) * (200 - percent) >= percent * F.col("m")).select(*key, F.inline("hits"))
+    by = Window.partitionBy(*key)
+    rows = rows.withColumn("i", F.dense_rank().over(by.orderBy("first")))
+    rows = rows.withColumns({"near": F.min("i").over(by.orderBy("pos").rangeBetween(-most, 0)), "seen": F.lag("i").over(Window.partitionBy(*key, "gram").orderBy("pos"))})
+    least = F.greatest("near", F.coalesce(F.col("seen") + 1, F.lit(1)))
+    rows = rows.where(least <= F.col("i")).select(*key, "first", "last", "i", F.explode(F.sequence(least, F.col("i"))).alias("s"))
+    rows = rows.groupBy(*key, "s", F.col("last").alias("end")).agg(F.count("*").alias("c"), F.max(F.when(F.col("i") == F.col("s"), F.col("first"))).alias("own"))
+    of_start = Window.partitionBy(*key, "s")
+    rows = rows.withColumns({"common": F.sum("c").over(of_start.orderBy("end")), "start": F.max("own").over(of_start)})
+    return rows.where(f"start < end and common * {200 - percent} >= {percent} * m").select("doc", "th", "license", "m", "size", "start", "end", "common")
+
+
+def with_sizes(text: Column, found: Column) -> Column:
+    """found windows with n, their different bigrams, and all, these with repeats. A window's bigrams are a slice of the text's."""
+    words_before = running(F.transform(F.split(ascii_lower(text), "\n", -1), lambda x: F.size(F.regexp_extract_all(x, F.lit(WORD), F.lit(0)))), lambda a, b: a + b)
+
+    def sized(z: Column) -> Column:
+        def one(w: Column) -> Column:
+            at = F.when(w["start"] == 1, F.lit(0)).otherwise(F.get(z["before"], w["start"] - 2))
+            inside = F.filter(F.slice(z["pairs"], at + 1, F.get(z["before"], w["end"] - 1) - at), lambda p: p["last"] <= w["end"])["bigram"]
+            return F.struct(w.alias("w"), computed_once(inside, lambda xs: F.struct(F.size(F.array_distinct(xs)).alias("n"), F.size(xs).alias("all"))).alias("s"))
+
+        return F.transform(found, one)
+
+    return computed_once(F.struct(line_pairs(text).alias("pairs"), words_before.alias("before")), sized)
+
+
+def windows(some: DataFrame, own: DataFrame, known: DataFrame, percent: int, most: int) -> DataFrame:
+    """Matches of windows, as matches() has them; unit is the first line. some: doc, th, text; own: matches of lines and whole texts; most: bigrams of a window."""
+    wrapped = some.where(F.contains("text", F.lit("\n"))).dropDuplicates(["doc", "th"])
+    met = wrapped.select("doc", "th", F.posexplode(line_pairs(F.col("text"))).alias("pos", "p")).select("doc", "th", "pos", "p.*").join(known, "bigram")
+    by_doc = ends(met, percent, most).groupBy("doc", "th").agg(F.collect_list(F.struct("license", "m", "size", "start", "end", "common")).alias("found")).alias("f")
     units_of = own.groupBy("doc", "th").agg(F.collect_list(F.struct("unit", "license", "dice")).alias("own")).alias("o")
     by_doc = by_doc.join(units_of, F.expr("f.doc <=> o.doc and f.th = o.th"), "left").select("f.doc", "f.th", "found", F.coalesce("own", F.filter(F.array(F.struct(F.lit(0).alias("unit"), F.lit("").alias("license"), F.lit(0.0).alias("dice"))), lambda o: F.lit(False))).alias("own"))
     # Where all windows hold lines that match fully, none can count, and texts aren't needed.
     by_doc = by_doc.where("exists(found, f -> not exists(own, o -> o.dice >= 1 and (o.unit = 0 or o.unit between f.start and f.end)))").alias("f")
-    texts = wrapped.alias("t").join(by_doc, F.expr("t.doc <=> f.doc and t.th = f.th")).select("t.doc", "t.th", line_pairs(F.col("text")).alias("pairs"), "found", "own")
-    each = texts.select("doc", "th", "pairs", "own", F.inline("found"))
-    within = F.filter("pairs", lambda p: (p["first"] >= F.col("start")) & (p["last"] <= F.col("end")))
-    each = each.select("doc", "th", "own", "license", "start", "end", "m", "common", F.size(F.array_distinct(within["bigram"])).alias("n")).where(f"200 * common >= {percent} * (n + m)")
-    each = each.withColumn("dice", 2 * F.col("common") / (F.col("n") + F.col("m"))).withColumn("told", F.expr("exists(own, o -> o.dice >= dice and (o.unit = 0 or o.unit between start and end))"))
+    texts = wrapped.alias("t").join(by_doc, F.expr("t.doc <=> f.doc and t.th = f.th")).select("t.doc", "t.th", "own", F.explode(with_sizes(F.col("text"), F.col("found"))).alias("x"))
+    each = texts.select("doc", "th", "own", "x.w.*", "x.s.*").where(f"200 * common >= {percent} * (n + m) and {percent} * all <= {200 - percent} * size")
+    minus = (-2 * F.col("common") / (F.col("n") + F.col("m"))).alias("minus")
+    each = each.groupBy("doc", "th", "license", "start").agg(F.first("own").alias("own"), F.min(F.struct(minus, "end")).alias("best"))
+    each = each.groupBy("doc", "th", "license", "best.end").agg(F.first("own").alias("own"), F.min(F.struct("best.minus", (-F.col("start")).alias("back"))).alias("best"))
+    each = each.select("doc", "th", "own", "license", (-F.col("best.back")).alias("start"), "end", (-F.col("best.minus")).alias("dice"))
+    each = each.withColumn("told", F.expr("exists(own, o -> o.dice >= dice and (o.unit = 0 or o.unit between start and end))"))
     best = each.groupBy("doc", "th").agg(F.array_sort(F.collect_set(F.struct((-F.col("dice")).alias("minus"), "license", "start", "end", "told"))).alias("all"))
 
     def add(kept: Column, w: Column) -> Column:
@@ -158,6 +191,9 @@ def windows(some: DataFrame, own: DataFrame, known: DataFrame, percent: int) ->
     return kept.select("doc", "th", F.col("start").alias("unit"), "license", (-F.col("minus")).alias("dice"))
 
 
+_KNOWN = pa.schema([("template", pa.int32()), ("license", pa.string()), ("m", pa.int32()), ("size", pa.int32()), ("gram", pa.int32()), ("bigram", pa.string())])
+
+
 def matches(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, th (hash of its text), unit, license and dice of each unit's best template with 100 * dice >= percent.
 
@@ -165,9 +201,10 @@ def matches(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT, id_col
     texts are written to the shared folder first, as windows need both.
     """
     grams = template_bigrams(templates)
-    rows = [(i, templates[i][0], len(g), k, " ".join(pair)) for i, g in enumerate(grams) for k, pair in enumerate(sorted(g))]
-    known = docs.sparkSession.createDataFrame(rows, "template int, license string, m int, gram int, bigram string")
-    known = F.broadcast(known) if len(rows) <= BROADCAST_BIGRAMS else known
+    lengths = [max(0, len(w) - 1) for w in template_words(templates)]
+    rows = [{"template": i, "license": templates[i][0], "m": len(g), "size": lengths[i], "gram": k, "bigram": " ".join(pair)} for i, g in enumerate(grams) for k, pair in enumerate(sorted(g))]
+    # A local relation, of which Spark knows the size and so how to join it.
+    known = docs.sparkSession.createDataFrame(pa.Table.from_pylist(rows, _KNOWN))
     words = anchors(grams, percent)
     some = docs.where(holds_any(ascii_lower(F.col(text_col)), words))
     some = materialise(some.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")), "license-texts")
@@ -180,7 +217,7 @@ def matches(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT, id_col
     dice = (2 * F.col("common") / (F.col("n") + F.col("m"))).alias("dice")
     best = scored.select("doc", "th", "unit", "license", dice).groupBy("doc", "th", "unit").agg(F.max("dice").alias("dice"), F.min(F.struct((-F.col("dice")).alias("minus"), "license")).alias("best"))
     found = materialise(best.select("doc", "th", "unit", "best.license", "dice"), "license-units")
-    return found.unionByName(windows(some, found, known, percent))
+    return found.unionByName(windows(some, found, known, percent, max(lengths, default=0) * (200 - percent) // percent))
 
 
 def scan(docs: DataFrame, templates=TEMPLATES, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from talkmill.llm.shared import materialise
+from talkmill.llm.shared import computed_once, materialise, running
 
 #: Patterns in Java's syntax. Possessive, and tried at the start of a run or behind the last match only: the same
 #: matches as the plain patterns, in linear time.
@@ -66,35 +66,6 @@ TREES, DEPTH, RATE, PENALTY, PRECISION, FOLDS = 40, 3, 0.3, 1.0, 0.9, 5
 _SPAN = "array<struct<s:int,e:int,m:string,c:string,a:string>>"
 
 
-def computed_once(value: Column, use) -> Column:
-    """use(value), however often it names the value: a lambda's argument is computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
-def running(values: Column, join) -> Column:
-    """What join makes of each element of an array of ints and all before it, as prefix sums for +.
-
-    In blocks of the square root of the length: arrays grow by one element at a time only within a block.
-    """
-
-    def inside(xs: Column) -> Column:
-        return F.aggregate(xs, F.array().cast("array<int>"), lambda acc, x: F.concat(acc, F.array(F.when(F.size(acc) == 0, x).otherwise(join(F.try_element_at(acc, F.lit(-1)), x)))))
-
-    def by_block(v: Column) -> Column:
-        n = F.size(v)
-        width = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
-        return F.transform(F.sequence(F.lit(0), F.floor((n - 1) / width).cast("int")), lambda i: inside(F.slice(v, i * width + 1, width)))
-
-    def joined(x: Column) -> Column:
-        return F.flatten(F.transform(x["blocks"], lambda b, i: F.when(i == 0, b).otherwise(F.transform(b, lambda y: join(x["before"][i - 1], y)))))
-
-    def over(v: Column) -> Column:
-        blocks = computed_once(by_block(v), lambda bs: F.struct(bs.alias("blocks"), inside(F.transform(bs, lambda b: F.element_at(b, -1))).alias("before")))
-        return F.when(F.size(v) == 0, v).otherwise(computed_once(blocks, joined))
-
-    return computed_once(values, over)
-
-
 def matches(text: Column, pattern: str, final: str = "") -> Column:
     """All matches of a text: start, end, the match, up to CONTEXT characters before it (behind the last match), and the one after it.
 
