@@ -66,8 +66,8 @@ def next_of(order: Column, values: list, kind: T.DataType) -> Column:
     return F.get(_constant(values, kind), how_many_below(order, values, kind)) if values else F.lit(None).cast(kind)
 
 
-def part_of(order: Column, tie: Column, kind: T.DataType, between: list, parts: int = PARTS) -> Column:
-    """A row's part from the quantiles: it rises with (order, tie), nulls first. Nulls have parts below 0."""
+def part_of(order: Column, tie: Column, kind: T.DataType, between: list, parts: int = PARTS, at: Column | None = None) -> Column:
+    """A row's part from the quantiles: it rises with (order, tie), nulls first. Nulls have parts below 0. at: how many different quantiles lie below, if known."""
     share = F.shiftright(tie, 32)  # 31 bits
 
     def spread(n: Column) -> Column:
@@ -77,7 +77,7 @@ def part_of(order: Column, tie: Column, kind: T.DataType, between: list, parts:
     values, counts = _runs(between)
     if not values:
         return F.when(order.isNull(), nulls).otherwise(0)
-    at = how_many_below(order, values, kind)
+    at = how_many_below(order, values, kind) if at is None else at
     starts = [sum(counts[:i]) for i in range(len(counts) + 1)]
     same = F.coalesce(F.get(_constant(values, kind), at) == order, F.lit(False))
     start, more = (F.get(_constant(xs, T.IntegerType()), at) for xs in (starts, [*counts, 0]))
@@ -93,5 +93,9 @@ def tie_of(*names: str) -> Column:
 def split(rows: DataFrame, order: str, *ties: str, parts: int = PARTS) -> DataFrame:
     """rows with PART and TIE. ties: columns whose hash orders rows of one value of a numeric order column; all plain ones if not given."""
     names = ties or [f.name for f in rows.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+    between, kind = quantiles(rows, order, parts), rows.schema[order].dataType
     rows = rows.withColumn(TIE, tie_of(*names))
-    return rows.withColumn(PART, part_of(F.col(order), F.col(TIE), rows.schema[order].dataType, quantiles(rows, order, parts), parts))
+    if not between:
+        return rows.withColumn(PART, part_of(F.col(order), F.col(TIE), kind, between, parts))
+    rows = rows.withColumn("__at", how_many_below(F.col(order), _runs(between)[0], kind))  # a column of its own, so that it is computed once
+    return rows.withColumn(PART, part_of(F.col(order), F.col(TIE), kind, between, parts, F.col("__at"))).drop("__at")
