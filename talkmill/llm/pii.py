@@ -125,7 +125,7 @@ def added_candidates(text: Column) -> dict[str, Column]:
     return {
         "mailbox": F.when(at, F.concat(matches(text, MAILBOXES[0], FINAL), matches(text, MAILBOXES[1]))).otherwise(none),
         "number": F.when(text.rlike("[0-9].*[0-9]"), distinct_sorted(F.filter(F.concat(*(matches(text, p) for p in NUMBERS)), lambda x: F.length(digits_of(x["m"])) >= 7))).otherwise(none),
-        "secret": F.when(text.rlike(r"[A-Za-z0-9_+/=-]{20}"), F.filter(matches(text, SECRET), lambda x: F.length(x["m"]) >= 20)).otherwise(none),
+        "secret": F.when(text.rlike(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/=-]{20}"), F.filter(matches(text, SECRET), lambda x: F.length(x["m"]) >= 20)).otherwise(none),
     }
 
 
@@ -217,18 +217,15 @@ class Trees:
             out = out + tree
         return out
 
-    def column(self, f: Column) -> Column:
-        """score() of an array column, as nested CASE expressions."""
+    def sql(self, f: str) -> str:
+        """score() of an array, by its name in SQL, as nested CASE expressions."""
 
-        def branch(tree) -> Column:
+        def branch(tree) -> str:
             if not isinstance(tree, tuple):
-                return F.lit(float(tree))
-            return F.when(f[tree[0]] < tree[1], branch(tree[2])).otherwise(branch(tree[3]))
+                return f"{float(tree)!r}D"
+            return f"CASE WHEN {f}[{tree[0]}] < {tree[1]} THEN {branch(tree[2])} ELSE {branch(tree[3])} END"
 
-        out = F.lit(self.bias)
-        for tree in self.trees:
-            out = out + branch(tree)
-        return out
+        return " + ".join([f"{float(self.bias)!r}D", *map(branch, self.trees)])
 
 
 def fit(counts: list[tuple[int, int, tuple[int, ...], float, float]]) -> dict[int, tuple[Trees, float]]:
@@ -267,14 +264,10 @@ def find_private(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     models = fit([(r["kind"], r["fold"], tuple(r[f"f{i}"] for i in range(N_FEATURES)), float(r["n"]), float(r["p"])) for r in counted.orderBy(*counted.columns).collect()])
     every = F.concat(*BASE)
 
-    def scored(x: Column) -> Column:
-        """The candidate with what its score has above its kind's threshold; null for those of kinds without one."""
-        over = F.lit(None).cast("double")
-        for kind, (trees, threshold) in models.items():
-            over = F.when(x["kind"] == kind, trees.column(x["f"]) - threshold).otherwise(over)
-        return F.struct((-over).alias("under"), x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind"))
-
-    chosen = F.filter(F.transform("added", scored), lambda x: x["under"] <= 0)
+    # What a candidate's score has above its kind's threshold; null for those of kinds without one.
+    over = " ".join(f"WHEN {kind} THEN {trees.sql('x.f')} - {threshold!r}D" for kind, (trees, threshold) in models.items())
+    under = f"-(CASE x.kind {over} END)" if over else "CAST(NULL AS DOUBLE)"
+    chosen = F.filter(F.expr(f"transform(added, x -> named_struct('under', {under}, 's', x.s, 'e', x.e, 'kind', x.kind))"), lambda x: x["under"] <= 0)
     kept = without_overlaps(not_covered(chosen, every))
 
     def of_kind(spans: Column, kind: str) -> Column:

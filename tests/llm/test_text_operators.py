@@ -348,7 +348,7 @@ def test_tree_columns_score_as_trees(spark):
     p = np.floor(n * (points[:, 0] > 2) * rng.random(300))
     trees = pii.Trees().fit(points, n, p)
     df = spark.createDataFrame([(i, x) for i, x in enumerate(points.tolist())], "i int, f array<int>")
-    got = {r.i: r.s for r in df.select("i", trees.column(F.col("f")).alias("s")).collect()}
+    got = {r.i: r.s for r in df.select("i", F.expr(trees.sql("f")).alias("s")).collect()}
     assert all(got[i] == trees.score(x) for i, x in enumerate(points.tolist()))
     positive, negative = (np.mean([got[i] for i in range(300) if (p[i] > 0) == side]) for side in (True, False))
     assert positive > negative + 1
