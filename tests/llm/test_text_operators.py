@@ -77,6 +77,20 @@ def test_fitted_bands(spark):
         assert sum(r["kept"] for r in out if kinds[r["doc_id"]] == (lang, "clean")) >= 78
 
 
+def test_byte_share_rejects(spark):
+    """Letters that the vocabulary has only as bytes, strewn over texts that are like the others in all else."""
+    words = "the river carries sand from many hills to sea and each flood lays down another layer over older ones farmers know this well they plant early grain on high ground keep cattle near water during dry months mend walls before autumn storms arrive".split()
+    rng, rows = random.Random(7), []
+    for i in range(40):
+        own = [rng.choice(words) for _ in range(200)]
+        if i >= 34:
+            for k in range(0, 200, 6):
+                own[k] += chr(0xA66E)
+        rows.append((i, " ".join(own) + ".", "en"))
+    out = {r["doc_id"]: r["rejected_by"] for r in collected(fertility.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string"), vocabulary("piece_bpe_32k.model")))}
+    assert [out[i] for i in range(34, 40)] == ["byte_share"] * 6 and not any(out[i] for i in range(34)), out
+
+
 def test_limits_of_sizes():
     """Sizes without enough texts take lower limits from below and upper ones from above, within the wide band."""
     wide, fitted = fertility.Band(1, 6, 0.05, 3, 14), fertility.Band(2, 4, 0.02, 5, 8)
