@@ -28,9 +28,18 @@ def file_stream(spark: SparkSession, root: str, pattern: str = "*.wav", max_file
     return spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files).load(root)
 
 
+#: Tasks for each core that a micro-batch of files is read by, at most.
+TASKS = 8
+
+
+def packed(found: DataFrame) -> DataFrame:
+    """Files in fewer tasks where there are very many: Spark counts each small file as 4 MB, which gives hundreds of tasks for a few thousand."""
+    return found.coalesce(TASKS * found.sparkSession.sparkContext.defaultParallelism)
+
+
 def discovered(found: DataFrame) -> DataFrame:
     """A document for each new recording. Contents are not read."""
-    return documents.new_documents(found.where(paths.is_audio(F.col("path"))).select(F.col("path").alias("filename"), F.col("length").alias("size_bytes")))
+    return documents.new_documents(packed(found).where(paths.is_audio(F.col("path"))).select(F.col("path").alias("filename"), F.col("length").alias("size_bytes")))
 
 
 def prepared(recordings: DataFrame, rate: int = audio.RATE, decoders: dict[str, audio.Decoder] | None = None) -> DataFrame:
@@ -74,7 +83,7 @@ def processed(recordings: DataFrame, identify: inference.Backend, labels: list[s
     its route picks the backend. Backends get arrays of one length at once. Unreadable files, and routes marked corrupt,
     end as corrupt and done. decoders: see audio.load().
     """
-    rows = prepared(recordings, rate, decoders).persist(StorageLevel.DISK_ONLY)
+    rows = prepared(packed(recordings), rate, decoders).persist(StorageLevel.DISK_ONLY)
     try:
         spoken = inference.transcribe_routes(identified(padded(rows.where("error is null"), rate), identify, labels, all_english, drop_others), transcribe, even=True)
         yield results(spoken.unionByName(rows.where("error is not null").drop("samples"), allowMissingColumns=True))
