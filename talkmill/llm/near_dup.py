@@ -4,8 +4,8 @@ Sketching throws every shingle into hashed bins, round after round, until each b
 bin each, so every coordinate fills, and matching coordinates estimate the Jaccard similarity with concentration
 bounds. Copies with equal shingle sets are one class. Classes that agree on a band meet in a bucket. No bucket
 emits all its pairs: in each round its members are compared with one pivot, and members that verified links have
-joined into one component need no more comparison. What rounds leave apart is looked up by its rarest shingles, of
-which any link must share one. A pair is a link only when the full shingle sets say so.
+joined into one component need no more comparison. What rounds leave apart is looked up by what it has or lacks
+against its bucket's pivot, rarest first. A pair is a link only when the full shingle sets say so.
 
 Defined results: texts without words have an empty set and no links. With fewer words than a shingle the whole
 sequence is one shingle. Rows with equal doc_id are one document, which links to what any of its texts links to, and
@@ -197,33 +197,57 @@ def text_sets(texts: DataFrame, k: int = WORDS) -> DataFrame:
     return in_small_batches(texts.select("node", "text")).mapInArrow(run, "node long, n long, own array<long>")
 
 
-def pairs_by_rare_shingles(members: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
-    """Pairs (a, b) across components that may be links, among members (key: a bucket, node, comp). texts: node, text.
+def _centre_pairs(groups: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each group's centre with its members in other components. groups: p (the centre's node), node, n, comp."""
+    centres = groups.where("node = p").select("p", F.col("n").alias("pn"), F.col("comp").alias("pc"))
+    return groups.join(centres, "p").where(f"node <> p and comp <> pc and 100 * least(n, pn) >= {percent} * greatest(n, pn)").select(*_pairs("node", "p"))
 
-    Of two members of a bucket in different components, one at least is outside the bucket's largest component. Those
-    outside look others up by their own shingles, in one order for all: the rarest among all members first. A link of
-    x to a text of size s shares at least percent * (n + s) / (100 + percent) of x's n shingles, so the first of x's
-    shingles that both have is among the first that x may miss, and one. Turned round, the k-th of x's shingles finds
-    only texts of s <= (n + 1 - k) * (100 + percent) / percent - n, and shingles that no other member has find none. So
-    a text that differs in many shingles looks nothing up, and one that differs in few has been joined by a pivot.
+
+def differences(groups: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
+    """p, e, node, comp, w and room: what the members of groups have or lack against their centre, as far as another component differs in it too.
+
+    Sets x and y differ in as many elements as their differences dx and dy to the centre do: |dx| + |dy| less twice
+    what dx and dy share. So x and y are a link if w(x) + w(y) + 2 (100 + percent) |dx and dy| >= 0, with
+    w(x) = (100 - percent) |x| - (100 + percent) |dx|. The centre has the highest w and is compared with all, so members
+    that differ from it in nothing alike are no link unless both are its own. Elements go from the rarest
+    on; if the first that two members share is the last but r - 1 of one of them, they share r at most: its room.
+    groups: p, node, n, comp; texts: node, text.
     """
-    sizes = members.groupBy("key", "comp").agg(F.count("*").alias("size"))
-    main = materialise(sizes.groupBy("key").agg(F.max_by("comp", F.struct("size", "comp")).alias("main")), "main")
-    every = members.join(main, "key").groupBy("node").agg(F.min("comp").alias("comp"), F.max(F.col("comp") != F.col("main")).alias("outside"))
-    every = materialise(every, "left")
-    sets = materialise(text_sets(texts.join(every, "node", "left_semi"), k).join(every, "node"), "sets")
-    counted = materialise(sets.select("node", F.explode("own").alias("e")).groupBy("e").agg(F.count("*").alias("often"), F.min("node").alias("one")), "shingles")
-    alone = counted.where("often = 1").groupBy(F.col("one").alias("node")).agg(F.count("*").alias("alone"))
-    # Who shares too little with all others is left out.
-    some = sets.join(alone, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0))).where(f"100 * (n - alone) >= {percent} * n")
-    some = materialise(some, "open")
-    mine = some.where("outside").select("node", "n", "comp", "alone", F.explode("own").alias("e")).join(counted.where("often > 1").select("e", "often"), "e")
-    ranked = mine.withColumn("k", F.col("alone") + F.row_number().over(Window.partitionBy("node").orderBy("often", "e")))
-    most = F.floor(F.least((F.col("n") + 1 - F.col("k")) * (100 + percent) / percent - F.col("n"), F.col("n") * 100 / percent) + 1e-9)
-    lookups = ranked.select("e", F.col("node").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("xc"), most.alias("most")).where(f"100 * most >= {percent} * nx")
-    held = some.select("node", "n", "comp", "alone", F.explode("own").alias("e"))
-    met = materialise(lookups, "lookups").join(held, "e")
-    met = met.where(f"xc <> comp and n <= most and 100 * n >= {percent} * nx and {percent} * (n + nx) <= {100 + percent} * (n - alone)")
+    others = groups.where("node <> p")
+    several = others.groupBy("p").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("p")
+    others = materialise(others.join(several, "p"), "others")
+    needed = others.select("node").union(several.select("p")).distinct()
+    sets = materialise(text_sets(texts.join(needed, "node", "left_semi"), k).select("node", "own"), "sets")
+    both = others.join(sets, "node").join(sets.select(F.col("node").alias("p"), F.col("own").alias("centre")), "p")
+    diff = both.withColumn("diff", F.concat(F.array_except("own", "centre"), F.array_except("centre", "own")))
+    weight = (100 - percent) * F.col("n") - (100 + percent) * F.size("diff")
+    posts = materialise(diff.select("p", "node", "comp", weight.alias("w"), F.explode("diff").alias("e")), "differences")
+    counted = posts.groupBy("p", "e").agg(F.count("*").alias("often"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").drop("c0", "c1")
+    back = F.row_number().over(Window.partitionBy("p", "node").orderBy(F.desc("often"), F.desc("e")))
+    return posts.join(counted, ["p", "e"]).select("p", "e", "node", "comp", "w", back.alias("room"))
+
+
+def _with_best(posts: DataFrame, percent: int) -> DataFrame:
+    """posts with best, the holder of the element with the highest w, as far as one of such w could be a link."""
+    best = posts.groupBy("p", "e").agg(F.max(F.struct("w", "node", "comp", "room")).alias("best"))
+    return posts.join(best, ["p", "e"]).where(f"w + best.w + {2 * (100 + percent)} * room >= 0")
+
+
+def pairs_with_best(posts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) across components that may be links, of each element's holders with the one of the highest w. posts: see differences()."""
+    met = _with_best(posts, percent).where(f"comp <> best.comp and w + best.w + {2 * (100 + percent)} * best.room >= 0")
+    return met.select(*_pairs("node", "best.node"))
+
+
+def pairs_by_differences(posts: DataFrame, percent: int) -> DataFrame:
+    """All pairs (a, b) across components that may be links. posts: see differences().
+
+    Of two holders of an element in different components one is not in that of the best holder. It looks others up,
+    if even the best could be a link of it.
+    """
+    some = materialise(_with_best(posts, percent), "open")
+    lookups = some.where("comp <> best.comp").select("p", "e", F.col("node").alias("x"), F.col("comp").alias("xc"), F.col("w").alias("xw"), F.col("room").alias("xr"))
+    met = lookups.join(some.drop("best"), ["p", "e"]).where(f"xc <> comp and xw + w + {2 * (100 + percent)} * least(xr, room) >= 0")
     return met.select(*_pairs("x", "node"))
 
 
@@ -232,7 +256,8 @@ def joined_classes(heads: DataFrame, docs: DataFrame, percent: int, k: int = WOR
 
     docs: doc, th, text. known: links (a, b) that hold without a look at texts. In each round buckets are compared with
     the member that meets most others; it has then met its whole bucket and takes no part there any more. When rounds
-    find few links, the pairs across components that have not met are looked up by rare shingles.
+    find few links, members are held by their differences to the next pivot: first against the best holder of each
+    element, which joins the groups within a bucket, then all that are still apart and may be links.
     """
     keyed = heads.select("node", "n", F.explode("keys").alias("key"))
     buckets = materialise(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
@@ -244,19 +269,24 @@ def joined_classes(heads: DataFrame, docs: DataFrame, percent: int, k: int = WOR
     texts = materialise(some.select("node", "doc", "th").join(docs, ["doc", "th"]).select("node", "text").dropDuplicates(["node"]), "texts")
     links = known
     roots = None if known is None else materialise(connected(known), "roots")
-    tested, by_pivot = None, True
+    tested, step, posts = None, "pivot", None
     while True:
-        now = _with_roots(members, None) if roots is None else materialise(_with_roots(members, roots), "now")
-        split = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max_by("node", F.struct("weight", "node")).alias("p")).where("c0 < c1").drop("c0", "c1")
-        now = materialise(now.join(materialise(split, "split"), "key"), "open-buckets")
-        if now.isEmpty():
-            return roots
-        if by_pivot:
-            pivots = now.where("node = p").select("key", F.col("n").alias("pn"), F.col("comp").alias("pc"))
-            pairs = now.join(pivots, "key").where(f"node <> p and comp <> pc and 100 * least(n, pn) >= {percent} * greatest(n, pn)").select(*_pairs("node", "p"))
-            members = now.where("node <> p").select("node", "n", "key", "weight")
+        if step == "rest":
+            now = posts.drop("comp")
+            pairs = pairs_by_differences(_with_roots(now, roots), percent)
         else:
-            pairs = pairs_by_rare_shingles(now.select("key", "node", "comp"), texts, percent, k)
+            now = _with_roots(members, None) if roots is None else materialise(_with_roots(members, roots), "now")
+            split = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max_by("node", F.struct("weight", "node")).alias("p")).where("c0 < c1").drop("c0", "c1")
+            now = materialise(now.join(materialise(split, "split"), "key"), "open-buckets")
+            if now.isEmpty():
+                return roots
+            groups = now.select("p", "node", "n", "comp").distinct()
+            pairs = _centre_pairs(groups, percent)
+            if step == "pivot":
+                members = now.where("node <> p").select("node", "n", "key", "weight")
+            else:
+                posts = materialise(differences(materialise(groups, "groups"), texts, percent, k), "posts")
+                pairs = pairs.union(pairs_with_best(posts, percent))
         pairs = pairs.distinct()
         pairs = materialise(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         likely = materialise(plausible(pairs, sketches, percent / 100), "likely")  # a task holds one Python worker
@@ -265,10 +295,13 @@ def joined_classes(heads: DataFrame, docs: DataFrame, percent: int, k: int = WOR
         if n_new:
             links = new if links is None else links.union(new)
             roots = materialise(connected(links), "roots")
-        if not by_pivot:
+        if step == "rest":
             return roots
         tested = pairs if tested is None else tested.union(pairs)
-        by_pivot = n_new > PAYS * pairs.count()
+        if step == "best":
+            step = "rest"
+        elif n_new <= PAYS * pairs.count():
+            step = "best"
 
 
 def components(docs: DataFrame, percent: int = 80, k: int = WORDS, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -148,9 +148,9 @@ def brute_components(sets, percent):
     return root
 
 
-@pytest.mark.parametrize("percent, pays", [(80, 0.1), (85, -1), (85, 2)])
+@pytest.mark.parametrize("percent, pays", [(80, 2), (85, -1), (85, 2)])
 def test_components(spark, percent, pays, monkeypatch):
-    monkeypatch.setattr(near_dup, "PAYS", pays)  # -1: pivots to the end; 2: rare shingles after the first one
+    monkeypatch.setattr(near_dup, "PAYS", pays)  # -1: pivots to the end; 2: differences after the first one
     docs = [d for d in documents(spark).collect() if d.doc_id is not None]
     sets = {d.doc_id: shingles(d.text) for d in docs}
     root = brute_components(sets, percent)
@@ -179,11 +179,12 @@ def near_copies(n, seed=4, size=140):
     return [" ".join(w) for w in out]
 
 
-def test_large_group(spark, monkeypatch):
-    percent = 80
+@pytest.mark.parametrize("percent, pays", [(80, 0.1), (85, 2)])
+def test_large_group(spark, monkeypatch, percent, pays):
     texts, pairs = near_copies(1000), []
-    lookup = near_dup.pairs_by_rare_shingles
-    monkeypatch.setattr(near_dup, "pairs_by_rare_shingles", lambda *a: pairs.append(lookup(*a)) or pairs[-1])
+    monkeypatch.setattr(near_dup, "PAYS", pays)
+    write = near_dup.materialise
+    monkeypatch.setattr(near_dup, "materialise", lambda df, name: pairs.append(write(df, name)) or pairs[-1] if name == "pairs" else write(df, name))
     rows = collected(near_dup.components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), percent=percent))
     sets = [shingles(t) for t in texts]
     held, root = {}, list(range(len(texts)))
@@ -205,7 +206,38 @@ def test_large_group(spark, monkeypatch):
                 root[b] = a
     assert {r["doc_id"]: r["component_id"] for r in rows} == {i: top(i) for i in range(len(texts))}
     assert len({top(i) for i in range(len(texts))}) > 50  # others than the large component are there
-    assert pairs and pairs[0].distinct().count() < 5 * len(texts)
+    assert len(pairs) >= 3  # a pivot, best holders, the rest
+    assert sum(p.count() for p in pairs) < 10 * len(texts)
+    assert pairs[-1].count() < len(texts) / 2
+
+
+def test_groups_within_a_group(spark):
+    """Many groups around one centre, each far from the centre and from all others, are joined without their pairs."""
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base)]
+    for g in range(12):
+        own = list(base)
+        for at in range(g, 200, 12):
+            own[at] = f"g{g}x{at}"
+        own[12 * (g // 2) : 12 * (g // 2) + 12] = base[12 * (g // 2) : 12 * (g // 2) + 12]
+        for _ in range(30):
+            copy = list(own)
+            copy[rng.randrange(200)] = f"v{rng.randrange(10**9)}"
+            texts.append(" ".join(copy))
+    rows = spark.createDataFrame([(i, i, len(shingles(t)), i, 0) for i, t in enumerate(texts)], "node long, id long, n long, comp long, p long")
+    named = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    posts = near_dup.materialise(near_dup.differences(rows.select("p", "node", "n", "comp"), named, 80), "posts")
+    best = near_dup.verified(near_dup.pairs_with_best(posts, 80).distinct(), named, 80)
+    roots = near_dup.materialise(near_dup.connected(best), "roots")
+    found = {r.node: r.root for r in roots.collect()}
+    sets = dict(enumerate(shingles(t) for t in texts))
+    want = brute_components(sets, 80)
+    after = near_dup.pairs_by_differences(near_dup._with_roots(posts.drop("comp"), roots), 80)
+    links = near_dup.connected(best.union(near_dup.verified(after.distinct(), named, 80)))
+    assert {r.node: r.root for r in links.collect()} == {i: r for i, r in want.items() if sum(x == r for x in want.values()) > 1}
+    assert len(set(found.values())) == 12
+    assert near_dup.pairs_with_best(posts, 80).distinct().count() + after.distinct().count() < 6 * len(texts)
 
 
 def test_one_id_with_two_texts(spark):
