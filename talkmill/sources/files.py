@@ -12,6 +12,17 @@ from pyspark.sql import functions as F
 from talkmill.functions import paths
 
 
+#: Tasks for each core that look up or read very many small files, at most.
+TASKS = 8
+
+
+def few_listing_tasks(spark: SparkSession) -> int:
+    """Let Spark look up given files in a few tasks for each core, in place of one task for each file; how many."""
+    tasks = TASKS * spark.sparkContext.defaultParallelism
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", tasks)
+    return tasks
+
+
 def inventory(spark: SparkSession, root: str, audio_only: bool = True, ignore_case: bool = False) -> DataFrame:
     """path, length, modificationTime and basename of all files below root. Contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "modificationTime")
@@ -86,6 +97,7 @@ def contents_of(spark: SparkSession, names: list[str]) -> DataFrame:
     """path, length and content of the files of a bounded list, all of which are there."""
     if not names:
         return spark.createDataFrame([], "path string, length long, content binary")
+    few_listing_tasks(spark)
     return spark.read.format("binaryFile").load(names).select("path", "length", "content")
 
 

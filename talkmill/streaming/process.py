@@ -24,17 +24,14 @@ FILE_SCHEMA = "path string, modificationTime timestamp, length long, content bin
 
 
 def file_stream(spark: SparkSession, root: str, pattern: str = "*.wav", max_files: int = 8) -> DataFrame:
-    """New files below root, at most max_files in a micro-batch."""
+    """New files below root, at most max_files in a micro-batch. Queries over the stream look them up in few tasks."""
+    files.few_listing_tasks(spark)
     return spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", True).option("pathGlobFilter", pattern).option("maxFilesPerTrigger", max_files).load(root)
 
 
-#: Tasks for each core that a micro-batch of files is read by, at most.
-TASKS = 8
-
-
 def packed(found: DataFrame) -> DataFrame:
     """Files in fewer tasks where there are very many: Spark counts each small file as 4 MB, which gives hundreds of tasks for a few thousand."""
-    return found.coalesce(TASKS * found.sparkSession.sparkContext.defaultParallelism)
+    return found.coalesce(files.TASKS * found.sparkSession.sparkContext.defaultParallelism)
 
 
 def discovered(found: DataFrame) -> DataFrame:

@@ -322,3 +322,24 @@ def test_inventory_changes(spark, recordings, tmp_path):  # noqa: F811
     assert changes(5) == changes(5) == {"new": "added", "bad": "gone", "a": "changed"}
     os.utime(f"{recordings}/new.wav", (1, 1))  # only the time differs
     assert changes(6) == {"new": "changed"}
+
+
+def test_many_files_are_looked_up_in_few_tasks(spark, tmp_path):
+    """Spark would start a task for each given file to look it up."""
+    names = []
+    for i in range(300):
+        (tmp_path / f"v{i}.wav").write_bytes(b"RIFF")
+        names.append(str(tmp_path / f"v{i}.wav"))
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", 10000)
+    tracker = spark.sparkContext.statusTracker()
+
+    def tasks_of(group, work):
+        spark.sparkContext.setJobGroup(group, group)
+        done = work()
+        stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return done, max(tracker.getStageInfo(s).numTasks for s in stages)
+
+    found, most = tasks_of("few", lambda: files.contents_of(spark, names).select("path"))
+    assert most <= files.TASKS * spark.sparkContext.defaultParallelism
+    assert found.count() == len(names)
