@@ -4,11 +4,22 @@ import os
 
 from pyspark.sql import functions as F
 
+from talkmill.plans import queries
+from talkmill.plans.views import view
 from talkmill.sources import files, store
-from talkmill.streaming import process
+from talkmill.streaming import live_metrics, process
+from tests.conftest import DATA
 from tests.test_audio_and_streams import loud, recordings, teller  # noqa: F401
 
 
+def test_reports_take_many_ranges_at_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(live_metrics, "RANGE_ROWS", 100)
+    _, stream = queries.emitted(view(spark, DATA, "v_measurements"))  # 1,000 rows: ten ranges
+    sizes = []
+    stream.writeStream.foreachBatch(lambda batch, i: sizes.append(batch.count())).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    assert sizes == [1000]
+
+
 def test_claims_of_a_source_share_their_jobs(spark, recordings, tmp_path, monkeypatch):  # noqa: F811
     log, queue, looked_up = f"{tmp_path}/states", f"{tmp_path}/queue", []
     found = spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").option("recursiveFileLookup", True).load(recordings)
