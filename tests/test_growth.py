@@ -42,3 +42,7 @@ def test_versions_written_together(spark, tmp_path):
     os.remove(f"{log}/seq=3/_SUCCESS")  # broken off
     store.append_each(rows.withColumn("x", F.lit("y")), log, [1, 3])
     assert {(r.uuid, r.x) for r in store.load_all(spark, log).collect()} == {("a", "x"), ("b", "y")}
+
+
+def test_small_files_take_a_task_a_core(spark):
+    assert process.packed(spark.range(1000).repartition(200)).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
