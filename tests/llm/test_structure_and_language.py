@@ -214,6 +214,21 @@ def test_tables_are_bounded(spark):
     assert all(values.size <= 1 << 9 for tables in (model.grams, model.contexts) for _, values in tables.values())
 
 
+def test_bounded_tables_change_no_result(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang").limit(80).unionByName(spark.createDataFrame([(-1, None, None), (-2, "", "en"), (-3, "qéz 中文", None)], "doc_id long, text string, lang string"))
+    got = []
+    for slots in (21, 12, 2):
+        model = language_id.fit(docs.where("doc_id % 2 = 0"), slots=slots)
+        assert bool(model.partial) == (slots < 21)
+        calibration = language_id.calibrate(model, docs.where("doc_id % 2 <> 0"))
+        got.append({r.doc_id: r for r in language_id.predict(docs, model, calibration).collect()})
+    for other in got[1:]:
+        assert other.keys() == got[0].keys()
+        for i, r in got[0].items():
+            assert (r.text, r.lang, r.lang_pred, r.accepted) == (other[i].text, other[i].lang, other[i].lang_pred, other[i].accepted)
+            assert r.entropy == pytest.approx(other[i].entropy, abs=1e-5) and r.score == pytest.approx(other[i].score, abs=1e-4)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang").toPandas().set_index("doc_id")["lang"]
     found = queries.op12_language_id(spark, "/root/testdata/sf0.01").toPandas().set_index("doc_id")
