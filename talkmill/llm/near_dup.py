@@ -4,8 +4,9 @@ Sketching throws every shingle into hashed bins, round after round, until each b
 bin each, so every coordinate fills, and matching coordinates estimate the Jaccard similarity with concentration
 bounds. Copies with equal shingle sets are one class. Classes that agree on a band meet in a bucket. No bucket
 emits all its pairs: in each round its members are compared with one pivot, and members that verified links have
-joined into one component need no more comparison. What rounds leave apart is looked up by what it has or lacks
-against its bucket's pivot, rarest first. A pair is a link only when the full shingle sets say so.
+joined into one component need no more comparison. What rounds leave apart is compared pair by pair in small buckets; in
+larger ones it is looked up by what it has or lacks against its bucket's pivot, rarest first. A pair is a link only when
+the full shingle sets say so.
 
 Defined results: texts without words have an empty set and no links. With fewer words than a shingle the whole
 sequence is one shingle. Rows with equal doc_id are one document, which links to what any of its texts links to, and
@@ -31,6 +32,8 @@ WORDS = 5
 BANDS, ROWS = 32, 6
 #: Buckets are compared with one pivot more as long as so large a share of a round's pairs are links.
 PAYS = 0.1
+#: Of what rounds leave apart, buckets of at most so many members give all their pairs: (SMALL - 1) / 2 a member at most.
+SMALL = 8
 #: Standard deviations below the wanted similarity at which a sketch rules out a pair.
 SIGMAS = 6.0
 
@@ -203,6 +206,13 @@ def _centre_pairs(groups: DataFrame, percent: int) -> DataFrame:
     return groups.join(centres, "p").where(f"node <> p and comp <> pc and 100 * least(n, pn) >= {percent} * greatest(n, pn)").select(*_pairs("node", "p"))
 
 
+def _all_pairs(buckets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of each bucket's members in different components whose sizes allow a link. buckets (few members each): key, node, n, comp."""
+    left, right = (buckets.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "n", "comp"))) for x in "ab")
+    met = left.join(right, "key").where(f"node_a < node_b and comp_a <> comp_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    return met.select(*_pairs("node_a", "node_b"))
+
+
 def differences(groups: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
     """p, e, node, comp, w and room: what the members of groups have or lack against their centre, as far as another component differs in it too.
 
@@ -256,8 +266,9 @@ def joined_classes(heads: DataFrame, docs: DataFrame, percent: int, k: int = WOR
 
     docs: doc, th, text. known: links (a, b) that hold without a look at texts. In each round buckets are compared with
     the member that meets most others; it has then met its whole bucket and takes no part there any more. When rounds
-    find few links, members are held by their differences to the next pivot: first against the best holder of each
-    element, which joins the groups within a bucket, then all that are still apart and may be links.
+    find few links, buckets of at most SMALL members give all their pairs. Members of larger ones are held by their
+    differences to the next pivot: first against the best holder of each element, which joins the groups within a bucket,
+    then all that are still apart and may be links.
     """
     keyed = heads.select("node", "n", F.explode("keys").alias("key"))
     buckets = materialise(keyed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"), "buckets")
@@ -276,17 +287,21 @@ def joined_classes(heads: DataFrame, docs: DataFrame, percent: int, k: int = WOR
             pairs = pairs_by_differences(_with_roots(now, roots), percent)
         else:
             now = _with_roots(members, None) if roots is None else materialise(_with_roots(members, roots), "now")
-            split = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max_by("node", F.struct("weight", "node")).alias("p")).where("c0 < c1").drop("c0", "c1")
+            split = now.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.max_by("node", F.struct("weight", "node")).alias("p"), F.count("*").alias("held")).where("c0 < c1").drop("c0", "c1")
             now = materialise(now.join(materialise(split, "split"), "key"), "open-buckets")
             if now.isEmpty():
                 return roots
-            groups = now.select("p", "node", "n", "comp").distinct()
-            pairs = _centre_pairs(groups, percent)
+            large = now if step == "pivot" else now.where(F.col("held") > SMALL)
+            groups = large.select("p", "node", "n", "comp").distinct()
             if step == "pivot":
+                pairs = _centre_pairs(groups, percent)
                 members = now.where("node <> p").select("node", "n", "key", "weight")
             else:
-                posts = materialise(differences(materialise(groups, "groups"), texts, percent, k), "posts")
-                pairs = pairs.union(pairs_with_best(posts, percent))
+                pairs = _all_pairs(now.where(F.col("held") <= SMALL), percent)
+                groups = materialise(groups, "groups")
+                if not groups.isEmpty():
+                    posts = materialise(differences(groups, texts, percent, k), "posts")
+                    pairs = pairs.union(_centre_pairs(groups, percent)).union(pairs_with_best(posts, percent))
         pairs = pairs.distinct()
         pairs = materialise(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
         likely = materialise(plausible(pairs, sketches, percent / 100), "likely")  # a task holds one Python worker
@@ -295,7 +310,7 @@ def joined_classes(heads: DataFrame, docs: DataFrame, percent: int, k: int = WOR
         if n_new:
             links = new if links is None else links.union(new)
             roots = materialise(connected(links), "roots")
-        if step == "rest":
+        if step == "rest" or step == "best" and posts is None:
             return roots
         tested = pairs if tested is None else tested.union(pairs)
         if step == "best":

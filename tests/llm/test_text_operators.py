@@ -240,6 +240,30 @@ def test_groups_within_a_group(spark):
     assert near_dup.pairs_with_best(posts, 80).distinct().count() + after.distinct().count() < 6 * len(texts)
 
 
+def test_small_groups_need_no_differences(spark, monkeypatch):
+    """Groups of a few members just under the similarity give their pairs; only larger ones are held element by element."""
+    rng, texts = random.Random(8), []
+    for g in range(30):
+        base = [f"g{g}w{i}" for i in range(140)]
+        for _ in range(8):
+            copy = list(base)
+            for at in (rng.randrange(20, 60), rng.randrange(80, 120)):
+                copy[at] = f"v{rng.randrange(10**9)}"
+            texts.append(copy)
+        texts.append([*texts[-1][:-1], "end"])  # one link a group
+    texts = [" ".join(t) for t in texts]
+    written, write = [], near_dup.materialise
+    monkeypatch.setattr(near_dup, "PAYS", 2)
+    monkeypatch.setattr(near_dup, "materialise", lambda df, name: written.append(name) or write(df, name))
+    rows = collected(near_dup.components(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    want = {}
+    for g in range(0, len(texts), 9):
+        want |= brute_components({i: shingles(texts[i]) for i in range(g, g + 9)}, 80)
+    assert {r["doc_id"]: r["component_id"] for r in rows} == want
+    assert sum(i != r for i, r in want.items()) >= 30 and len(set(want.values())) > 150
+    assert "differences" not in written
+
+
 def test_one_id_with_two_texts(spark):
     texts = near_copies(4, size=60)
     rows = [(1, texts[0]), (5, texts[0]), (5, "another text of seven words in all"), (5, ""), (7, "another text of seven words in all"), (8, "quite another text of seven words in all")]
