@@ -46,3 +46,13 @@ def test_versions_written_together(spark, tmp_path):
 
 def test_small_files_take_a_task_a_core(spark):
     assert process.packed(spark.range(1000).repartition(200)).rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
+def test_seen_files_are_seldom_listed_anew(spark, tmp_path):
+    for i in range(12):
+        (tmp_path / f"v{i}.wav").write_bytes(b"RIFF")
+    stream = process.file_stream(spark, str(tmp_path), max_files=1)
+    process.start_discovery(stream, f"{tmp_path}/log", f"{tmp_path}/checkpoint", availableNow=True).awaitTermination()
+    seen = os.listdir(f"{tmp_path}/checkpoint/sources/0")
+    assert "11" in seen and "9.compact" not in seen
+    assert store.load_all(spark, f"{tmp_path}/log").count() == 12
