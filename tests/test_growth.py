@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from talkmill.functions import documents
 from talkmill.plans import queries
 from talkmill.plans.views import view
 from talkmill.sources import files, store
@@ -56,3 +57,13 @@ def test_seen_files_are_seldom_listed_anew(spark, tmp_path):
     seen = os.listdir(f"{tmp_path}/checkpoint/sources/0")
     assert "11" in seen and "9.compact" not in seen
     assert store.load_all(spark, f"{tmp_path}/log").count() == 12
+
+
+def test_discovery_builds_its_columns_once(spark, tmp_path, monkeypatch):
+    for i in range(3):
+        (tmp_path / f"v{i}.wav").write_bytes(b"RIFF")
+    built, new_documents = [], documents.new_documents
+    monkeypatch.setattr(documents, "new_documents", lambda *a: (built.append(1), new_documents(*a))[1])
+    process.start_discovery(process.file_stream(spark, str(tmp_path), max_files=1), f"{tmp_path}/log", f"{tmp_path}/checkpoint", availableNow=True).awaitTermination()
+    assert built == [1] and files.numbers(spark, f"{tmp_path}/log", "seq") == [0, 1, 2]
+    assert spark.read.parquet(f"{tmp_path}/log").select("uuid").distinct().count() == 3
