@@ -12,6 +12,8 @@ import os
 import re
 import sys
 from array import array
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 from unicodedata import is_normalized
 
@@ -188,3 +190,13 @@ class SentencePiece(Encoder):
 def encoder(path: str) -> Encoder:
     """The encoder of a vocabulary file; a worker keeps it, with its memo, from task to task."""
     return SentencePiece(path) if path.endswith(".model") else HuggingFace(path)
+
+
+@contextmanager
+def only_within(enc: Encoder, limit: int) -> Iterator[None]:
+    """Let an encoder remember pieces within the context only, so many a generation: for workers that do other work before and after."""
+    enc.memo = Memo(enc.piece, limit)
+    try:
+        yield
+    finally:
+        enc.memo = Memo(enc.piece)

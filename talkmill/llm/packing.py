@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from talkmill.llm.memo_tokens import encoder
+from talkmill.llm.memo_tokens import Encoder, encoder, only_within
 from talkmill.llm.shared import in_small_batches
 
 CAPACITY = 2048
@@ -130,10 +130,11 @@ class _Packer:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
 
-def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = CAPACITY, group: int = GROUP, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity: int = CAPACITY, group: int = GROUP, id_col: str = "doc_id", text_col: str = "text", memo_pieces: int | None = None) -> DataFrame:
     """One row for each piece: its document, start there, length, ids (32-bit little-endian), the document's tokens, sequence_id and offset in it.
 
-    vocabulary: path of a public tokenizer's file, the same on all executors. capacity: a power of two.
+    vocabulary: path of a public tokenizer's file, the same on all executors. capacity: a power of two. memo_pieces:
+    remember so many pieces a generation, and forget them with the task; None: as memo_tokens does, from task to task.
     """
     if capacity & (capacity - 1):
         raise ValueError("capacity must be a power of two")
@@ -142,7 +143,15 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, capacity:
     schema = T.StructType([T.StructField(id_col, kind), *(T.StructField(n, T.LongType()) for n in ("start", "length")), T.StructField("ids", T.BinaryType()), *(T.StructField(n, T.LongType()) for n in ("doc_tokens", "sequence_id", "offset"))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, dtype = (enc := encoder(vocabulary)).encode, enc.dtype
+        enc = encoder(vocabulary)
+        if memo_pieces is None:
+            yield from packed(batches, enc)
+            return
+        with only_within(enc, memo_pieces):
+            yield from packed(batches, enc)
+
+    def packed(batches: Iterator[pa.RecordBatch], enc: Encoder) -> Iterator[pa.RecordBatch]:
+        encode, dtype = enc.encode, enc.dtype
         packer = _Packer(capacity, group, TaskContext.get().partitionId())
         end, out = np.array([end_id], "<u4"), None
         for batch in batches:

@@ -6,6 +6,7 @@ from collections import Counter
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from talkmill.llm import fertility, packing, token_store, toxicity
-from talkmill.llm.memo_tokens import encoder
+from talkmill.llm.memo_tokens import encoder, only_within
 from talkmill.llm.queries import QUERIES, vocabulary
 from tests.conftest import DATA
 from tests.llm.fixtures import documents, empty
@@ -52,6 +53,24 @@ def test_a_full_memo_forgets(name):
     e.memo.limit = kept
 
 
+def test_a_pipeline_memo_goes_with_its_task(spark, tmp_path):
+    vocab = shutil.copy(vocabulary("word_bpe_49k.json"), tmp_path)  # an encoder that no other test has filled
+    docs = documents(spark)
+    kept = packing.pack_documents(docs, vocab, memo_pieces=50).collect()
+
+    def remembered(batches):
+        for b in batches:
+            memo = encoder(vocab).memo
+            yield pa.RecordBatch.from_pydict({"n": [len(memo) + len(memo.former)]})
+
+    assert spark.range(8, numPartitions=8).mapInArrow(remembered, "n long").groupBy().sum("n").first()[0] == 0
+    e = encoder(vocab)
+    with only_within(e, 50):
+        assert e.encode("some words, and more") and 0 < len(e.memo) and e.memo.limit == 50
+    assert not e.memo and not e.memo.former
+    assert Counter(kept) == Counter(packing.pack_documents(docs, vocab).collect())
+
+
 def ids_of(name, docs, end):
     return {d.doc_id: np.array([*library(name)(d.text or ""), end], "<u4") for d in docs}
 
