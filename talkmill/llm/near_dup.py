@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talkmill.llm.kernels import NOT_BLANK, Block, blocks, mix, ngram_hashes, span_hashes, spans
@@ -36,6 +36,8 @@ PAYS = 0.1
 SMALL = 8
 #: Standard deviations below the wanted similarity at which a sketch rules out a pair.
 SIGMAS = 6.0
+#: Bits of a set's parities.
+BITS = 512
 
 _U = np.uint64
 _EMPTY = _U((1 << 64) - 1)
@@ -187,17 +189,36 @@ def _pairs(a: str, b: str) -> list[Column]:
     return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
 
+def parities(sets: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """A row of BITS bits for each set, as 64-bit numbers: whether it has an odd number of the elements that fall on a bit.
+
+    Two sets differ in at least as many elements as their rows do in bits.
+    """
+    n = len(bounds) - 1
+    at = np.repeat(np.arange(n), np.diff(bounds)) * BITS + (mix(sets) % _U(BITS)).astype(np.int64)
+    odd = np.bincount(at, minlength=n * BITS) & 1
+    return np.packbits(odd.astype(bool).reshape(n, BITS), axis=1).view(np.int64)
+
+
 def text_sets(texts: DataFrame, k: int = WORDS) -> DataFrame:
-    """node, n and own (the hashes of its distinct shingles) of texts (node, text)."""
+    """node, n, own (the hashes of its distinct shingles) and bits (their parities) of texts (node, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
                 sets, bounds = shingle_sets(block, k)
                 own = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(sets.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("node")[block.rows], pa.array(np.diff(bounds), pa.int64()), own], names=["node", "n", "own"])
+                rows = parities(sets, bounds)
+                bits = pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, BITS // 64), pa.int32()), pa.array(rows.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([batch.column("node")[block.rows], pa.array(np.diff(bounds), pa.int64()), own, bits], names=["node", "n", "own", "bits"])
 
-    return in_small_batches(texts.select("node", "text")).mapInArrow(run, "node long, n long, own array<long>")
+    return in_small_batches(texts.select("node", "text")).mapInArrow(run, "node long, n long, own array<long>, bits array<long>")
+
+
+def _near(n: tuple[str, str], bits: tuple[str, str], percent: int) -> str:
+    """SQL: the parities of two sets don't rule a link out. A link differs in (100 - percent) of (100 + percent) parts of both sizes at most."""
+    apart = " + ".join(f"bit_count({bits[0]}[{i}] ^ {bits[1]}[{i}])" for i in range(BITS // 64))
+    return f"{100 + percent} * ({apart}) <= {100 - percent} * ({n[0]} + {n[1]})"
 
 
 def _centre_pairs(groups: DataFrame, percent: int) -> DataFrame:
@@ -213,39 +234,55 @@ def _all_pairs(buckets: DataFrame, percent: int) -> DataFrame:
     return met.select(*_pairs("node_a", "node_b"))
 
 
+def merged_groups(groups: DataFrame) -> DataFrame:
+    """groups with one centre for all whose centres are in one component, that of the largest; members of several are held once. groups: p, node, n, comp."""
+    centres = groups.where("node = p").select("p", F.col("comp").alias("pc"))
+    sizes = groups.groupBy("p").agg(F.count("*").alias("size")).join(centres, "p")
+    chosen = sizes.groupBy("pc").agg(F.max_by("p", F.struct("size", "p")).alias("centre"))
+    to = materialise(centres.join(chosen, "pc").select("p", "centre"), "centres")
+    return groups.join(to, "p").select(F.col("centre").alias("p"), "node", "n", "comp").distinct()
+
+
 def differences(groups: DataFrame, texts: DataFrame, percent: int, k: int = WORDS) -> DataFrame:
-    """p, e, node, comp, w and room: what the members of groups have or lack against their centre, as far as another component differs in it too.
+    """p, e, node, comp, n, bits, w and room: what the members of groups have or lack against their centre, as far as another component differs in it too.
 
     Sets x and y differ in as many elements as their differences dx and dy to the centre do: |dx| + |dy| less twice
     what dx and dy share. So x and y are a link if w(x) + w(y) + 2 (100 + percent) |dx and dy| >= 0, with
     w(x) = (100 - percent) |x| - (100 + percent) |dx|. The centre has the highest w and is compared with all, so members
-    that differ from it in nothing alike are no link unless both are its own. Elements go from the rarest
-    on; if the first that two members share is the last but r - 1 of one of them, they share r at most: its room.
+    that differ from it in nothing alike are no link unless both are its own. Elements go in one order, those that the
+    centre lacks first; if the first that two members share is the last but r - 1 of one of them, they share r at most:
+    its room. A link of x lacks at most (100 - percent) / 100 of |x|, and both differ in (100 - percent) / percent of |x|
+    at most, so so many of dx and one more hold the first that a link shares: no more of them are listed.
     groups: p, node, n, comp; texts: node, text.
     """
     others = groups.where("node <> p")
     several = others.groupBy("p").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("p")
     others = materialise(others.join(several, "p"), "others")
     needed = others.select("node").union(several.select("p")).distinct()
-    sets = materialise(text_sets(texts.join(needed, "node", "left_semi"), k).select("node", "own"), "sets")
+    sets = materialise(text_sets(texts.join(needed, "node", "left_semi"), k).select("node", "own", "bits"), "sets")
     both = others.join(sets, "node").join(sets.select(F.col("node").alias("p"), F.col("own").alias("centre")), "p")
-    diff = both.withColumn("diff", F.concat(F.array_except("own", "centre"), F.array_except("centre", "own")))
+    more, less = (F.array_sort(F.array_except(*c)) for c in (("own", "centre"), ("centre", "own")))
+    split = both.select("p", "node", "n", "comp", "bits", more.alias("more"), less.alias("less"))
+    diff = split.select("p", "node", "n", "comp", "bits", F.size("more").alias("n_more"), F.concat("more", "less").alias("diff"))
+    lacks, apart = (F.floor((100 - percent) * F.col("n") / share).cast("int") for share in (100, max(percent, 1)))
+    first = F.slice("diff", 1, F.when(F.col("n_more") > lacks, lacks).otherwise(apart) + 1)
     weight = (100 - percent) * F.col("n") - (100 + percent) * F.size("diff")
-    posts = materialise(diff.select("p", "node", "comp", weight.alias("w"), F.explode("diff").alias("e")), "differences")
-    counted = posts.groupBy("p", "e").agg(F.count("*").alias("often"), F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").drop("c0", "c1")
-    back = F.row_number().over(Window.partitionBy("p", "node").orderBy(F.desc("often"), F.desc("e")))
-    return posts.join(counted, ["p", "e"]).select("p", "e", "node", "comp", "w", back.alias("room"))
+    listed = diff.select("p", "node", "comp", "n", "bits", weight.alias("w"), F.size("diff").alias("d"), F.posexplode(first).alias("at", "e"))
+    posts = materialise(listed.select("p", "node", "comp", "n", "bits", "w", "e", (F.col("d") - F.col("at")).alias("room")), "differences")
+    shared = posts.groupBy("p", "e").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("p", "e")
+    return posts.join(shared, ["p", "e"]).select("p", "e", "node", "comp", "n", "bits", "w", "room")
 
 
 def _with_best(posts: DataFrame, percent: int) -> DataFrame:
     """posts with best, the holder of the element with the highest w, as far as one of such w could be a link."""
-    best = posts.groupBy("p", "e").agg(F.max(F.struct("w", "node", "comp", "room")).alias("best"))
+    best = posts.groupBy("p", "e").agg(F.max(F.struct("w", "node", "comp", "room", "n", "bits")).alias("best"))
     return posts.join(best, ["p", "e"]).where(f"w + best.w + {2 * (100 + percent)} * room >= 0")
 
 
 def pairs_with_best(posts: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) across components that may be links, of each element's holders with the one of the highest w. posts: see differences()."""
-    met = _with_best(posts, percent).where(f"comp <> best.comp and w + best.w + {2 * (100 + percent)} * best.room >= 0")
+    near = _near(("n", "best.n"), ("bits", "best.bits"), percent)
+    met = _with_best(posts, percent).where(f"comp <> best.comp and w + best.w + {2 * (100 + percent)} * best.room >= 0 and {near}")
     return met.select(*_pairs("node", "best.node"))
 
 
@@ -256,8 +293,9 @@ def pairs_by_differences(posts: DataFrame, percent: int) -> DataFrame:
     if even the best could be a link of it.
     """
     some = materialise(_with_best(posts, percent), "open")
-    lookups = some.where("comp <> best.comp").select("p", "e", F.col("node").alias("x"), F.col("comp").alias("xc"), F.col("w").alias("xw"), F.col("room").alias("xr"))
-    met = lookups.join(some.drop("best"), ["p", "e"]).where(f"xc <> comp and xw + w + {2 * (100 + percent)} * least(xr, room) >= 0")
+    lookups = some.where("comp <> best.comp").select("p", "e", F.col("node").alias("x"), F.col("comp").alias("xc"), F.col("w").alias("xw"), F.col("room").alias("xr"), F.col("n").alias("xn"), F.col("bits").alias("xb"))
+    near = _near(("xn", "n"), ("xb", "bits"), percent)
+    met = lookups.join(some.drop("best"), ["p", "e"]).where(f"xc <> comp and xw + w + {2 * (100 + percent)} * least(xr, room) >= 0 and {near}")
     return met.select(*_pairs("x", "node"))
 
 
@@ -298,7 +336,7 @@ def joined_classes(heads: DataFrame, docs: DataFrame, percent: int, k: int = WOR
                 members = now.where("node <> p").select("node", "n", "key", "weight")
             else:
                 pairs = _all_pairs(now.where(F.col("held") <= SMALL), percent)
-                groups = materialise(groups, "groups")
+                groups = materialise(merged_groups(materialise(groups, "groups")), "merged")
                 if not groups.isEmpty():
                     posts = materialise(differences(groups, texts, percent, k), "posts")
                     pairs = pairs.union(_centre_pairs(groups, percent)).union(pairs_with_best(posts, percent))

@@ -264,6 +264,39 @@ def test_small_groups_need_no_differences(spark, monkeypatch):
     assert "differences" not in written
 
 
+def test_listed_differences_are_bounded(spark, monkeypatch):
+    """A member half like its centre lists a quarter of its size at most, once for centres of one component; all links across components stay candidates."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(200)]
+    texts = [base, [*base[:199], "end"]]
+    for g in range(40):
+        texts.append(base[:100] + [f"g{g}x{i}" for i in range(100)])
+        texts.append(list(texts[-1]))
+        texts[-1][rng.randrange(110, 190)] = f"v{g}"
+    texts = [" ".join(t) for t in texts]
+    sets = [shingles(t) for t in texts]
+    rows = [(p, i, len(s), 0 if i < 2 else i) for p in (0, 1) for i, s in enumerate(sets)]
+    named = spark.createDataFrame(list(enumerate(texts)), "node long, text string")
+    listed, write = [], near_dup.materialise
+    monkeypatch.setattr(near_dup, "materialise", lambda df, name: listed.append(write(df, name)) or listed[-1] if name == "differences" else write(df, name))
+    groups = near_dup.merged_groups(spark.createDataFrame(rows, "p long, node long, n long, comp long"))
+    assert groups.count() == len(texts) and groups.select("p").distinct().count() == 1
+    posts = write(near_dup.differences(groups, named, 80), "posts")
+    assert 0 < listed[0].count() <= sum(len(s) // 4 + 1 for s in sets)
+    pairs = near_dup.pairs_with_best(posts, 80).union(near_dup.pairs_by_differences(posts, 80)).distinct()
+    assert {(r.a, r.b) for r in pairs.collect()} == {(i, i + 1) for i in range(2, len(texts), 2)}
+
+
+def test_parities_bound_differences():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 300 << s, n, dtype=np.uint64)) for s, n in ((0, 0), (0, 1), (0, 200), (0, 250), (4, 300), (4, 4000))]
+    rows = near_dup.parities(np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets]))))
+    for a, x in zip(sets, rows, strict=True):
+        for b, y in zip(sets, rows, strict=True):
+            assert sum(int(v).bit_count() for v in (x ^ y).view(np.uint64)) <= len(np.setxor1d(a, b))
+    assert sum(int(v).bit_count() for v in rows[2].view(np.uint64)) > 100
+
+
 def test_one_id_with_two_texts(spark):
     texts = near_copies(4, size=60)
     rows = [(1, texts[0]), (5, texts[0]), (5, "another text of seven words in all"), (5, ""), (7, "another text of seven words in all"), (8, "quite another text of seven words in all")]
