@@ -5,7 +5,7 @@ bin each, so every coordinate fills, and matching coordinates estimate the Jacca
 bounds. Copies with equal shingle sets are one class. Classes that agree on a band meet in a bucket. No bucket
 emits all its pairs: in each round its members are compared with one pivot, and members that verified links have
 joined into one component need no more comparison. What rounds leave apart is compared pair by pair in small buckets; in
-larger ones it is looked up by what it has or lacks against its bucket's pivot, rarest first. A pair is a link only when
+larger ones it is looked up by some of what it has or lacks against a pivot, enough to meet each link. A pair is a link only when
 the full shingle sets say so.
 
 Defined results: texts without words have an empty set and no links. With fewer words than a shingle the whole
